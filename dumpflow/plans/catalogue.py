@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from dumpflow.plans import dump_queries, pageview_queries  # noqa: F401
+from dumpflow.plans import (  # noqa: F401
+    dump_queries,
+    manifest_queries,
+    message_queries,
+    page_queries,
+    pageview_queries,
+    scalar_queries,
+    stream_queries,
+)
 from dumpflow.plans.registry import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]

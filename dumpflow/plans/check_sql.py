@@ -82,8 +82,10 @@ RV = """rv AS (
       + to_seconds(i) AS stamp,
     CASE WHEN i = 3 THEN 'missing_timestamp' WHEN (o_orderkey + i) % 5 = 0 THEN 'minor_edit'
       WHEN i = 2 AND o_orderkey % 19 = 0 THEN 'bad_timestamp' END AS reason,
-    ['registered', 'anonymous', 'deleted', 'missing'][1 + (o_orderkey + i) % 4] AS contributor_kind,
-    CASE WHEN (o_orderkey + i) % 4 = 0 THEN CAST(o_custkey AS VARCHAR) END AS contributor_id
+    -- An id of 0 stands for no contributor.
+    CASE WHEN (o_orderkey + i) % 4 = 0 AND o_custkey = 0 THEN 'missing'
+      ELSE ['registered', 'anonymous', 'deleted', 'missing'][1 + (o_orderkey + i) % 4] END AS contributor_kind,
+    CASE WHEN (o_orderkey + i) % 4 = 0 AND o_custkey <> 0 THEN CAST(o_custkey AS VARCHAR) END AS contributor_id
   FROM (SELECT *, unnest(range(1, 2 + o_orderkey % 4)) AS i FROM orders) WHERE o_orderkey % 3 <> 0)"""
 
 # Dump file names and what they say.

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dumpflow import fixed_values as fx
+from dumpflow.functions.text import once
 from dumpflow.functions.times import file_date, file_wiki_code
 
 REQUEST_DDL = "data_type string, years array<int>, months array<int>, wiki_codes array<string>"
@@ -39,11 +40,14 @@ def match_files(
     Pageview files cover all wikis, so `wiki_codes` does not restrict them.
     """
     name = F.col("file_name")
-    described = files.select(
-        *files.columns,
-        data_type_of(name).alias("data_type"),
+    data_type_column = data_type_of(name)
+    # All that the name tells is worked out once, before any filter on it.
+    told = F.struct(
+        data_type_column.alias("data_type"),
+        F.when(data_type_column != "pageviews", file_wiki_code(name)).alias("wiki_code"),
         file_date(name).alias("dump_date"),
-    ).withColumn("wiki_code", F.when(F.col("data_type") != "pageviews", file_wiki_code(name)))
+    )
+    described = once(files, "_told", told).select(*files.columns, "_told.*")
     keep = F.col("data_type").isNotNull() if data_type is None else F.col("data_type") == data_type
     if years:
         keep = keep & F.year("dump_date").isin(list(years))
