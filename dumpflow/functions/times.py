@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from dumpflow.fixed_values import FILE_DATE_PATTERNS
 
-_ISO = r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:[.,]\d{1,6})?)?)?(?:Z|[+-]\d{2}:?\d{2})?$"
+_ISO = r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:[.,]\d{1,6})?)?(?:Z|[+-]\d{2}:?\d{2})?)?$"
 
 
 def file_date_text(file_name: Column) -> Column:
@@ -50,12 +50,13 @@ def utc_timestamp(text: Column) -> Column:
 def parse_iso(text: Column) -> Column:
     """ISO 8601 text to a timestamp. `Z` and offsets are honoured, none means UTC."""
     dotted = F.replace(text, F.lit(","), F.lit("."))
-    full = F.when(F.length(dotted) == 10, F.concat(dotted, F.lit("T00:00:00"))).otherwise(dotted)
-    zoned = F.when(full.rlike(r"(?:Z|[+-]\d{2}:?\d{2})$") & (F.length(full) > 10), full).otherwise(
-        F.concat(full, F.lit("Z"))
+    zoned = (
+        F.when(text.endswith("Z"), dotted)
+        .when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00Z")))
+        .when(text.rlike(r":.*[+-]\d{2}:?\d{2}$"), dotted)
+        .otherwise(F.concat(dotted, F.lit("Z")))
     )
-    colon = F.regexp_replace(zoned, r"([+-]\d{2})(\d{2})$", "$1:$2")
-    return F.when(text.rlike(_ISO), colon.try_cast("timestamp"))
+    return F.when(text.rlike(_ISO), zoned.try_cast("timestamp"))
 
 
 def parse_touched(text: Column) -> Column:

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dumpflow import fixed_values as fx
-from dumpflow.operators.records import struct_json
 from dumpflow.operators.stats import deal_chunks
 
 PAGE_KEY = ("wiki_code", "page_hash")
@@ -19,28 +18,24 @@ FACT_COLUMNS = (*PAGE_KEY, "year_month", "kind", "element", "seen_at")
 
 
 def page_facts(
-    records: DataFrame, kind: str, page_hash: Column | None = None, seen_at: Column | None = None
+    records: DataFrame,
+    elements: dict[str, Column],
+    seen_at: Column,
+    page_hash: Column | None = None,
 ) -> DataFrame:
-    """Facts of one kind out of envelope rows.
+    """Facts out of rows that carry a page's key, all kinds in one pass.
 
-    The page is the record's own `page_hash` unless another key is given. Times
-    default to the record's `timestamp`.
+    `elements` maps a kind to the element a row adds to it; NULL adds none. The
+    page is the row's own `page_hash` unless another key is given.
     """
+    added = F.array(*[F.struct(F.lit(kind).alias("kind"), element.alias("element")) for kind, element in elements.items()])
     return records.select(
         "wiki_code",
         (F.col("page_hash") if page_hash is None else page_hash).alias("page_hash"),
         "year_month",
-        F.lit(kind).alias("kind"),
-        struct_json(F.col("tuple_struct")).alias("element"),
-        (F.col("timestamp") if seen_at is None else seen_at).alias("seen_at"),
-    )
-
-
-def title_facts(records: DataFrame, title: Column, seen_at: Column) -> DataFrame:
-    """Facts that a page had a title at a time."""
-    return records.where(title.isNotNull()).select(
-        *PAGE_KEY, "year_month", F.lit(fx.TITLES).alias("kind"), title.alias("element"), seen_at.alias("seen_at")
-    )
+        seen_at.alias("seen_at"),
+        F.inline(added),
+    ).where(F.col("element").isNotNull()).select(*FACT_COLUMNS)
 
 
 def set_add(facts: DataFrame, *grain: str) -> DataFrame:
@@ -74,22 +69,23 @@ def fold_pages(elements: DataFrame, *grain: str) -> DataFrame:
     )
 
 
-def current_titles(elements: DataFrame, *grain: str) -> DataFrame:
-    """Last title per page; between titles seen at one time the greater one wins."""
-    titles = elements.where(F.col("kind") == fx.TITLES)
-    return titles.groupBy(*(grain or PAGE_KEY)).agg(
-        F.max_by("element", F.struct("last_seen", "element")).alias("current_title")
-    )
-
-
 def page_fold(facts: DataFrame) -> DataFrame:
     """The page document without its arrays: sizes, times and current title.
 
-    Titles are folded apart, as text cannot be kept in a hash aggregation; both
-    results are already placed by page, so joining them moves no rows.
+    The current title is the one seen last; between titles seen at one time the
+    greater one wins. Text cannot be kept as the state of a hash aggregation, so
+    elements are first counted per page and title, and only that small result, a
+    row per title and one for all else, is aggregated by sorting.
     """
-    elements = page_elements(facts)
-    return fold_pages(elements).join(current_titles(elements), list(PAGE_KEY), "left")
+    title = F.when(F.col("kind") == fx.TITLES, F.col("element"))
+    per_title = fold_pages(page_elements(facts).withColumn("_title", title), *PAGE_KEY, "_title")
+    last = F.when(F.col("_title").isNotNull(), F.struct("last_updated", "_title"))
+    return per_title.groupBy(*PAGE_KEY).agg(
+        *[F.sum(f"n_{kind}").alias(f"n_{kind}") for kind in fx.ELEMENT_KINDS],
+        F.min("created_at").alias("created_at"),
+        F.max("last_updated").alias("last_updated"),
+        F.max_by("_title", last).alias("current_title"),
+    )
 
 
 def monthly_and_total(facts: DataFrame) -> DataFrame:
@@ -113,7 +109,7 @@ def page_documents(elements: DataFrame, chunk_size: int = 10_000) -> DataFrame:
 
     Pages up to the chunk size are one row with `chunk` 0. Larger ones span
     several rows, each small enough for one task; together they hold every
-    element. Pass a written element table, as it is read twice.
+    element. Pass a written or checkpointed element table, as it is read twice.
     """
     chunked = deal_chunks(elements, [*PAGE_KEY, "kind"], "element", chunk_size)
     arrays = [

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dumpflow.sources.lines import spread_out
+
 WIKI_OF = "elt(1 + {key} % 3, 'enwiki', 'dewiki', 'frwiki')"
 
 
@@ -17,9 +19,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def rows_to_render(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
+    """The columns of a table that a rendering needs, over all cores if the table is small."""
+    return spread_out(table(spark, folder, name).select(*columns))
+
+
 def pageview_lines(spark: SparkSession, folder: str) -> DataFrame:
     """A pageview line per event: all arities, blank and broken lines, dropped namespaces."""
-    return table(spark, folder, "events").selectExpr(
+    return rows_to_render(
+        spark, folder, "events", "event_id", "ts", "user_id", "event_type", "value"
+    ).selectExpr(
         "event_id",
         "concat('pageviews-', date_format(ts, 'yyyyMMdd'), "
         "  elt(1 + event_id div 4 % 5, '-user', '-spider', '-automated', '-bot', ''), '.bz2') AS file_name",
@@ -44,7 +53,9 @@ def pageview_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def clickstream_lines(spark: SparkSession, folder: str) -> DataFrame:
     """A clickstream line per event: URL, grouped and empty sources, short lines, bad counts."""
-    return table(spark, folder, "events").selectExpr(
+    return rows_to_render(
+        spark, folder, "events", "event_id", "ts", "user_id", "event_type", "value"
+    ).selectExpr(
         "event_id",
         f"concat('clickstream-', {WIKI_OF.format(key='user_id')}, '-', date_format(ts, 'yyyy-MM'), '.tsv.gz') "
         "  AS file_name",
@@ -64,7 +75,9 @@ def clickstream_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def pagelink_statements(spark: SparkSession, folder: str) -> DataFrame:
     """An INSERT of two links per line item; returned items go to another table's INSERT."""
-    return table(spark, folder, "lineitem").selectExpr(
+    return rows_to_render(
+        spark, folder, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_shipdate"
+    ).selectExpr(
         f"concat({WIKI_OF.format(key='l_linenumber')}, '-', date_format(l_shipdate, 'yyyyMM'), "
         "  '01-pagelinks.sql.gz') AS file_name",
         "concat(if(l_linenumber = 1, '-- links\\n\\n', ''), 'INSERT INTO `', "
@@ -81,7 +94,9 @@ def dump_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def page_statements(spark: SparkSession, folder: str) -> DataFrame:
     """An INSERT per part: titles with brackets, quotes, commas and semicolons, and NULLs."""
-    return table(spark, folder, "part").selectExpr(
+    return rows_to_render(
+        spark, folder, "part", "p_partkey", "p_name", "p_size"
+    ).selectExpr(
         "concat('enwiki-20240501-page.sql') AS file_name",
         "concat('INSERT INTO `page` VALUES (', concat_ws(',', p_partkey, p_partkey % 2, "
         "  concat('''', CASE WHEN p_partkey % 7 = 0 THEN concat(replace(p_name, ' ', '_'), '_(x)') "
@@ -96,7 +111,9 @@ def page_statements(spark: SparkSession, folder: str) -> DataFrame:
 
 def revision_pages(spark: SparkSession, folder: str) -> DataFrame:
     """A `<page>` per order with one to four revisions."""
-    return table(spark, folder, "orders").selectExpr(
+    return rows_to_render(
+        spark, folder, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"
+    ).selectExpr(
         "concat(elt(1 + o_custkey % 2, 'enwiki', 'dewiki'), '-', date_format(o_orderdate, 'yyyyMM'), "
         "  '01-stub-meta-history.xml.gz') AS file_name",
         "concat('<page><title>Order &amp; ', o_orderkey, '</title><ns>', if(o_orderkey % 3 = 0, 1, 0), "
@@ -136,7 +153,9 @@ MESSAGE_SCHEMA = "id bigint, event_id bigint, event_type string"
 
 def typed_messages(spark: SparkSession, folder: str) -> DataFrame:
     """JSON envelopes of every record type, one per event."""
-    return table(spark, folder, "events").selectExpr(
+    return rows_to_render(
+        spark, folder, "events", "event_id", "user_id", "ts"
+    ).selectExpr(
         "event_id",
         "elt(1 + event_id % 3, 'pageinfo_topic', 'wikidocument_topic', 'other_topic') AS topic",
         "concat('{\"page_hash\":\"h', user_id, '\",\"year_month\":\"', date_format(ts, 'yyyy-MM'), '\",', "
@@ -152,7 +171,9 @@ def typed_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 def dump_file_names(spark: SparkSession, folder: str) -> DataFrame:
     """A dump file name per order, of every type, with some names of no type."""
-    return table(spark, folder, "orders").selectExpr(
+    return rows_to_render(
+        spark, folder, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"
+    ).selectExpr(
         "o_orderkey",
         "o_orderstatus",
         "CASE o_orderkey % 7 "

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dumpflow import fixed_values as fx
@@ -12,37 +12,29 @@ from dumpflow.operators import lookups
 from dumpflow.operators import pages as docs
 from dumpflow.operators.links import INBOUND, OUTBOUND, mirror_links
 from dumpflow.operators.links import page_crosswalk as crosswalk_of
+from dumpflow.operators.records import struct_json
 from dumpflow.plans import adapters
 from dumpflow.plans.check_sql import CS, PG, PL, PV, RV, page_hash, with_
 from dumpflow.plans.registry import query
+from dumpflow.session import cut_lineage
 from dumpflow.sources.clickstream import clickstream_records, parse_clickstream
 from dumpflow.sources.pageviews import pageview_records, parse_pageviews
 from dumpflow.sources.revisions import pages_from_text, parse_revisions, revision_records
-from dumpflow.sources.sqldump import PAGE, PAGELINKS, page_info_records, parse_dump
-
-
-def _day_start(day: Column) -> Column:
-    return day.cast("timestamp")
+from dumpflow.sources.sqldump import PAGE, PAGELINKS, parse_dump
 
 
 def view_facts(spark: SparkSession, folder: str) -> DataFrame:
     """Pageview and title facts, keyed like the page table: by dump code and title."""
     parsed = parse_pageviews(adapters.pageview_lines(spark, folder)).where(F.col("title").isNotNull())
-    records = pageview_records(parsed).withColumns(
-        {
-            "wiki_code": normalize_wiki_code(F.col("wiki_code")),
-            "page_hash": page_identifier(normalize_wiki_code(F.col("wiki_code")), F.col("title")),
-        }
-    )
-    seen = _day_start(F.col("tuple_struct.date"))
-    return docs.page_facts(records, fx.PAGEVIEWS, seen_at=seen).unionByName(
-        docs.title_facts(records, F.col("title"), seen)
-    )
+    records = pageview_records(parsed.withColumn("domain", normalize_wiki_code(F.col("domain"))))
+    elements = {fx.PAGEVIEWS: struct_json(F.col("tuple_struct")), fx.TITLES: F.col("title")}
+    return docs.page_facts(records, elements, seen_at=F.col("tuple_struct.date").cast("timestamp"))
 
 
 def click_facts(spark: SparkSession, folder: str) -> DataFrame:
     records = clickstream_records(parse_clickstream(adapters.clickstream_lines(spark, folder)))
-    return docs.page_facts(records, fx.CLICKS_IN, seen_at=_day_start(F.col("tuple_struct.date")))
+    elements = {fx.CLICKS_IN: struct_json(F.col("tuple_struct"))}
+    return docs.page_facts(records, elements, seen_at=F.col("tuple_struct.date").cast("timestamp"))
 
 
 def event_page_facts(spark: SparkSession, folder: str) -> DataFrame:
@@ -111,7 +103,8 @@ def monthly_buckets(spark: SparkSession, folder: str) -> DataFrame:
 )
 def page_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Nested documents; no page of the given tables is large enough for a second chunk."""
-    documents = docs.page_documents(docs.page_elements(event_page_facts(spark, folder)), chunk_size=1_000_000)
+    elements = cut_lineage(docs.page_elements(event_page_facts(spark, folder)))
+    documents = docs.page_documents(elements, chunk_size=1_000_000)
     return documents.select(
         "wiki_code", "page_hash", "chunk",
         *[F.array_join(kind, ";").alias(kind) for kind in (fx.PAGEVIEWS, fx.CLICKS_IN, fx.TITLES)],
@@ -143,7 +136,7 @@ def current_title(spark: SparkSession, folder: str) -> DataFrame:
         F.concat_ws("_", "event_type", "user_id").alias("title"),
         F.col("ts").cast("timestamp").alias("ts"),
     )
-    folded = docs.page_fold(docs.title_facts(records, F.col("title"), F.col("ts")))
+    folded = docs.page_fold(docs.page_facts(records, {fx.TITLES: F.col("title")}, seen_at=F.col("ts")))
     return folded.select("page_hash", "current_title", "n_historical_titles")
 
 
@@ -175,30 +168,29 @@ def page_fold_crosswalk(spark: SparkSession, folder: str) -> DataFrame:
     crosswalk = crosswalk_of(page_rows)
 
     edges = parse_dump(adapters.pagelink_statements(spark, folder), PAGELINKS).where("wiki_code = 'enwiki'").distinct()
-    links = mirror_links(edges).withColumn("page_id", F.col("pl_from"))
-    keyed = lookups.lookup_join(links, crosswalk.select("wiki_code", "page_id", "title_hash"), ["wiki_code", "page_id"], "inner")
-
-    def link_facts(direction: str, kind: str) -> DataFrame:
-        rows = keyed.where(F.col("direction") == direction)
-        records = rows.select(
-            "wiki_code", F.col("title_hash").alias("page_hash"), "year_month", "timestamp",
-            F.struct("pl_from", "pl_from_namespace", "pl_target_id", "timestamp").alias("tuple_struct"),
-        )
-        return docs.page_facts(records, kind)
-
-    revisions = revision_records(parse_revisions(pages_from_text(adapters.revision_pages(spark, folder))))
-    by_id = lookups.lookup_join(
-        revisions.where("wiki_code = 'enwiki'").withColumnRenamed("page_hash", "id_hash"),
+    links = lookups.lookup_join(
+        mirror_links(edges).withColumn("page_id", F.col("pl_from")),
+        crosswalk.select("wiki_code", "page_id", F.col("title_hash").alias("page_hash")),
+        ["wiki_code", "page_id"], "inner",
+    )
+    link = struct_json(F.struct("pl_from", "pl_from_namespace", "pl_target_id", "timestamp"))
+    link_elements = {
+        fx.LINKS_OUT: F.when(F.col("direction") == OUTBOUND, link),
+        fx.LINKS_IN: F.when(F.col("direction") == INBOUND, link),
+    }
+
+    parsed = parse_revisions(pages_from_text(adapters.revision_pages(spark, folder))).where("wiki_code = 'enwiki'")
+    revisions = lookups.lookup_join(
+        revision_records(parsed).withColumnRenamed("page_hash", "id_hash"),
         crosswalk.select("wiki_code", "id_hash", F.col("title_hash").alias("page_hash")),
         ["wiki_code", "id_hash"], "inner",
     )
-    info = page_info_records(page_rows)
     facts = (
         view_facts(spark, folder).where("wiki_code = 'enwiki'")
-        .unionByName(link_facts(OUTBOUND, fx.LINKS_OUT))
-        .unionByName(link_facts(INBOUND, fx.LINKS_IN))
-        .unionByName(docs.page_facts(by_id, fx.REVISIONS, seen_at=F.col("tuple_struct.timestamp")))
-        .unionByName(docs.title_facts(info, F.col("tuple_struct.page_title"), F.col("timestamp")))
+        .unionByName(docs.page_facts(links, link_elements, seen_at=F.col("timestamp")))
+        .unionByName(docs.page_facts(revisions, {fx.REVISIONS: struct_json(F.col("tuple_struct"))},
+                                     seen_at=F.col("tuple_struct.timestamp")))
+        .unionByName(docs.page_facts(page_rows, {fx.TITLES: F.col("page_title")}, seen_at=F.col("timestamp")))
     )
     folded = docs.fold_pages(docs.page_elements(facts))
     return folded.select(

@@ -16,7 +16,7 @@ from dumpflow.plans.registry import query
     UNION ALL SELECT 'pages', page_id, {page_hash("'enwiki'", 'url')} FROM pages"""
 )
 def page_identifier(spark: SparkSession, folder: str) -> DataFrame:
-    documents = adapters.table(spark, folder, "documents").select(
+    documents = adapters.rows_to_render(spark, folder, "documents", "doc_id", "lang", "text").select(
         F.lit("documents").alias("origin"), F.col("doc_id").alias("id"),
         ids.page_identifier(F.col("lang"), F.col("text")).alias("page_hash"),
     )
@@ -66,7 +66,7 @@ def url_host(spark: SparkSession, folder: str) -> DataFrame:
 )
 def string_fns(spark: SparkSession, folder: str) -> DataFrame:
     body = F.col("text")
-    split = text.once(adapters.table(spark, folder, "documents"), "w", text.words(body))
+    split = text.once(adapters.rows_to_render(spark, folder, "documents", "doc_id", "text", "lang", "source"), "w", text.words(body))
     first = F.get("w", F.lit(0))
     return split.select(
         "doc_id",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -41,3 +41,11 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
     """A new path under the shared folder; nothing is created yet."""
     return f"{shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(rows: DataFrame) -> DataFrame:
+    """Write rows to the checkpoint folder once, for plans that read them more than once."""
+    spark = rows.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    return rows.checkpoint()

@@ -35,6 +35,17 @@ def read_lines(
     return lines.repartition(spread) if spread else lines
 
 
+def spread_out(rows: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Deal the rows of a scan out when it has fewer splits than the cluster has cores.
+
+    Meant for small or unsplittable inputs in front of heavy parsing. A scan that
+    already fills the cluster is returned as it is, with no shuffle added. Apply
+    it to scans only: counting the splits of a plan with shuffles would run it.
+    """
+    wanted = tasks or rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(wanted) if rows.rdd.getNumPartitions() < wanted else rows
+
+
 def concat_lines(*frames: DataFrame) -> DataFrame:
     """One frame out of several parsed or raw files, matched by column name."""
     if not frames:

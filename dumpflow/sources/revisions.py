@@ -91,17 +91,16 @@ def classify_revisions(pages: DataFrame, wiki_code: str | None = None) -> DataFr
         *[columns[c].alias(c) for c in ("wiki_code", "page_id", "title", "is_redirect", "page_hash")],
         F.explode("page.revision").alias("_rev"),
     )
-    stamp_text = F.col("_rev.timestamp")
-    stamp = parse_iso(stamp_text)
+    revisions = once(revisions, "_stamp", parse_iso(F.col("_rev.timestamp")))
     reason = (
-        F.when(F.coalesce(stamp_text, F.lit("")) == "", MISSING_TIMESTAMP)
+        F.when(F.coalesce("_rev.timestamp", F.lit("")) == "", MISSING_TIMESTAMP)
         .when(F.col("_rev.minor").isNotNull(), MINOR_EDIT)
-        .when(stamp.isNull(), BAD_TIMESTAMP)
+        .when(F.col("_stamp").isNull(), BAD_TIMESTAMP)
     )
     return revisions.select(
         *carried, "wiki_code", "page_id", "title", "is_redirect", "page_hash",
         F.coalesce("_rev.id", F.lit("")).alias("rev_id"),
-        stamp.alias("timestamp"),
+        F.col("_stamp").alias("timestamp"),
         contributor_id(F.col("_rev.contributor")).alias("contributor_id"),
         contributor_kind(F.col("_rev.contributor")).alias("contributor_kind"),
         reason.alias("reason"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from dumpflow.functions.ids import page_identifier
 from dumpflow.functions.text import is_blank, once
-from dumpflow.functions.times import file_date_text, file_wiki_code, file_year_month, parse_touched, utc_timestamp
+from dumpflow.functions.times import file_date_text, file_wiki_code, parse_touched, utc_timestamp
 from dumpflow.sources.lines import read_lines
 
 # Possessive repeats: plain ones recurse and overflow the stack on long values.
@@ -91,18 +91,14 @@ def classify_dump(statements: DataFrame, table: DumpTable, wiki_code: str | None
     """
     name = F.col("file_name")
     carried = [c for c in statements.columns if c != "value"]
-    tuples = (
-        _insert_values(statements, table.name)
-        # Once per statement, before it is split into its many tuples.
-        .withColumns(
-            {
-                "wiki_code": F.lit(wiki_code) if wiki_code else file_wiki_code(name),
-                "year_month": file_year_month(name),
-                "timestamp": utc_timestamp(F.concat(file_date_text(name), F.lit("T00:00:00"))),
-            }
-        )
-        .select(*carried, "wiki_code", "year_month", "timestamp",
-                F.explode(F.regexp_extract_all("_values", F.lit(_TUPLE), F.lit(1))).alias("_tuple"))
+    # What the file name tells is worked out once per statement, not per tuple.
+    dated = once(_insert_values(statements, table.name), "_day", file_date_text(name))
+    tuples = dated.select(
+        *carried,
+        (F.lit(wiki_code) if wiki_code else file_wiki_code(name)).alias("wiki_code"),
+        F.substring("_day", 1, 7).alias("year_month"),
+        utc_timestamp(F.concat("_day", F.lit("T00:00:00"))).alias("timestamp"),
+        F.explode(F.regexp_extract_all("_values", F.lit(_TUPLE), F.lit(1))).alias("_tuple"),
     )
     quoted = any(kind.startswith(("string", "stamp")) for _, kind in table.fields)
     parts = F.regexp_extract_all("_tuple", F.lit(_FIELD), F.lit(1)) if quoted else F.split("_tuple", ",")
