@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from dumpflow.fixed_values import FILE_DATE_PATTERNS
 
+_DUMP_STAMP = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"
 _ISO = r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:[.,]\d{1,6})?)?(?:Z|[+-]\d{2}:?\d{2})?)?$"
 
 
@@ -49,14 +50,18 @@ def utc_timestamp(text: Column) -> Column:
 
 def parse_iso(text: Column) -> Column:
     """ISO 8601 text to a timestamp. `Z` and offsets are honoured, none means UTC."""
-    dotted = F.replace(text, F.lit(","), F.lit("."))
-    zoned = (
-        F.when(text.endswith("Z"), dotted)
-        .when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00Z")))
-        .when(text.rlike(r":.*[+-]\d{2}:?\d{2}$"), dotted)
-        .otherwise(F.concat(dotted, F.lit("Z")))
+    seconds = F.regexp_replace(
+        F.replace(text, F.lit(","), F.lit(".")), r"^(.{10}[T ]\d{2}:\d{2})(?=$|Z|[+-])", "$1:00"
+    )
+    other = (
+        F.when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00Z")))
+        .when(text.rlike(r"(?:Z|:.*[+-]\d{2}:?\d{2})$"), seconds)
+        .otherwise(F.concat(seconds, F.lit("Z")))
+    )
+    # Nearly all stamps in dumps have the first form.
+    return F.when(text.rlike(_DUMP_STAMP), text.try_cast("timestamp")).when(
+        text.rlike(_ISO), other.try_cast("timestamp")
     )
-    return F.when(text.rlike(_ISO), zoned.try_cast("timestamp"))
 
 
 def parse_touched(text: Column) -> Column:

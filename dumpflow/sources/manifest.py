@@ -23,7 +23,7 @@ def data_type_of(file_name: Column) -> Column:
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Paths under a folder, read without touching file contents."""
+    """Paths under a folder, read without touching file contents. Empty files do not count."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     return files.select("path", F.substring_index("path", "/", -1).alias("file_name"), "length")
 

@@ -5,12 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
-def drop_repeats(stream: DataFrame, keys: Sequence[str], at: str, within: str) -> DataFrame:
+def drop_repeats(stream: DataFrame, keys: Sequence[str], within: str) -> DataFrame:
     """Keep the first of equal messages that arrive within a time of each other.
 
-    `within` bounds how long keys are held in state. Repeats from further apart
-    pass; the page fold absorbs those, as it drops equal elements for good.
+    Time is that of arrival, not of the event, so a message about the distant past
+    is never taken for late and dropped. `within` bounds how long keys are held in
+    state. Repeats from further apart pass; the page fold absorbs those, as it
+    drops equal elements for good.
     """
-    return stream.withWatermark(at, within).dropDuplicatesWithinWatermark(list(keys))
+    arrived = stream.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", within)
+    return arrived.dropDuplicatesWithinWatermark(list(keys)).drop("_arrived")
