@@ -26,38 +26,43 @@ def stamp_ingest(records: DataFrame, run_time: Column) -> DataFrame:
     return records.withColumn("timestamp", run_time)
 
 
-def route_schema(message: Column, topic: Column) -> Column:
-    """Record type of a JSON message.
+def route_schema(messages: DataFrame, topic: str = "topic") -> DataFrame:
+    """Add the record type of opened JSON messages as `schema_name`.
 
     An explicit `_schema_name` wins, then the keys in `tuple_struct` decide, then
     the topic. Link messages carry a `direction`; without one they are outbound.
     """
-    def inner(key: str) -> Column:
-        return has_key(message, "tuple_struct", key)
-
-    by_topic = F.initcap(F.replace(topic, F.lit("_topic"), F.lit("")))
+    top, inner = F.col("_top"), F.col("_inner")
+    by_topic = F.initcap(F.replace(F.col(topic), F.lit("_topic"), F.lit("")))
     for name, schema in fx.TOPIC_SCHEMAS.items():
-        by_topic = F.when(topic == name, F.lit(schema)).otherwise(by_topic)
-    inbound = F.get_json_object(message, "$.direction") == "inbound"
-    return (
-        F.when(has_key(message, "_schema_name"), F.get_json_object(message, "$._schema_name"))
-        .when(inner("rev_id"), "RevisionData")
-        .when(inner("access_type"), "PageView")
-        .when(inner("target_page"), "ClickStream")
-        .when(inner("pl_from"), F.when(inbound, "InboundPageLinks").otherwise("OutboundPageLinks"))
-        .when(inner("title"), F.when(has_key(message, "wiki_code"), "WikiDocument").otherwise("TitleIdMapping"))
-        .when(inner("page_title"), "PageInfo")
+        by_topic = F.when(F.col(topic) == name, F.lit(schema)).otherwise(by_topic)
+    inbound = F.try_element_at(top, F.lit("direction")) == "inbound"
+    schema_name = (
+        F.when(has_key(top, "_schema_name"), F.try_element_at(top, F.lit("_schema_name")))
+        .when(has_key(inner, "rev_id"), "RevisionData")
+        .when(has_key(inner, "access_type"), "PageView")
+        .when(has_key(inner, "target_page"), "ClickStream")
+        .when(has_key(inner, "pl_from"), F.when(inbound, "InboundPageLinks").otherwise("OutboundPageLinks"))
+        .when(has_key(inner, "title"), F.when(has_key(top, "wiki_code"), "WikiDocument").otherwise("TitleIdMapping"))
+        .when(has_key(inner, "page_title"), "PageInfo")
         .otherwise(by_topic)
     )
+    return messages.withColumn("schema_name", schema_name)
+
+
+def message_field(path: str) -> Column:
+    """A field of an opened message by its dotted path, as text."""
+    parent, _, key = path.rpartition(".")
+    if parent not in ("", "tuple_struct"):
+        raise ValueError(f"no such part of a message: {parent}")
+    return F.try_element_at("_inner" if parent else "_top", F.lit(key))
 
 
-def partition_key(message: Column, schema_name: Column) -> Column:
-    """Message key by record type; NULL for types without one (no key, spread freely)."""
+def partition_key(schema_name: Column) -> Column:
+    """Key of opened messages by record type; NULL for types without one (no key, spread freely)."""
     out = F.lit(None).cast("string")
     for schema, paths in fx.PARTITION_KEYS.items():
-        out = F.when(
-            schema_name == schema, key_text(*[F.get_json_object(message, f"$.{p}") for p in paths])
-        ).otherwise(out)
+        out = F.when(schema_name == schema, key_text(*[message_field(p) for p in paths])).otherwise(out)
     return out
 
 
@@ -79,10 +84,9 @@ def clickstream_composite_key(records: DataFrame) -> Column:
     return composite_key(records["year_month"], records["tuple_struct"]["target_page"])
 
 
-def metadata_map(message: Column) -> Column:
-    """All top-level fields of a JSON document but its key fields, as `metadata.<name>`."""
-    fields = F.from_json(message, "map<string,string>")
-    kept = F.map_filter(fields, lambda k, v: ~k.isin(*fx.DOCUMENT_KEY_FIELDS))
+def metadata_map() -> Column:
+    """Top-level fields of opened messages but their key fields, as `metadata.<name>`."""
+    kept = F.map_filter("_top", lambda k, v: ~k.isin(*fx.DOCUMENT_KEY_FIELDS))
     return F.transform_keys(kept, lambda k, v: F.concat(F.lit("metadata."), k))
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from dumpflow.functions.times import stamp_text
 from dumpflow.operators import links as graph
-from dumpflow.operators.pages import latest_row
 from dumpflow.plans import adapters
 from dumpflow.plans.check_sql import PG, PL, RV, page_hash, with_
 from dumpflow.plans.registry import query
@@ -172,6 +171,5 @@ def last_updated(spark: SparkSession, folder: str) -> DataFrame:
       FROM rv WHERE reason IS NULL) WHERE rn = 1"""
 )
 def latest_revision(spark: SparkSession, folder: str) -> DataFrame:
-    kept = rev.parse_revisions(_export(spark, folder)).select("page_hash", "rev_id", "timestamp", "contributor_kind")
-    newest = latest_row(kept, ["page_hash"], [F.col("timestamp"), F.col("rev_id").try_cast("bigint")])
+    newest = rev.latest_revisions(_export(spark, folder))
     return newest.select("page_hash", "rev_id", stamp_text(F.col("timestamp")).alias("stamp"), "contributor_kind")

@@ -14,7 +14,7 @@ from dumpflow.plans.check_sql import CS, PV, page_hash, with_
 from dumpflow.plans.registry import query
 from dumpflow.sources.clickstream import clickstream_records, parse_clickstream
 from dumpflow.sources.pageviews import pageview_records, parse_pageviews
-from dumpflow.sources.topics import decode_json
+from dumpflow.sources.topics import decode_json, open_messages
 
 _PV_HASH = page_hash("domain", "coalesce(title, '')")
 _CS_HASH = page_hash("wiki_code", "target")
@@ -77,8 +77,7 @@ _ROUTE = """CASE event_id % 9 WHEN 0 THEN 'RevisionData' WHEN 1 THEN 'WikiDocume
 
 @query(f"SELECT event_id, {_ROUTE} AS schema_name FROM events")
 def schema_route(spark: SparkSession, folder: str) -> DataFrame:
-    messages = adapters.typed_messages(spark, folder)
-    return messages.select("event_id", rec.route_schema(F.col("value"), F.col("topic")).alias("schema_name"))
+    return rec.route_schema(open_messages(adapters.typed_messages(spark, folder))).select("event_id", "schema_name")
 
 
 @query(
@@ -89,9 +88,8 @@ def schema_route(spark: SparkSession, folder: str) -> DataFrame:
     FROM (SELECT *, strftime(ts, '%Y-%m') AS ym, {_ROUTE} AS r FROM events)"""
 )
 def partition_key(spark: SparkSession, folder: str) -> DataFrame:
-    messages = adapters.typed_messages(spark, folder)
-    routed = messages.withColumn("schema_name", rec.route_schema(F.col("value"), F.col("topic")))
-    return routed.select("event_id", rec.partition_key(F.col("value"), F.col("schema_name")).alias("key"))
+    routed = rec.route_schema(open_messages(adapters.typed_messages(spark, folder)))
+    return routed.select("event_id", rec.partition_key(F.col("schema_name")).alias("key"))
 
 
 @query(
@@ -100,8 +98,8 @@ def partition_key(spark: SparkSession, folder: str) -> DataFrame:
     UNION ALL SELECT event_id, 'metadata.direction', 'inbound' FROM events WHERE event_id % 9 = 4"""
 )
 def metadata_flatten(spark: SparkSession, folder: str) -> DataFrame:
-    messages = adapters.typed_messages(spark, folder)
-    return messages.select("event_id", F.explode(rec.metadata_map(F.col("value"))).alias("name", "value"))
+    messages = open_messages(adapters.typed_messages(spark, folder))
+    return messages.select("event_id", F.explode(rec.metadata_map()).alias("name", "value"))
 
 
 @query(

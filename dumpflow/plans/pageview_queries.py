@@ -12,7 +12,7 @@ from dumpflow.plans import adapters
 from dumpflow.plans.check_sql import CS, PV, page_hash, wiki_of, with_
 from dumpflow.plans.registry import query
 from dumpflow.sources.clickstream import classify_clickstream, clicks_per_target, parse_clickstream
-from dumpflow.sources.formats import route_lines, tsv_kind
+from dumpflow.sources.formats import tsv_kind
 from dumpflow.sources.lines import concat_lines
 from dumpflow.sources.pageviews import classify_pageviews, parse_pageviews, views_per_page_day
 
@@ -98,8 +98,7 @@ def _mixed_lines(spark: SparkSession, folder: str) -> DataFrame:
     "SELECT 'pageviews' AS kind, count(*) AS n FROM events UNION ALL SELECT 'clickstream', count(*) FROM events"
 )
 def route_by_file(spark: SparkSession, folder: str) -> DataFrame:
-    views, clicks = route_lines(_mixed_lines(spark, folder))
-    routed = concat_lines(views, clicks).withColumn("kind", tsv_kind(F.col("file_name")))
+    routed = _mixed_lines(spark, folder).withColumn("kind", tsv_kind(F.col("file_name")))
     return routed.groupBy("kind").agg(F.count("*").alias("n"))
 
 

@@ -113,6 +113,38 @@ def parse_revisions(pages: DataFrame, wiki_code: str | None = None) -> DataFrame
     return kept.withColumn("year_month", year_month(F.col("timestamp")))
 
 
+def latest_revisions(pages: DataFrame, wiki_code: str | None = None) -> DataFrame:
+    """Newest kept revision of every main-namespace page, by time, then by revision id.
+
+    Each page is reduced within its own array first, so one row per page element
+    is shuffled instead of one per revision.
+    """
+    columns = _page_columns(wiki_code)
+
+    def entry(rev: Column) -> Column:
+        return F.struct(
+            parse_iso(rev["timestamp"]).alias("timestamp"),
+            rev["id"].try_cast("bigint").alias("number"),
+            F.coalesce(rev["id"], F.lit("")).alias("rev_id"),
+            contributor_id(rev["contributor"]).alias("contributor_id"),
+            contributor_kind(rev["contributor"]).alias("contributor_kind"),
+        )
+
+    kept = F.filter("page.revision", lambda rev: rev["minor"].isNull())
+    entries = F.filter(F.transform(kept, entry), lambda e: e["timestamp"].isNotNull())
+    per_page = once(
+        pages.where(columns["namespace"] == 0).select(
+            columns["wiki_code"].alias("wiki_code"), columns["page_hash"].alias("page_hash"), "page"
+        ),
+        "_newest", F.array_max(entries),
+    ).where(F.col("_newest").isNotNull())
+    newest = per_page.groupBy("wiki_code", "page_hash").agg(F.max("_newest").alias("_newest"))
+    return newest.select(
+        "wiki_code", "page_hash", "_newest.rev_id", "_newest.timestamp",
+        "_newest.contributor_id", "_newest.contributor_kind",
+    )
+
+
 def revision_records(parsed: DataFrame) -> DataFrame:
     """Envelope rows of revisions."""
     return parsed.select(

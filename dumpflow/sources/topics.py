@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dumpflow.functions.text import once
+
 
 def read_topic(spark: SparkSession, topic: str, options: dict[str, str], source: str = "kafka") -> DataFrame:
     """Stream of one topic's string values. Needs the connector of `source`."""
@@ -39,8 +41,18 @@ def decode_json(rows: DataFrame, schema: str, text: str = "value", into: str = "
     )
 
 
-def has_key(message: Column, *path: str) -> Column:
-    """Whether a JSON object, or the object at a path of it, has a key. False, never NULL."""
-    *parents, key = path
-    holder = message if not parents else F.get_json_object(message, "$." + ".".join(parents))
-    return F.coalesce(F.array_contains(F.json_object_keys(holder), key), F.lit(False))
+def open_messages(rows: DataFrame, text: str = "value") -> DataFrame:
+    """Add a JSON message's fields as two maps, each parsed once.
+
+    `_top` holds the fields of the message, nested ones as JSON text, and `_inner`
+    those of its `tuple_struct`. A key with a null value is present in a map. Both
+    are NULL where there is no such object.
+    """
+    fields = "map<string,string>"
+    top = once(rows, "_top", F.from_json(text, fields))
+    return once(top, "_inner", F.from_json(F.try_element_at("_top", F.lit("tuple_struct")), fields))
+
+
+def has_key(fields: Column, key: str) -> Column:
+    """Whether a field map has a key. False, never NULL."""
+    return F.coalesce(F.map_contains_key(fields, key), F.lit(False))

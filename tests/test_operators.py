@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from dumpflow import fixed_values as fx
 from dumpflow.operators import links, lookups, pages, quality, records, stats
 from dumpflow.sources.pageviews import classify_pageviews
-from dumpflow.sources.topics import decode_json, union_topics
+from dumpflow.sources.topics import decode_json, open_messages, union_topics
 
 
 def rows(frame, *columns):
@@ -229,8 +229,8 @@ def test_routing_rules(spark):
         ("other_topic", {"a": 1}, "Other"),
     ]
     frame = spark.createDataFrame([(t, json.dumps(m), w) for t, m, w in messages], "topic string, value string, want string")
-    routed = frame.withColumn("got", records.route_schema(F.col("value"), F.col("topic")))
-    assert routed.where("NOT (got <=> want)").count() == 0
+    routed = records.route_schema(open_messages(frame))
+    assert [(r.topic, r.schema_name) for r in routed.where("NOT (schema_name <=> want)").collect()] == []
 
 
 def test_keys_of_typed_frames_equal_keys_of_messages(spark):
@@ -238,7 +238,8 @@ def test_keys_of_typed_frames_equal_keys_of_messages(spark):
                       "named_struct('pl_from', 5, 'pl_target_id', 6) AS tuple_struct")
     for schema in ("PageView", "OutboundPageLinks", "InboundPageLinks"):
         message = records.message_rows(frame, "t", schema).first()
-        again = frame.select(records.partition_key(F.lit(message.value), F.lit(schema)).alias("k")).first().k
+        opened = open_messages(spark.createDataFrame([(message.value,)], "value string"))
+        again = opened.select(records.partition_key(F.lit(schema)).alias("k")).first().k
         assert message.key == again
     assert json.loads(message.value) == {"page_hash": "h", "year_month": None, "tuple_struct": {"pl_from": 5, "pl_target_id": 6}}
     assert records.message_rows(frame, "t", "Unmapped").first().key is None

@@ -306,3 +306,15 @@ def test_own_format_can_be_registered(spark, lines_of):
     assert rows(formats.parse_as("upper", lines_of(["a"])), "v") == [("A",)]
     with pytest.raises(ValueError):
         formats.parse_as("unknown", lines_of(["a"]))
+
+
+def test_latest_revision_equals_the_last_kept_row(spark, tmp_path):
+    from dumpflow.operators.pages import latest_row
+
+    for name in ("enwiki-20240101-stub-meta-history.xml", "enwiki-20240201-stub-meta-history.xml"):
+        (tmp_path / name).write_text(EXPORT)
+    pages = revisions.read_pages(spark, str(tmp_path))
+    kept = revisions.parse_revisions(pages).select("page_hash", "rev_id", "timestamp", "contributor_kind")
+    columns = ("page_hash", "rev_id", "timestamp", "contributor_kind")
+    by_rows = latest_row(kept, ["page_hash"], [F.col("timestamp"), F.col("rev_id").cast("bigint")])
+    assert rows(revisions.latest_revisions(pages), *columns) == rows(by_rows, *columns)
