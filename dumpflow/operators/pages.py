@@ -88,6 +88,25 @@ def page_fold(facts: DataFrame) -> DataFrame:
     )
 
 
+def latest_metadata(rows: DataFrame, fields: list[str], at: Column) -> DataFrame:
+    """Page id and a map of descriptive fields per page, both as last written.
+
+    `rows` carry the page key, `page_id` and the fields. Rows written at one time
+    are told apart by their content, so the result does not depend on row order.
+    """
+    pairs = [part for name in fields for part in (F.lit(name), F.col(name).cast("string"))]
+    described = rows.select(*PAGE_KEY, "page_id", F.create_map(*pairs).alias("metadata"), at.alias("_at"))
+    last = F.struct("_at", "page_id", F.to_json("metadata"))
+    return described.groupBy(*PAGE_KEY).agg(
+        F.max_by(F.struct("page_id", "metadata"), last).alias("_last")
+    ).select(*PAGE_KEY, "_last.page_id", "_last.metadata")
+
+
+def page_summaries(facts: DataFrame, metadata: DataFrame) -> DataFrame:
+    """The fold together with each page's latest metadata, where there is any."""
+    return page_fold(facts).join(metadata, list(PAGE_KEY), "left")
+
+
 def monthly_and_total(facts: DataFrame) -> DataFrame:
     """The fold at both grains: one row per page and month, and one with a NULL month.
 

@@ -92,17 +92,22 @@ def dump_lines(spark: SparkSession, folder: str) -> DataFrame:
     return pagelink_statements(spark, folder).select("file_name", F.explode(F.split("value", "\n")).alias("value"))
 
 
-def page_statements(spark: SparkSession, folder: str) -> DataFrame:
-    """An INSERT per part: titles with brackets, quotes, commas and semicolons, and NULLs."""
+def page_statements(spark: SparkSession, folder: str, day: str = "20240501", moved: bool = False) -> DataFrame:
+    """An INSERT per part: titles with brackets, quotes, commas and semicolons, and NULLs.
+
+    With `moved`, every fourth page has another title and is a redirect.
+    """
+    move = "p_partkey % 4 = 0" if moved else "false"
     return rows_to_render(
         spark, folder, "part", "p_partkey", "p_name", "p_size"
     ).selectExpr(
-        "concat('enwiki-20240501-page.sql') AS file_name",
+        f"'enwiki-{day}-page.sql' AS file_name",
         "concat('INSERT INTO `page` VALUES (', concat_ws(',', p_partkey, p_partkey % 2, "
-        "  concat('''', CASE WHEN p_partkey % 7 = 0 THEN concat(replace(p_name, ' ', '_'), '_(x)') "
+        f"  concat('''', CASE WHEN {move} THEN concat('Moved_', p_partkey) "
+        "    WHEN p_partkey % 7 = 0 THEN concat(replace(p_name, ' ', '_'), '_(x)') "
         "    WHEN p_partkey % 11 = 0 THEN concat('It\\\\''s_', replace(p_name, ' ', '_'), ',;') "
         "    ELSE concat('Page_', p_partkey) END, ''''), "
-        "  if(p_partkey % 6 = 0, 1, 0), 0, '0.5', "
+        f"  if(p_partkey % 6 = 0 OR {move}, 1, 0), 0, '0.5', "
         "  concat('''20240101', lpad(p_partkey % 24, 2, '0'), lpad(p_partkey % 60, 2, '0'), '00'''), "
         "  if(p_partkey % 3 = 0, 'NULL', '''20240102000000'''), p_partkey * 7, p_size, "
         "  if(p_partkey % 5 = 0, 'NULL', '''wikitext'''), 'NULL'), ')') AS value",

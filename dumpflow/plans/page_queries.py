@@ -18,6 +18,7 @@ from dumpflow.plans.check_sql import CS, PG, PL, PV, RV, page_hash, with_
 from dumpflow.plans.registry import query
 from dumpflow.session import cut_lineage
 from dumpflow.sources.clickstream import clickstream_records, parse_clickstream
+from dumpflow.sources.lines import concat_lines
 from dumpflow.sources.pageviews import pageview_records, parse_pageviews
 from dumpflow.sources.revisions import pages_from_text, parse_revisions, revision_records
 from dumpflow.sources.sqldump import PAGE, PAGELINKS, parse_dump
@@ -198,6 +199,39 @@ def page_fold_crosswalk(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    with_(PG)
+    + """SELECT sha256('enwiki-' || page_id) AS page_hash, page_id,
+      CASE WHEN page_id % 4 = 0 THEN 'Moved_' || page_id ELSE page_title END AS current_title,
+      CASE WHEN page_id % 4 = 0 THEN 2 ELSE 1 END AS n_historical_titles,
+      CAST(page_namespace AS VARCHAR) AS page_namespace,
+      CASE WHEN page_id % 4 = 0 THEN '1' ELSE CAST(page_is_redirect AS VARCHAR) END AS page_is_redirect,
+      '2024-05-01 00:00:00' AS created_at, '2024-06-01 00:00:00' AS last_updated FROM pg"""
+)
+def page_metadata(spark: SparkSession, folder: str) -> DataFrame:
+    """Two dumps of the page table a month apart, with some pages moved between them.
+
+    Pages are keyed by the hash of their id, which a move does not change.
+    """
+    dumps = parse_dump(
+        concat_lines(
+            adapters.page_statements(spark, folder),
+            adapters.page_statements(spark, folder, day="20240601", moved=True),
+        ),
+        PAGE,
+    ).withColumn("page_hash", content_hash(F.col("wiki_code"), F.col("page_id")))
+    facts = docs.page_facts(dumps, {fx.TITLES: F.col("page_title")}, seen_at=F.col("timestamp"))
+    fields = ["page_namespace", "page_title", "page_is_redirect", "page_touched"]
+    summaries = docs.page_summaries(facts, docs.latest_metadata(dumps, fields, at=F.col("timestamp")))
+    return summaries.select(
+        "page_hash", "page_id", "current_title", "n_historical_titles",
+        F.col("metadata")["page_namespace"].alias("page_namespace"),
+        F.col("metadata")["page_is_redirect"].alias("page_is_redirect"),
+        stamp_text(F.col("created_at")).alias("created_at"),
+        stamp_text(F.col("last_updated")).alias("last_updated"),
+    )
+
+
 @query(
     """WITH o AS (SELECT DISTINCT user_id FROM events WHERE ts < TIMESTAMP '2024-01-16' AND event_type = 'click'),
     n AS (SELECT DISTINCT user_id FROM events WHERE ts >= TIMESTAMP '2024-01-16')
