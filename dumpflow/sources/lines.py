@@ -32,7 +32,7 @@ def read_lines(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
     )
-    return lines.repartition(spread) if spread else lines
+    return spread_out(lines, spread) if spread else lines
 
 
 def spread_out(rows: DataFrame, tasks: int | None = None) -> DataFrame:
@@ -43,7 +43,12 @@ def spread_out(rows: DataFrame, tasks: int | None = None) -> DataFrame:
     it to scans only: counting the splits of a plan with shuffles would run it.
     """
     wanted = tasks or rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(wanted) if rows.rdd.getNumPartitions() < wanted else rows
+    if rows.rdd.getNumPartitions() >= wanted:
+        return rows
+    # A scan reads a split in the same order every time, so row numbers, unlike a
+    # round-robin deal, need no sort to give the same result when a task is rerun.
+    numbered = rows.withColumn("_row", F.monotonically_increasing_id())
+    return numbered.repartition(wanted, "_row").drop("_row")
 
 
 def concat_lines(*frames: DataFrame) -> DataFrame:

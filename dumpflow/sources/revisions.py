@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from dumpflow.functions.ids import content_hash
 from dumpflow.functions.text import once
 from dumpflow.functions.times import file_wiki_code, parse_iso, year_month
+from dumpflow.sources.lines import spread_out
 from dumpflow.sources.schemas import PAGE_XML, PAGE_XML_FIELDS
 
 MISSING_TIMESTAMP = "missing_timestamp"
@@ -29,7 +30,7 @@ def read_pages(spark: SparkSession, paths, spread: int | None = None) -> DataFra
         .load(paths)
     )
     pages = raw.select(F.struct(*PAGE_XML_FIELDS).alias("page"), F.col("_metadata.file_name").alias("file_name"))
-    return pages.repartition(spread) if spread else pages
+    return spread_out(pages, spread) if spread else pages
 
 
 def pages_from_text(rows: DataFrame) -> DataFrame:

