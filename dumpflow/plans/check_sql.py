@@ -61,7 +61,7 @@ PL = f"""pl AS (
 
 # Rows of the page table.
 PG = """pg AS (
-  SELECT p_partkey AS page_id, p_partkey % 2 AS page_namespace,
+  SELECT p_partkey AS page_id, CAST(p_partkey % 2 AS INTEGER) AS page_namespace,
     CASE WHEN p_partkey % 7 = 0 THEN replace(p_name, ' ', '_') || '_(x)'
       WHEN p_partkey % 11 = 0 THEN 'It''s_' || replace(p_name, ' ', '_') || ',;'
       ELSE 'Page_' || p_partkey END AS page_title,
@@ -69,7 +69,7 @@ PG = """pg AS (
     '2024-01-01 ' || lpad(CAST(p_partkey % 24 AS VARCHAR), 2, '0') || ':'
       || lpad(CAST(p_partkey % 60 AS VARCHAR), 2, '0') || ':00' AS page_touched,
     CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE '2024-01-02 00:00:00' END AS page_links_updated,
-    p_partkey * 7 AS page_latest, p_size AS page_len,
+    p_partkey * 7 AS page_latest, CAST(p_size AS BIGINT) AS page_len,
     CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE 'wikitext' END AS page_content_model
   FROM part)"""
 

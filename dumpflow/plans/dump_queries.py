@@ -143,7 +143,7 @@ def contributor_kind(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     with_(RV)
     + """, p AS (SELECT CASE WHEN o_custkey % 2 = 0 THEN 'enwiki' ELSE 'dewiki' END AS wiki_code, count(*) AS pages,
-      count_if(o_orderkey % 3 = 0) AS skipped_pages FROM orders GROUP BY 1),
+      CAST(count_if(o_orderkey % 3 = 0) AS BIGINT) AS skipped_pages FROM orders GROUP BY 1),
     r AS (SELECT wiki_code, count_if(reason IS NULL) AS revisions,
       count_if(reason IS NOT NULL) AS skipped_revisions FROM rv GROUP BY 1)
     SELECT p.wiki_code, pages, skipped_pages, CAST(revisions AS BIGINT) AS revisions,

@@ -144,7 +144,7 @@ def json_decode(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    "SELECT event_type, count(*) AS attempted, count_if(value >= 100) AS success FROM events GROUP BY 1"
+    "SELECT event_type, count(*) AS attempted, CAST(count_if(value >= 100) AS BIGINT) AS success FROM events GROUP BY 1"
 )
 def download_stats(spark: SparkSession, folder: str) -> DataFrame:
     log = adapters.table(spark, folder, "events")
@@ -154,7 +154,7 @@ def download_stats(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     """SELECT user_id, documents, CAST(ceil(documents / 100.0) AS BIGINT) AS batches, errors,
       round(s, 2) AS duration, round(documents / nullif(s, 0), 4) AS docs_per_second
-    FROM (SELECT user_id, count(*) AS documents, count_if(event_type = 'error') AS errors,
+    FROM (SELECT user_id, count(*) AS documents, CAST(count_if(event_type = 'error') AS BIGINT) AS errors,
       (epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000.0 AS s FROM events GROUP BY 1)"""
 )
 def job_stats(spark: SparkSession, folder: str) -> DataFrame:

@@ -203,7 +203,7 @@ def page_fold_crosswalk(spark: SparkSession, folder: str) -> DataFrame:
     with_(PG)
     + """SELECT sha256('enwiki-' || page_id) AS page_hash, page_id,
       CASE WHEN page_id % 4 = 0 THEN 'Moved_' || page_id ELSE page_title END AS current_title,
-      CASE WHEN page_id % 4 = 0 THEN 2 ELSE 1 END AS n_historical_titles,
+      CAST(CASE WHEN page_id % 4 = 0 THEN 2 ELSE 1 END AS BIGINT) AS n_historical_titles,
       CAST(page_namespace AS VARCHAR) AS page_namespace,
       CASE WHEN page_id % 4 = 0 THEN '1' ELSE CAST(page_is_redirect AS VARCHAR) END AS page_is_redirect,
       '2024-05-01 00:00:00' AS created_at, '2024-06-01 00:00:00' AS last_updated FROM pg"""

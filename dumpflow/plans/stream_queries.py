@@ -24,7 +24,7 @@ def _topic_streams(spark: SparkSession, folder: str) -> list[DataFrame]:
     ]
 
 
-@query(f"SELECT {_TOPIC} AS topic, count(*) AS n, count_if(event_id % 50 = 0) AS cut_short FROM events GROUP BY 1")
+@query(f"SELECT {_TOPIC} AS topic, count(*) AS n, CAST(count_if(event_id % 50 = 0) AS BIGINT) AS cut_short FROM events GROUP BY 1")
 def topic_union(spark: SparkSession, folder: str) -> DataFrame:
     messages = adapters.event_messages(spark, folder)
     topics = union_topics([messages.where(F.col("topic") == topic) for topic in TOPICS])
