@@ -165,7 +165,12 @@ def page_fold_crosswalk(spark: SparkSession, folder: str) -> DataFrame:
     Links are keyed by page id and revisions by a hash of it; both are replaced by
     the page's title hash. Equal links are dropped before that join.
     """
-    page_rows = parse_dump(adapters.page_statements(spark, folder), PAGE)
+    # Read by both joins and for the titles, so the dump is parsed once and kept.
+    page_rows = cut_lineage(
+        parse_dump(adapters.page_statements(spark, folder), PAGE).select(
+            "wiki_code", "page_id", "page_title", "page_hash", "year_month", "timestamp", "page_touched"
+        )
+    )
     crosswalk = crosswalk_of(page_rows)
 
     edges = parse_dump(adapters.pagelink_statements(spark, folder), PAGELINKS).where("wiki_code = 'enwiki'").distinct()

@@ -89,30 +89,29 @@ def classify_dump(statements: DataFrame, table: DumpTable, wiki_code: str | None
     Adds `wiki_code`, `year_month` and `timestamp` from the file name. Columns
     other than `value` and the file columns pass through.
     """
-    name = F.col("file_name")
+    file_name = F.col("file_name")
     carried = [c for c in statements.columns if c != "value"]
     # What the file name tells is worked out once per statement, not per tuple.
-    dated = once(_insert_values(statements, table.name), "_day", file_date_text(name))
+    dated = once(_insert_values(statements, table.name), "_day", file_date_text(file_name))
     tuples = dated.select(
         *carried,
-        (F.lit(wiki_code) if wiki_code else file_wiki_code(name)).alias("wiki_code"),
+        (F.lit(wiki_code) if wiki_code else file_wiki_code(file_name)).alias("wiki_code"),
         F.substring("_day", 1, 7).alias("year_month"),
         utc_timestamp(F.concat("_day", F.lit("T00:00:00"))).alias("timestamp"),
         F.explode(F.regexp_extract_all("_values", F.lit(_TUPLE), F.lit(1))).alias("_tuple"),
     )
     quoted = any(kind.startswith(("string", "stamp")) for _, kind in table.fields)
     parts = F.regexp_extract_all("_tuple", F.lit(_FIELD), F.lit(1)) if quoted else F.split("_tuple", ",")
-    rows = once(tuples, "_f", parts)
+    raw = [F.get("_f", F.lit(at)) for at in range(len(table.fields))]
+    typed = F.struct(*[_typed(text, kind.rstrip("?")).alias(name) for text, (name, kind) in zip(raw, table.fields)])
+    # Also behind a generator: the test below must not decode every field again.
+    rows = once(tuples, "_f", parts).select("*", F.inline(F.array(typed)))
     fits = F.size("_f") >= len(table.fields)
-    columns = []
-    for at, (field, kind) in enumerate(table.fields):
-        raw = F.get("_f", F.lit(at))
-        value = _typed(raw, kind.rstrip("?"))
-        columns.append(value.alias(field))
-        given = value.isNotNull()
-        fits = fits & ((given | (F.upper(F.trim(raw)) == "NULL")) if kind.endswith("?") else given)
+    for text, (name, kind) in zip(raw, table.fields):
+        given = F.col(name).isNotNull()
+        fits = fits & ((given | (F.upper(F.trim(text)) == "NULL")) if kind.endswith("?") else given)
     return rows.select(
-        *carried, "wiki_code", "year_month", "timestamp", *columns,
+        *carried, "wiki_code", "year_month", "timestamp", *[name for name, _ in table.fields],
         F.when(~F.coalesce(fits, F.lit(False)), INVALID_TUPLE).alias("reason"),
         F.col("_tuple").alias("tuple_text"),
     )
