@@ -31,7 +31,9 @@ def stage_file_name(wiki_code: Column, data_type: Column, day: Column, file_form
 def write_layout(rows: DataFrame, path: str, processed: bool = False, mode: str = "append") -> None:
     """Write rows under `stage/data_type=/wiki_code=/year_month=`."""
     stage = "processed" if processed else "raw"
-    rows.write.mode(mode).partitionBy(*LAYOUT).parquet(f"{path.rstrip('/')}/{stage}")
+    # Rebalancing gathers each folder's rows into files of a good size, and splits a
+    # folder that holds most of the rows.
+    rows.hint("rebalance", *LAYOUT).write.mode(mode).partitionBy(*LAYOUT).parquet(f"{path.rstrip('/')}/{stage}")
 
 
 def write_facts(facts: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -52,15 +54,12 @@ def write_facts(facts: DataFrame, path: str, mode: str = "overwrite") -> None:
     )
 
 
-def write_bucketed(rows: DataFrame, table: str, buckets: int, mode: str = "overwrite") -> None:
+def write_bucketed(rows: DataFrame, table: str, buckets: int, path: str | None = None) -> None:
     """Save one-row-per-page results bucketed by page, so that joins between them need no shuffle."""
-    (
-        rows.repartition(buckets, "page_hash")
-        .write.mode(mode)
-        .bucketBy(buckets, "page_hash")
-        .sortBy("page_hash")
-        .saveAsTable(table)
-    )
+    writer = rows.repartition(buckets, "page_hash").write.mode("overwrite")
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.bucketBy(buckets, "page_hash").sortBy("page_hash").saveAsTable(table)
 
 
 def append_batch(facts: DataFrame, path: str, batch_id: int | str) -> None:
@@ -70,9 +69,14 @@ def append_batch(facts: DataFrame, path: str, batch_id: int | str) -> None:
     lost executor or driver add nothing twice. Repeats across batches are dropped
     when facts are folded.
     """
-    drop_equal_facts(facts.select(*FACT_COLUMNS)).write.mode("overwrite").partitionBy("year_month").option(
-        "partitionOverwriteMode", "static"
-    ).parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+    (
+        drop_equal_facts(facts.select(*FACT_COLUMNS))
+        .hint("rebalance", "year_month")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("year_month")
+        .parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+    )
 
 
 def read_facts(spark: SparkSession, path: str) -> DataFrame:

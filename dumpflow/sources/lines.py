@@ -14,15 +14,19 @@ def read_lines(
     line_sep: str | None = None,
     spread: int | None = None,
     skip_corrupt: bool = False,
+    recursive: bool = False,
 ) -> DataFrame:
     """Lines of one or many dump files as `(value, file_name, file_path, block_start)`.
 
     The codec is chosen by suffix. A gzip file cannot be split, so one task reads
     all of it: pass `spread` to deal its lines out to that many partitions before
     the parsing work. `skip_corrupt` keeps the other files when one is broken.
-    Bytes that are not UTF-8 become replacement characters.
+    Bytes that are not UTF-8 become replacement characters. A filter on `file_name`
+    or `file_path` keeps Spark from opening the other files.
     """
-    reader = spark.read.option("ignoreCorruptFiles", str(skip_corrupt).lower())
+    reader = spark.read.option("ignoreCorruptFiles", str(skip_corrupt).lower()).option(
+        "recursiveFileLookup", str(recursive).lower()
+    )
     if line_sep is not None:
         reader = reader.option("lineSep", line_sep)
     paths = [paths] if isinstance(paths, str) else list(paths)

@@ -26,7 +26,7 @@ def classify_pageviews(
     the default list.
     """
     wikis = list(wiki_filter or [])
-    prefixes = list(excluded_prefixes or fx.EXCLUDED_PREFIXES)
+    prefixes = [p.rstrip(":") for p in excluded_prefixes or fx.EXCLUDED_PREFIXES]
     split = once(lines, "_words", words(F.col("value")))
 
     n = F.size("_words")

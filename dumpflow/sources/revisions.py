@@ -16,7 +16,7 @@ MINOR_EDIT = "minor_edit"
 BAD_TIMESTAMP = "bad_timestamp"
 
 
-def read_pages(spark: SparkSession, paths, spread: int | None = None) -> DataFrame:
+def read_pages(spark: SparkSession, paths, spread: int | None = None, recursive: bool = False) -> DataFrame:
     """`<page>` elements of export files as `(page, file_name)`.
 
     Only one page is held at a time. Plain and bzip2 files are split between
@@ -26,6 +26,7 @@ def read_pages(spark: SparkSession, paths, spread: int | None = None) -> DataFra
         spark.read.format("xml")
         .option("rowTag", "page")
         .option("attributePrefix", "_")
+        .option("recursiveFileLookup", str(recursive).lower())
         .schema(PAGE_XML)
         .load(paths)
     )

@@ -65,10 +65,8 @@ def test_bucketed_table_joins_without_a_shuffle(spark, tmp_path):
     try:
         for name in ("folded_a", "folded_b"):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
-            folded = pages.page_fold(random_facts(spark, 14))
-            folded = folded.select("page_hash", "n_revisions")
-            (folded.repartition(4, "page_hash").write.mode("overwrite").option("path", str(tmp_path / name))
-             .bucketBy(4, "page_hash").sortBy("page_hash").saveAsTable(name))
+            folded = pages.page_fold(random_facts(spark, 14)).select("page_hash", "n_revisions")
+            tables.write_bucketed(folded, name, 4, path=str(tmp_path / name))
         joined = spark.table("folded_a").join(spark.table("folded_b"), "page_hash")
         assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
     finally:
