@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as contract
 from check import compare, open_tables
+from dumpflow.plans import catalogue
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -17,7 +18,7 @@ def tables():
     return open_tables(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
 def test_query_agrees(spark, tables, name):
     outcome, _ = compare(spark, tables, name, FOLDER)
     assert outcome.startswith("ok"), outcome
@@ -30,4 +31,4 @@ def test_entry(spark):
 
 
 def test_every_query_has_a_check():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(catalogue.QUERIES) == set(catalogue.CHECKS)
