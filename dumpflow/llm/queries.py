@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dumpflow.llm import fingerprints, mixing, quality
+from dumpflow.llm import extraction, fingerprints, language, mixing, pieces, quality, simhash, token_files
 from dumpflow.llm.stages import documents, written
+from dumpflow.session import fresh_folder, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -25,11 +27,36 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = pieces.encode(documents(spark, folder).select("doc_id", "text"), model)
+    back = pieces.decode(encoded, model)
+    return back.select("doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "ids", (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("round_trip"))
+
+
+@query()
+def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, folder).select("doc_id", "text"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query()
+def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    return token_files.as_written(docs, fresh_folder(spark, "token-files"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
 @query(mixing.TAKEN_SQL)
 def op6_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken(documents(spark, folder))
 
 
+@query()
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.with_held_out(documents(spark, folder).select("doc_id", "lang", "text"))
+
+
 @query()
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     stats = written(quality.statistics(documents(spark, folder).select("doc_id", "text")).drop("text"), "quality-statistics")
@@ -41,3 +68,8 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op9_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.compare_edited(documents(spark, folder))
+
+
+@query()
+def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extraction.extract(prepare(spark).read.parquet(f"{folder}/pages.parquet").select("page_id", "url", "html"))
