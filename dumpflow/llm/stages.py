@@ -9,7 +9,7 @@ from dumpflow.session import fresh_folder, prepare
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def written(rows: DataFrame, purpose: str) -> DataFrame:
+def written(rows: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """Rows read back from Parquet in the folder of `spark.checkpoint.dir`.
 
     Files survive a lost executor, unlike cached blocks, and later plans start
@@ -17,7 +17,7 @@ def written(rows: DataFrame, purpose: str) -> DataFrame:
     """
     spark = rows.sparkSession
     folder = fresh_folder(spark, purpose)
-    rows.write.parquet(folder)
+    rows.write.parquet(folder, compression=compression)
     return spark.read.schema(rows.schema).parquet(folder)
 
 
