@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dumpflow.llm import extraction, fingerprints, language, lm, mixing, pieces, quality, simhash, token_files
+from dumpflow.llm import extraction, fingerprints, language, line_dedup, lm, mixing, pieces, quality, simhash, token_files
 from dumpflow.llm.stages import documents, written
 from dumpflow.session import fresh_folder, prepare
 
@@ -32,6 +32,11 @@ def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return lm.score(documents(spark, folder).select("doc_id", "text"))
 
 
+@query(line_dedup.REMOVED_SQL)
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.removed_by_document(documents(spark, folder))
+
+
 @query()
 def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
