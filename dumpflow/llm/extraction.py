@@ -23,6 +23,8 @@ from dumpflow.llm.stages import arrow_ready
 # Names of elements and of the words in class, id and role attributes.
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 HIDDEN = frozenset("head script style noscript template title textarea select option button svg math iframe object audio video canvas map datalist".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PARAGRAPHS = frozenset("p blockquote pre".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}}
 SCOPES = frozenset("article aside body div dl fieldset footer form header html main nav ol section table ul".split())
@@ -34,7 +36,7 @@ UNSURE = frozenset("has no with without".split())
 #: Classifier: weights of evidence against (positive) and for content, in units of 1/100.
 TAG_WEIGHT = {"nav": 900, "footer": 900, "aside": 900, "form": 900, "menu": 900, "dialog": 900, "fieldset": 500, "header": 500, "article": -400, "main": -400}
 CLASS_AGAINST, CLASS_FOR = 800, -250
-LINKED, PROSE, SENTENCE, SHORT, HEADING, BASE = 350, -150, -60, 50, -40, -20
+LINKED, PROSE, SENTENCE, SHORT, HEADING, PARAGRAPH, BASE = 350, -150, -60, 50, -40, -60, -20
 #: Price of a border: between neighbours, and between blocks of one parent, by their distance in the tree.
 ADJACENT, RELATED = 40, 160
 
@@ -51,10 +53,10 @@ SENTENCE_END = re.compile(r"[.!?…][\"'»”)]?$")
 
 
 class Block:
-    __slots__ = ("against", "depth", "heading", "linked", "parent", "path", "pieces", "text")
+    __slots__ = ("against", "linked", "path", "pieces", "tag", "text")
 
-    def __init__(self, path: tuple[int, ...], against: int, heading: bool):
-        self.path, self.against, self.heading = path, against, heading
+    def __init__(self, path: tuple[int, ...], against: int, tag: str):
+        self.path, self.against, self.tag = path, against, tag
         self.pieces: list[str] = []
         self.linked, self.text = 0, ""
 
@@ -97,7 +99,7 @@ def blocks_of(page: str) -> list[Block]:
             if hidden:
                 continue
             if now is None:
-                now = Block(tuple(s[1] for s in stack), stack[-1][2], len(stack[-1][0]) == 2 and stack[-1][0][0] == "h" and stack[-1][0] != "hr")
+                now = Block(tuple(s[1] for s in stack), stack[-1][2], stack[-1][0])
                 out.append(now)
             now.pieces.append(m["text"])
             if links:
@@ -147,7 +149,9 @@ def evidence(b: Block) -> int:
         score += PROSE
     if SENTENCE_END.search(b.text):
         score += SENTENCE
-    if b.heading:
+    if b.tag in PARAGRAPHS:
+        score += PARAGRAPH
+    if b.tag in HEADINGS:
         score += HEADING
     elif n < 25:
         score += SHORT

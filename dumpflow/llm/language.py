@@ -86,7 +86,7 @@ def ngram_counts(docs: DataFrame) -> DataFrame:
         for lang, counts in total.items():
             bucket = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(bucket)), pa.array(bucket.astype(np.int32)), pa.array(counts[bucket])], ["lang", "bucket", "n"])
+                [pa.array([lang] * len(bucket), pa.string()), pa.array(bucket.astype(np.int32)), pa.array(counts[bucket])], ["lang", "bucket", "n"])
 
     arrow_ready(docs.sparkSession)
     rows = docs.where(F.col("lang").isNotNull()).select("lang", "text")

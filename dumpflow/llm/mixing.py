@@ -135,9 +135,8 @@ WITH d AS (
          md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key, coalesce('=' || source, '') AS queue
   FROM documents),
 s AS (
-  SELECT source, queue, sum(size)::HUGEINT AS source_size,
-         ([5, 2, 1])[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::HUGEINT AS weight
-  FROM d GROUP BY ALL),
+  SELECT *, ([5, 2, 1])[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::HUGEINT AS weight
+  FROM (SELECT source, queue, sum(size)::HUGEINT AS source_size FROM d GROUP BY source, queue)),
 -- For each source: what is shared, and by which weights, if it and all with a higher stop per weight share.
 o AS (
   SELECT *, sum(source_size) OVER () - coalesce(sum({MAX_EPOCHS} * source_size) OVER before, 0) AS to_share,

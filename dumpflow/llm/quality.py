@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from itertools import pairwise
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 50, 50, 3
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 FURTHER = ("n_chars_all", "n_lines", "n_distinct", "n_upper", "n_digits", "n_marks", "n_letterless")
-#: Cut points of a feature: these shares of the labelled rows lie below them.
+#: Quantiles of a feature over the labelled rows; cut points lie between them.
 SHARES = (0.002, 0.005, 0.01, 0.02, 0.035, *(i / 20 for i in range(1, 20)), 0.965, 0.98, 0.99, 0.995, 0.998)
 WORDS = "__quality_words"
 
@@ -142,7 +143,9 @@ def learn(labelled: DataFrame, label: str = "quality", max_rules: int = 8, max_c
     cuts = rows.agg(*(F.percentile_approx(c, list(SHARES), 10_000).alias(n) for n, c in value.items())).first()
     if cuts is None or cuts[0] is None:
         return []
-    points = {name: sorted(set(cuts[name])) for name in value}
+    # Halfway between neighbouring quantiles, so that a rule keeps its distance from rows on either side.
+    quantiles = {name: sorted(set(cuts[name])) for name in value}
+    points = {name: [(a + b) / 2 for a, b in pairwise(x)] for name, x in quantiles.items()}
     binned = written(rows.select(
         (F.col(label) == 0).alias("bad"),
         (F.pmod(F.xxhash64(*(F.col(n) for n in BASE)), F.lit(3)) < 2).alias("grow"),
