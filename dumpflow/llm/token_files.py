@@ -15,7 +15,10 @@ from __future__ import annotations
 
 import os
 import uuid
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +29,8 @@ from pyspark.sql import functions as F
 
 from dumpflow.llm.stages import arrow_ready
 
-#: Words that a worker remembers the ids of, and the longest of them in bytes.
-REMEMBERED, LONGEST = 400_000, 64
+#: Words that a worker process remembers the ids of, from task to task, and the longest of them in bytes.
+REMEMBERED, LONGEST = 700_000, 64
 #: Words or texts in one call of the tokenizer.
 AT_ONCE = 4_096
 MANIFEST = "part int, name string, n_docs bigint, n_tokens bigint, doc_ids array<bigint>"
@@ -47,12 +50,13 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.by_word, self.known = by_word, {}
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        small = self.tokenizer.get_vocab_size() <= 1 << 16
+        self.dtype, self.code = np.dtype("<u2" if small else "<u4"), "H" if small else "I"
 
     def _call(self, texts: list[str]) -> list[bytes]:
         out = []
         for i in range(0, len(texts), AT_ONCE):
-            out += (np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts[i : i + AT_ONCE], add_special_tokens=False))
+            out += (array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts[i : i + AT_ONCE], add_special_tokens=False))
         return out
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
@@ -60,8 +64,8 @@ class WordEncoder:
         if not self.by_word:
             return self._call([t.decode() for t in texts])
         split = [t.split() for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+        if len(self.known) > REMEMBERED:  # the older half goes
+            self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
         new = list(set().union(*split).difference(self.known))
         found = dict(zip(new, self._call([w.decode() for w in new]), strict=True))
         short = {w: ids for w, ids in found.items() if len(w) <= LONGEST}
@@ -70,6 +74,12 @@ class WordEncoder:
         return [b"".join(map(ids.__getitem__, words)) for words in split]
 
 
+@lru_cache(maxsize=2)
+def encoder_of(tokenizer: str, by_word: bool) -> WordEncoder:
+    """One encoder per worker process and tokenizer, so that tasks share its memory."""
+    return WordEncoder(tokenizer, by_word)
+
+
 def _local(folder: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a folder; any scheme that Arrow can open works."""
     if "://" in folder or folder.startswith("file:"):
@@ -87,7 +97,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, part
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = _local(folder)
         fs.create_dir(root, recursive=True)
-        encode = WordEncoder(tokenizer, by_word)
+        encode = encoder_of(tokenizer, by_word)
         end = np.array([end_id], encode.dtype).tobytes()
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}"
