@@ -53,15 +53,15 @@ FILE_DATE_PATTERNS = (
 # --- fixed values: dump file names on disk and in index pages ----------------
 LOCAL_FILE_PATTERNS = {
     "pageviews": r"^pageviews-\d{8}-[^/]+\.bz2$",
-    "clickstream": r"^clickstream-([a-z]+)-\d{4}-\d{2}\.tsv\.gz$",
-    "revisions": r"^([a-z]+)-\d{8}-(?:stub-meta-history|stub-meta-current|stub-articles)\.xml\.gz$",
-    "pagelinks": r"^([a-z]+)-\d{8}-pagelinks\.sql\.gz$",
+    "clickstream": r"^clickstream-([a-z][a-z0-9_]*)-\d{4}-\d{2}\.tsv\.gz$",
+    "revisions": r"^([a-z][a-z0-9_]*)-\d{8}-(?:stub-meta-history|stub-meta-current|stub-articles)\.xml\.gz$",
+    "pagelinks": r"^([a-z][a-z0-9_]*)-\d{8}-pagelinks\.sql\.gz$",
 }
 INDEX_LINK_PATTERNS = {
     "pageviews": r'href="(pageviews-\d{8}-[^"]+\.bz2)"',
-    "clickstream": r'href="(clickstream-[a-z]+-\d{4}-\d{2}\.tsv\.gz)"',
-    "revisions": r'href="/[a-z]+/\d{8}/([a-z]+-\d{8}-(?:stub-meta-history|stub-meta-current|stub-articles)\.xml\.gz)"',
-    "pagelinks": r'href="/[a-z]+/\d{8}/([a-z]+-\d{8}-pagelinks\.sql\.gz)"',
+    "clickstream": r'href="(clickstream-[a-z][a-z0-9_]*-\d{4}-\d{2}\.tsv\.gz)"',
+    "revisions": r'href="/[a-z][a-z0-9_]*/\d{8}/([a-z][a-z0-9_]*-\d{8}-(?:stub-meta-history|stub-meta-current|stub-articles)\.xml\.gz)"',
+    "pagelinks": r'href="/[a-z][a-z0-9_]*/\d{8}/([a-z][a-z0-9_]*-\d{8}-pagelinks\.sql\.gz)"',
 }
 INDEX_DATE_PATTERN = r'href="(\d{8})/"'
 HREF_PATTERN = r'href="([^"]+)"'

@@ -40,7 +40,7 @@ def file_year_month(file_name: Column) -> Column:
 
 def file_wiki_code(file_name: Column) -> Column:
     """Wiki code that starts a dump file name, or follows `clickstream-`; NULL if none."""
-    return F.nullif(F.regexp_extract(file_name, r"^(?:clickstream-)?([a-z]+)-", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(file_name, r"^(?:clickstream-)?([a-z][a-z0-9_]*)-", 1), F.lit(""))
 
 
 def utc_timestamp(text: Column) -> Column:

@@ -23,14 +23,17 @@ def lookup_join(
     Beyond it, batch joins rely on adaptive skew splitting for hot keys.
     Streaming plans are not adaptive, so for them `salts` > 1 deals each key's
     facts out to that many tasks, by a hash of `spread_by`, against as many copies
-    of the lookup row. Results do not depend on `salts`.
+    of the lookup row. Facts without a key match nothing; they are dealt out to all
+    tasks. Results do not depend on `salts`.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if salts <= 1:
         return facts.join(lookup, keys, how)
     spread = list(spread_by or facts.columns)
-    dealt = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    copies = lookup.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    no_key = F.exists(F.array(*[F.col(k).isNull() for k in keys]), lambda missing: missing)
+    salt = F.xxhash64(*spread)
+    dealt = facts.withColumn("_salt", F.when(no_key, salt).otherwise(F.pmod(salt, F.lit(salts))))
+    copies = lookup.select("*", F.explode(F.sequence(*(F.lit(n).cast("bigint") for n in (0, salts - 1)))).alias("_salt"))
     return dealt.join(copies, [*keys, "_salt"], how).drop("_salt")
 
 

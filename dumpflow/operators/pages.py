@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dumpflow import fixed_values as fx
-from dumpflow.operators.stats import deal_chunks
 
 PAGE_KEY = ("wiki_code", "page_hash")
 FACT_COLUMNS = (*PAGE_KEY, "year_month", "kind", "element", "seen_at")
@@ -123,21 +122,21 @@ def monthly_and_total(facts: DataFrame) -> DataFrame:
     return fold_pages(set_add(both, *grain), *grain)
 
 
-def page_documents(elements: DataFrame, chunk_size: int = 10_000) -> DataFrame:
-    """Nested documents: one array per kind, in chunks of about `chunk_size` elements.
+def page_documents(elements: DataFrame, digits: int = 1) -> DataFrame:
+    """Nested documents: one array per kind, a row per page and bucket of its elements.
 
-    Pages up to the chunk size are one row with `chunk` 0. Larger ones span
-    several rows, each small enough for one task; together they hold every
-    element. Pass a written or checkpointed element table, as it is read twice.
+    The bucket is the first `digits` hexadecimal digits of an element's MD5, the
+    same rule for every page; take more digits for larger pages. A page's rows
+    together hold every element, and each has the times of the whole page. Pass a
+    written element table, as it is read twice.
     """
-    chunked = deal_chunks(elements, [*PAGE_KEY, "kind"], "element", chunk_size)
+    bucketed = elements.withColumn("bucket", F.left(F.md5("element"), F.lit(digits)))
     arrays = [
         F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.col("element")))).alias(kind)
         for kind in fx.ELEMENT_KINDS
     ]
-    return chunked.groupBy(*PAGE_KEY, "chunk").agg(
-        *arrays, F.min("first_seen").alias("created_at"), F.max("last_seen").alias("last_updated")
-    )
+    times = elements.groupBy(*PAGE_KEY).agg(F.min("first_seen").alias("created_at"), F.max("last_seen").alias("last_updated"))
+    return bucketed.groupBy(*PAGE_KEY, "bucket").agg(*arrays).join(times, list(PAGE_KEY))
 
 
 def latest_row(rows: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
@@ -153,5 +152,11 @@ def latest_row(rows: DataFrame, key: list[str], order: list[Column]) -> DataFram
 
 
 def drop_equal_facts(facts: DataFrame) -> DataFrame:
-    """Facts without repeats of the same page, kind and element in a month."""
-    return facts.dropDuplicates([*PAGE_KEY, "year_month", "kind", "element"])
+    """Facts without repeats of the same page, kind and element in a month.
+
+    The first and the last time seen both stay, as two rows only where they
+    differ, so a fold of the result is the fold of all.
+    """
+    spans = set_add(facts, *PAGE_KEY, "year_month")
+    seen = F.explode(F.array_distinct(F.array("first_seen", "last_seen"))).alias("seen_at")
+    return spans.select(*PAGE_KEY, "year_month", "kind", "element", seen)

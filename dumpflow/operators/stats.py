@@ -1,9 +1,7 @@
-"""Run statistics, line numbers, samples and bounded chunks."""
+"""Run statistics, line numbers and samples."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,17 +53,3 @@ def number_lines(rows: DataFrame, file: str, block: str, order: str, into: str =
         .withColumn(into, F.col("_before") + F.col("_inside"))
         .drop("_before", "_inside")
     )
-
-
-def deal_chunks(rows: DataFrame, key: Sequence[str], spread_by: str, chunk_size: int, into: str = "chunk") -> DataFrame:
-    """Add a chunk number so that rows of one key and chunk are about `chunk_size` at most.
-
-    Only keys with more rows than that need their size; those are few (no more
-    than all rows over `chunk_size`), so the join to them is cheap. Spark picks a
-    broadcast if their measured size allows, else splits hot partitions.
-    """
-    keys = list(key)
-    large = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > chunk_size)
-    chunks = F.ceil(F.col("_n") / F.lit(chunk_size)).cast("int")
-    chunk = F.pmod(F.xxhash64(spread_by), F.coalesce(chunks, F.lit(1))).cast("int")
-    return rows.join(large, keys, "left").withColumn(into, chunk).drop("_n")

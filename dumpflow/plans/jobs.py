@@ -8,22 +8,25 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dumpflow import fixed_values as fx
-from dumpflow.functions.ids import content_hash
-from dumpflow.functions.times import file_date, file_wiki_code, year_month
-from dumpflow.operators.links import INBOUND, OUTBOUND, mirror_links
-from dumpflow.operators.pages import page_facts
+from dumpflow.functions.times import file_date, file_wiki_code
+from dumpflow.operators import facts
+from dumpflow.operators.links import page_crosswalk
 from dumpflow.operators.quality import KEPT
-from dumpflow.operators.records import message_rows, stamp_ingest, struct_json
+from dumpflow.operators.records import message_rows, stamp_ingest
 from dumpflow.operators.stats import sample_rows
 from dumpflow.sinks.messages import replay_to_folder
-from dumpflow.sinks.tables import append_batch
+from dumpflow.sinks.tables import append_batch, read_facts
 from dumpflow.sources import revisions as rev
-from dumpflow.sources.clickstream import classify_clickstream, clickstream_records
+from dumpflow.sources.clickstream import classify_clickstream
 from dumpflow.sources.lines import read_lines
-from dumpflow.sources.pageviews import classify_pageviews, pageview_records
+from dumpflow.sources.pageviews import classify_pageviews
 from dumpflow.sources.sqldump import PAGE, PAGELINKS, classify_dump, page_info_records, parse_dump, read_statements
 
 
+#: Dump files by type; the page table feeds the crosswalk and is not one of the types to fetch.
+FILE_PATTERNS = {**fx.LOCAL_FILE_PATTERNS, "page": r"^([a-z][a-z0-9_]*)-\d{8}-page\.sql(?:\.gz)?$"}
+
+
 def selected(
     data_type: str,
     years: Iterable[int] | None = None,
@@ -32,7 +35,7 @@ def selected(
 ) -> Column:
     """Condition on `file_name` for the dump files of a request."""
     name = F.col("file_name")
-    keep = name.rlike(fx.LOCAL_FILE_PATTERNS[data_type])
+    keep = name.rlike(FILE_PATTERNS[data_type])
     if years:
         keep = keep & F.year(file_date(name)).isin(list(years))
     if months:
@@ -42,48 +45,22 @@ def selected(
     return keep
 
 
-def _pageview_facts(rows: DataFrame) -> DataFrame:
-    elements = {fx.PAGEVIEWS: struct_json(F.col("tuple_struct")), fx.TITLES: F.col("title")}
-    return page_facts(pageview_records(rows), elements, seen_at=F.col("tuple_struct.date").cast("timestamp"))
-
-
-def _click_facts(rows: DataFrame) -> DataFrame:
-    elements = {fx.CLICKS_IN: struct_json(F.col("tuple_struct"))}
-    return page_facts(clickstream_records(rows), elements, seen_at=F.col("tuple_struct.date").cast("timestamp"))
-
-
-def _revision_facts(rows: DataFrame) -> DataFrame:
-    dated = rows.withColumn("year_month", year_month(F.col("timestamp")))
-    elements = {fx.REVISIONS: struct_json(F.col("tuple_struct"))}
-    return page_facts(rev.revision_records(dated), elements, seen_at=F.col("tuple_struct.timestamp"))
-
-
-def _link_facts(rows: DataFrame) -> DataFrame:
-    # Pages are keyed by the hash of their id, as revisions are.
-    link = struct_json(F.struct("pl_from", "pl_from_namespace", "pl_target_id", "timestamp"))
-    elements = {
-        fx.LINKS_OUT: F.when(F.col("direction") == OUTBOUND, link),
-        fx.LINKS_IN: F.when(F.col("direction") == INBOUND, link),
-    }
-    page = content_hash(F.col("wiki_code"), F.col("pl_from"))
-    return page_facts(mirror_links(rows), elements, seen_at=F.col("timestamp"), page_hash=page)
-
-
 _FACTS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "pageviews": _pageview_facts,
-    "clickstream": _click_facts,
-    "revisions": _revision_facts,
-    "pagelinks": _link_facts,
+    "pageviews": facts.view_facts,
+    "clickstream": facts.click_facts,
+    "revisions": facts.revision_facts,
+    "pagelinks": facts.link_facts,
+    "page": facts.title_facts,
 }
 
 
 def _classified(spark: SparkSession, folder: str, data_type: str, keep: Column, spread: int | None) -> DataFrame:
     if data_type == "revisions":
-        return rev.classify_revisions(rev.read_pages(spark, folder, spread, recursive=True).where(keep))
-    if data_type == "pagelinks":
-        statements = read_statements(spark, folder, spread, recursive=True)
-        return classify_dump(statements.where(keep), PAGELINKS)
-    lines = read_lines(spark, folder, spread=spread, recursive=True).where(keep)
+        return rev.classify_revisions(rev.read_pages(spark, folder, spread, recursive=True, files=keep))
+    if data_type in ("pagelinks", "page"):
+        table = PAGELINKS if data_type == "pagelinks" else PAGE
+        return classify_dump(read_statements(spark, folder, spread, recursive=True, files=keep), table)
+    lines = read_lines(spark, folder, spread=spread, recursive=True, files=keep)
     return classify_pageviews(lines) if data_type == "pageviews" else classify_clickstream(lines)
 
 
@@ -122,8 +99,31 @@ def process(
     return written
 
 
-def replay_page_sample(spark: SparkSession, paths, topic_folder: str, run_time: Column, limit: int | None = 100) -> None:
-    """Send the first rows of a `page` dump to a topic folder, stamped with the run's time."""
+def stored_pages(spark: SparkSession, output: str) -> DataFrame:
+    """Facts that `process` has stored, all under title hashes, with `is_known`.
+
+    The crosswalk comes from the page tables among the stored rows. Facts of pages
+    that it lacks stay, marked as not known.
+    """
+    rows = spark.read.parquet(f"{output.rstrip('/')}/rows/page").where(F.col("reason") == KEPT)
+    return facts.by_title(read_facts(spark, f"{output.rstrip('/')}/facts"), page_crosswalk(rows))
+
+
+def unknown_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of a folder that no type claims, so that a new kind of name does not go unseen."""
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select(
+        F.regexp_extract("path", r"[^/]*$", 0).alias("file_name"), "length")
+    claimed = F.lit(False)
+    for pattern in FILE_PATTERNS.values():
+        claimed = claimed | F.col("file_name").rlike(pattern)
+    return names.where(~claimed)
+
+
+def replay_page_sample(spark: SparkSession, paths, topic_folder: str, run_time: Column, limit: int | None = None) -> None:
+    """Send a `page` dump to a topic folder, stamped with the run's time.
+
+    With a limit only the pages with the smallest ids are sent.
+    """
     pages = parse_dump(read_statements(spark, paths), PAGE)
-    records = stamp_ingest(page_info_records(sample_rows(pages, limit)), run_time)
+    records = stamp_ingest(page_info_records(sample_rows(pages, limit, "wiki_code", "page_id", "page_title")), run_time)
     replay_to_folder(message_rows(records, "pageinfo_topic", "PageInfo"), topic_folder)

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dumpflow import fixed_values as fx
-from dumpflow.functions.ids import content_hash, normalize_wiki_code, page_identifier
+from dumpflow.functions.ids import content_hash, page_identifier
 from dumpflow.functions.times import stamp_text
+from dumpflow.operators import facts as facts_of
 from dumpflow.operators import lookups
 from dumpflow.operators import pages as docs
 from dumpflow.operators.links import INBOUND, OUTBOUND, mirror_links
@@ -16,26 +17,22 @@ from dumpflow.operators.records import struct_json
 from dumpflow.plans import adapters
 from dumpflow.plans.check_sql import CS, PG, PL, PV, RV, page_hash, with_
 from dumpflow.plans.registry import query
-from dumpflow.session import cut_lineage
-from dumpflow.sources.clickstream import clickstream_records, parse_clickstream
+from dumpflow.session import cut_lineage, fresh_folder
+from dumpflow.sinks.tables import append_batch, read_facts
+from dumpflow.sources.clickstream import parse_clickstream
 from dumpflow.sources.lines import concat_lines
-from dumpflow.sources.pageviews import pageview_records, parse_pageviews
+from dumpflow.sources.pageviews import parse_pageviews
 from dumpflow.sources.revisions import pages_from_text, parse_revisions, revision_records
 from dumpflow.sources.sqldump import PAGE, PAGELINKS, parse_dump
 
 
 def view_facts(spark: SparkSession, folder: str) -> DataFrame:
     """Pageview and title facts, keyed like the page table: by dump code and title."""
-    parsed = parse_pageviews(adapters.pageview_lines(spark, folder)).where(F.col("title").isNotNull())
-    records = pageview_records(parsed.withColumn("domain", normalize_wiki_code(F.col("domain"))))
-    elements = {fx.PAGEVIEWS: struct_json(F.col("tuple_struct")), fx.TITLES: F.col("title")}
-    return docs.page_facts(records, elements, seen_at=F.col("tuple_struct.date").cast("timestamp"))
+    return facts_of.view_facts(parse_pageviews(adapters.pageview_lines(spark, folder)))
 
 
 def click_facts(spark: SparkSession, folder: str) -> DataFrame:
-    records = clickstream_records(parse_clickstream(adapters.clickstream_lines(spark, folder)))
-    elements = {fx.CLICKS_IN: struct_json(F.col("tuple_struct"))}
-    return docs.page_facts(records, elements, seen_at=F.col("tuple_struct.date").cast("timestamp"))
+    return facts_of.click_facts(parse_clickstream(adapters.clickstream_lines(spark, folder)))
 
 
 def event_page_facts(spark: SparkSession, folder: str) -> DataFrame:
@@ -95,21 +92,24 @@ def monthly_buckets(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     with_(PV, CS, _FACTS)
-    + """, e AS (SELECT DISTINCT wiki_code, page_hash, kind, element FROM facts)
-    SELECT wiki_code, page_hash, 0 AS chunk,
+    + """, e AS (SELECT DISTINCT wiki_code, page_hash, kind, element, left(md5(element), 1) AS bucket,
+      min(day) OVER (PARTITION BY wiki_code, page_hash) AS created, max(day) OVER (PARTITION BY wiki_code, page_hash) AS updated
+      FROM facts)
+    SELECT wiki_code, page_hash, bucket,
       coalesce(string_agg(CASE WHEN kind = 'pageviews' THEN element END, ';' ORDER BY element), '') AS pageviews,
       coalesce(string_agg(CASE WHEN kind = 'clickstreams_in' THEN element END, ';' ORDER BY element), '') AS clickstreams_in,
-      coalesce(string_agg(CASE WHEN kind = 'historical_titles' THEN element END, ';' ORDER BY element), '') AS historical_titles
-    FROM e GROUP BY 1, 2"""
+      coalesce(string_agg(CASE WHEN kind = 'historical_titles' THEN element END, ';' ORDER BY element), '') AS historical_titles,
+      CAST(min(created) AS VARCHAR) || ' 00:00:00' AS created_at, CAST(max(updated) AS VARCHAR) || ' 00:00:00' AS last_updated
+    FROM e GROUP BY 1, 2, 3"""
 )
 def page_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Nested documents; no page of the given tables is large enough for a second chunk."""
+    """Nested documents, a row per page and bucket of its elements."""
     elements = cut_lineage(docs.page_elements(event_page_facts(spark, folder)))
-    documents = docs.page_documents(elements, chunk_size=1_000_000)
-    return documents.select(
-        "wiki_code", "page_hash", "chunk",
+    documents = docs.page_documents(elements)
+    return _as_text(documents.select(
+        "wiki_code", "page_hash", "bucket", "created_at", "last_updated",
         *[F.array_join(kind, ";").alias(kind) for kind in (fx.PAGEVIEWS, fx.CLICKS_IN, fx.TITLES)],
-    )
+    ))
 
 
 @query(
@@ -119,8 +119,8 @@ def page_documents(spark: SparkSession, folder: str) -> DataFrame:
 )
 def fact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     facts = event_page_facts(spark, folder)
-    # The same facts delivered twice.
-    once = docs.drop_equal_facts(facts.unionByName(facts))
+    # The same facts delivered twice. Equal ones are one element of a month, seen once or twice.
+    once = docs.set_add(docs.drop_equal_facts(facts.unionByName(facts)), *docs.PAGE_KEY, "year_month")
     return once.groupBy("kind", "year_month").agg(F.count("*").alias("n"))
 
 
@@ -141,6 +141,70 @@ def current_title(spark: SparkSession, folder: str) -> DataFrame:
     return folded.select("page_hash", "current_title", "n_historical_titles")
 
 
+@query(
+    """SELECT sha256('enwiki-' || user_id) AS page_hash, arg_max(event_type || '_' || user_id,
+      (ts, event_type || '_' || user_id)) AS current_title, count(DISTINCT event_type) AS n_historical_titles,
+      epoch_us(min(ts)) AS created_at, epoch_us(max(ts)) AS last_updated
+    FROM events GROUP BY user_id"""
+)
+def stored_fold(spark: SparkSession, folder: str) -> DataFrame:
+    """Titles stored in two batches, the second of which repeats the first, then read and folded."""
+    records = adapters.table(spark, folder, "events").select(
+        F.lit("enwiki").alias("wiki_code"),
+        content_hash(F.lit("enwiki"), F.col("user_id")).alias("page_hash"),
+        F.date_format("ts", "yyyy-MM").alias("year_month"),
+        F.concat_ws("_", "event_type", "user_id").alias("title"),
+        F.col("ts").cast("timestamp").alias("ts"),
+    )
+    facts = docs.page_facts(records, {fx.TITLES: F.col("title")}, seen_at=F.col("ts"))
+    path = fresh_folder(spark, "stored-facts")
+    append_batch(facts.where("seen_at < TIMESTAMP '2024-01-16 00:00:00'"), path, "first")
+    append_batch(facts, path, "second")
+    return docs.page_fold(read_facts(spark, path)).select(
+        "page_hash", "current_title", "n_historical_titles",
+        F.unix_micros("created_at").alias("created_at"), F.unix_micros("last_updated").alias("last_updated"),
+    )
+
+
+@query(
+    with_(PG, PL, RV, PV, CS)
+    + f""", known AS (SELECT 'enwiki' AS wiki_code, page_id, page_title, {page_hash("'enwiki'", 'page_title')} AS page_hash FROM pg),
+    links AS (
+      SELECT wiki_code, pl_from AS id, 'pagelinks_outbound' AS kind, concat_ws(',', pl_from, pl_from_namespace, pl_target_id, day) AS element FROM pl
+      UNION ALL SELECT wiki_code, pl_target_id, 'pagelinks_inbound', concat_ws(',', pl_from, pl_from_namespace, pl_target_id, day) FROM pl
+      UNION ALL SELECT wiki_code, o_orderkey, 'revisions', CAST(rev_id AS VARCHAR) FROM rv WHERE reason IS NULL),
+    e AS (
+      SELECT l.wiki_code, coalesce(k.page_hash, sha256(l.wiki_code || '-' || l.id)) AS page_hash, kind, element, k.page_hash IS NOT NULL AS known
+        FROM links l LEFT JOIN known k ON k.page_id = l.id AND k.wiki_code = l.wiki_code
+      UNION ALL SELECT wiki_code, page_hash, 'historical_titles', page_title, true FROM known
+      UNION ALL SELECT wiki_code, {page_hash('wiki_code', 'title')}, 'pageviews', concat_ws(',', access_code, agent_code, day, views), true
+        FROM pv WHERE reason IS NULL AND title IS NOT NULL
+      UNION ALL SELECT wiki_code, {page_hash('wiki_code', 'title')}, 'historical_titles', title, false
+        FROM pv WHERE reason IS NULL AND title IS NOT NULL
+      UNION ALL SELECT wiki_code, {page_hash('wiki_code', 'target')}, 'clickstreams_in', {_CLICK_JSON}, true FROM cs WHERE kept)
+    SELECT wiki_code, page_hash, {_sizes_sql()}, bool_or(known) AS is_known FROM e GROUP BY 1, 2"""
+)
+def page_fold_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents of all wikis over all record types under one key.
+
+    Links and revisions of pages that the page table lacks stay under the hash of
+    their id; `is_known` tells these pages apart.
+    """
+    page_rows = parse_dump(adapters.page_statements(spark, folder), PAGE)
+    revisions = parse_revisions(pages_from_text(adapters.revision_pages(spark, folder)))
+    facts = (
+        event_page_facts(spark, folder)
+        .unionByName(facts_of.link_facts(parse_dump(adapters.pagelink_statements(spark, folder), PAGELINKS)))
+        .unionByName(facts_of.revision_facts(revisions))
+        .unionByName(facts_of.title_facts(page_rows))
+    )
+    keyed = facts_of.by_title(facts, crosswalk_of(page_rows))
+    elements = keyed.groupBy(*docs.PAGE_KEY, "kind", "element").agg(
+        F.min("seen_at").alias("first_seen"), F.max("seen_at").alias("last_seen"), F.max("is_known").alias("is_known"))
+    sizes = [F.count_if(F.col("kind") == kind).alias(f"n_{kind}") for kind in fx.ELEMENT_KINDS]
+    return elements.groupBy(*docs.PAGE_KEY).agg(*sizes, F.max("is_known").alias("is_known"))
+
+
 @query(
     with_(PG, PL, RV, PV)
     + f""", known AS (SELECT page_id, page_title, {page_hash("'enwiki'", 'page_title')} AS page_hash FROM pg),

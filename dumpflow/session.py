@@ -15,6 +15,8 @@ RUNTIME_SETTINGS = {
     # Split a hot join partition even where that costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Keys of a stream are held on local disk with the heap as a cache, and kept in its checkpoint.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

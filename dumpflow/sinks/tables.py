@@ -49,6 +49,8 @@ def write_facts(facts: DataFrame, path: str, mode: str = "overwrite") -> None:
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .write.mode(mode)
+        # Overwriting replaces the table, whatever the session says about single months.
+        .option("partitionOverwriteMode", "static")
         .partitionBy("year_month")
         .parquet(path)
     )
@@ -66,8 +68,8 @@ def append_batch(facts: DataFrame, path: str, batch_id: int | str) -> None:
     """Add one batch of facts under its own `batch_id` folder.
 
     A batch that is run again replaces only its own folder, so retries after a
-    lost executor or driver add nothing twice. Repeats across batches are dropped
-    when facts are folded.
+    lost executor or driver add nothing twice. Ids must tell all writers of a table
+    apart. Repeats across batches are dropped when facts are folded.
     """
     (
         drop_equal_facts(facts.select(*FACT_COLUMNS))
@@ -90,12 +92,4 @@ def read_facts(spark: SparkSession, path: str) -> DataFrame:
 
 def compact_facts(spark: SparkSession, path: str, into: str) -> None:
     """Merge all batches into a new month-partitioned table without repeats."""
-    merged = read_facts(spark, path).groupBy(*PAGE_KEY, "year_month", "kind", "element").agg(
-        F.min("seen_at").alias("first_seen"), F.max("seen_at").alias("last_seen")
-    )
-    # Both ends of the time span are kept, as two rows only where they differ.
-    facts = merged.select(
-        *PAGE_KEY, "year_month", "kind", "element",
-        F.explode(F.array_distinct(F.array("first_seen", "last_seen"))).alias("seen_at"),
-    )
-    write_facts(facts, into, mode="errorifexists")
+    write_facts(drop_equal_facts(read_facts(spark, path)), into, mode="errorifexists")

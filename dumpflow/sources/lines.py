@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -15,14 +15,15 @@ def read_lines(
     spread: int | None = None,
     skip_corrupt: bool = False,
     recursive: bool = False,
+    files: Column | None = None,
 ) -> DataFrame:
     """Lines of one or many dump files as `(value, file_name, file_path, block_start)`.
 
     The codec is chosen by suffix. A gzip file cannot be split, so one task reads
     all of it: pass `spread` to deal its lines out to that many partitions before
     the parsing work. `skip_corrupt` keeps the other files when one is broken.
-    Bytes that are not UTF-8 become replacement characters. A filter on `file_name`
-    or `file_path` keeps Spark from opening the other files.
+    Bytes that are not UTF-8 become replacement characters. `files` is a condition
+    on `file_name` or `file_path`; other files are not opened.
     """
     reader = spark.read.option("ignoreCorruptFiles", str(skip_corrupt).lower()).option(
         "recursiveFileLookup", str(recursive).lower()
@@ -36,19 +37,18 @@ def read_lines(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
     )
+    if files is not None:
+        lines = lines.where(files)  # in front of the deal, so that it reaches the scan
     return spread_out(lines, spread) if spread else lines
 
 
 def spread_out(rows: DataFrame, tasks: int | None = None) -> DataFrame:
-    """Deal the rows of a scan out when it has fewer splits than the cluster has cores.
+    """Deal the rows of a scan out evenly to `tasks` tasks, by default one per core.
 
-    Meant for small or unsplittable inputs in front of heavy parsing. A scan that
-    already fills the cluster is returned as it is, with no shuffle added. Apply
-    it to scans only: counting the splits of a plan with shuffles would run it.
+    Meant for small or unsplittable inputs in front of heavy parsing: one large
+    gzip file among thousands of small ones is dealt out like any other.
     """
     wanted = tasks or rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() >= wanted:
-        return rows
     # A scan reads a split in the same order every time, so row numbers, unlike a
     # round-robin deal, need no sort to give the same result when a task is rerun.
     numbered = rows.withColumn("_row", F.monotonically_increasing_id())

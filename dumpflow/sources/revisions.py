@@ -8,30 +8,31 @@ from pyspark.sql import functions as F
 from dumpflow.functions.ids import content_hash
 from dumpflow.functions.text import once
 from dumpflow.functions.times import file_wiki_code, parse_iso, year_month
-from dumpflow.sources.lines import spread_out
-from dumpflow.sources.schemas import PAGE_XML, PAGE_XML_FIELDS
+from dumpflow.sources.lines import read_lines
+from dumpflow.sources.schemas import PAGE_XML
 
 MISSING_TIMESTAMP = "missing_timestamp"
 MINOR_EDIT = "minor_edit"
 BAD_TIMESTAMP = "bad_timestamp"
 
 
-def read_pages(spark: SparkSession, paths, spread: int | None = None, recursive: bool = False) -> DataFrame:
+def read_pages(
+    spark: SparkSession, paths, spread: int | None = None, recursive: bool = False, files: Column | None = None,
+    main_only: bool = False,
+) -> DataFrame:
     """`<page>` elements of export files as `(page, file_name)`.
 
-    Only one page is held at a time. Plain and bzip2 files are split between
-    tasks; for gzip pass `spread` to deal the pages out before parsing.
+    Files are text cut at `</page>`, so plain and bzip2 ones are split between
+    tasks; for gzip pass `spread` to deal the pages out before parsing. `files` is
+    a condition on the file name. `main_only` drops pages that say they are of
+    another namespace by a test on the text, before anything is parsed.
     """
-    raw = (
-        spark.read.format("xml")
-        .option("rowTag", "page")
-        .option("attributePrefix", "_")
-        .option("recursiveFileLookup", str(recursive).lower())
-        .schema(PAGE_XML)
-        .load(paths)
-    )
-    pages = raw.select(F.struct(*PAGE_XML_FIELDS).alias("page"), F.col("_metadata.file_name").alias("file_name"))
-    return spread_out(pages, spread) if spread else pages
+    text = read_lines(spark, paths, line_sep="</page>", spread=spread, recursive=recursive, files=files)
+    # What stands before the element, as the head of the file, is no part of it; the tail of a file has none.
+    whole = text.select(F.concat(F.regexp_extract("value", r"(?s)<page(?:\s[^>]*)?>.*", 0), F.lit("</page>")).alias("value"), "file_name").where(F.length("value") > 7)
+    if main_only:
+        whole = whole.where(F.coalesce(F.trim(F.nullif(F.regexp_extract("value", r"<ns>([^<]*)</ns>", 1), F.lit(""))), F.lit("0")) == "0")
+    return pages_from_text(whole).select("page", "file_name")
 
 
 def pages_from_text(rows: DataFrame) -> DataFrame:

@@ -52,7 +52,7 @@ def _insert_values(statements: DataFrame, table: str) -> DataFrame:
     carried = [c for c in statements.columns if c != "value"]
     # The cheap substring test drops other tables before any regular expression.
     # The reader leaves a statement that ends in ";<blanks>" joined to the next.
-    chunks = statements.where(F.col("value").contains(table)).select(
+    chunks = statements.where(F.lower("value").contains(table.lower())).select(
         *carried, F.explode(F.split("value", r";[ \t\r]*(?:\n|$)")).alias("_chunk")
     )
     # Comment and blank lines may stand before or inside a statement.

@@ -46,11 +46,24 @@ def open_messages(rows: DataFrame, text: str = "value") -> DataFrame:
 
     `_top` holds the fields of the message, nested ones as JSON text, and `_inner`
     those of its `tuple_struct`. A key with a null value is present in a map. Both
-    are NULL where there is no such object.
+    are NULL where there is no such object. Of a repeated key the last value counts.
     """
     fields = "map<string,string>"
-    top = once(rows, "_top", F.from_json(text, fields))
-    return once(top, "_inner", F.from_json(F.try_element_at("_top", F.lit("tuple_struct")), fields))
+    top = once(rows, "_top", _last_wins(F.from_json(text, fields)))
+    return once(top, "_inner", _last_wins(F.from_json(F.try_element_at("_top", F.lit("tuple_struct")), fields)))
+
+
+def _last_wins(fields: Column) -> Column:
+    """A map as JSON reading makes it, which may hold a key twice, with the last value of each key."""
+    def last(keys: Column, values: Column) -> Column:
+        later = lambda key, i: F.array_contains(F.slice(keys, i + 2, F.greatest(F.size(keys), F.lit(1))), key)
+        kept = F.filter(F.sequence(F.lit(0), F.size(keys) - 1), lambda i: ~later(keys[i], i))
+        return F.map_from_arrays(F.transform(kept, lambda i: keys[i]), F.transform(kept, lambda i: values[i]))
+
+    split = F.array(F.struct(F.map_keys(fields).alias("k"), F.map_values(fields).alias("v")))
+    distinct = F.element_at(F.transform(split, lambda m: F.when(
+        F.size(m["k"]) > F.size(F.array_distinct(m["k"])), last(m["k"], m["v"]))), 1)
+    return F.coalesce(distinct, fields)
 
 
 def has_key(fields: Column, key: str) -> Column:

@@ -16,13 +16,14 @@ def unify_topics(
     schema: str,
     lookup: DataFrame,
     on: str,
-    salts: int = 1,
+    salts: int = 8,
 ) -> DataFrame:
     """One stream of decoded events with the lookup's columns and a `found` flag.
 
     Every event stays, whether its key is known or not. Malformed messages stay
-    too, marked by `is_malformed` and with NULL fields. The static side is read
-    anew in every batch.
+    too, marked by `is_malformed` and with NULL fields. Streaming joins do not
+    split hot keys at run time, so each key is dealt out to `salts` tasks. The
+    static side is read anew in every batch.
     """
     decoded = decode_json(union_topics(topics), schema).select("topic", "value", "is_malformed", "event.*")
     return lookup_flag(decoded, lookup, on, salts=salts, spread_by=["value"])

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from dumpflow import fixed_values as fx
 from dumpflow.operators import links, lookups, pages, quality, records, stats
 from dumpflow.sources.pageviews import classify_pageviews
+from dumpflow.operators.facts import by_title
 from dumpflow.sources.topics import decode_json, open_messages, union_topics
 
 
@@ -122,9 +123,7 @@ def test_fold_of_parts_equals_fold_of_all(spark):
     both = rows(pages.page_fold(a.unionByName(b)), *FOLD_COLUMNS)
     repeated = a.unionByName(b).unionByName(a)
     assert rows(pages.page_fold(repeated), *FOLD_COLUMNS) == both
-    assert rows(pages.page_fold(pages.drop_equal_facts(a).unionByName(b)), "page_hash", "n_revisions") == [
-        (r[0], r[1]) for r in both
-    ]
+    assert rows(pages.page_fold(pages.drop_equal_facts(a).unionByName(b)), *FOLD_COLUMNS) == both
 
 
 def test_months_and_total(spark):
@@ -137,18 +136,17 @@ def test_months_and_total(spark):
     assert rows(march, "page_hash", "n_pageviews") == rows(only_march, "page_hash", "n_pageviews")
 
 
-@pytest.mark.parametrize("chunk_size", [10, 50, 100000])
-def test_documents_hold_every_element_in_bounded_chunks(spark, chunk_size):
-    elements = pages.page_elements(random_facts(spark, 5))
-    documents = pages.page_documents(elements, chunk_size).cache()
+@pytest.mark.parametrize("digits", [1, 2])
+def test_documents_hold_every_element_in_buckets(spark, digits):
+    facts = random_facts(spark, 5)
+    elements = pages.page_elements(facts)
+    documents = pages.page_documents(elements, digits).cache()
     for kind in fx.ELEMENT_KINDS:
         exploded = documents.select("page_hash", F.explode(kind).alias("element"))
         assert rows(exploded, "page_hash", "element") == rows(elements.where(F.col("kind") == kind), "page_hash", "element")
-        assert documents.agg(F.max(F.size(kind))).first()[0] <= max(3 * chunk_size, 10)
-    if chunk_size > 300:
-        assert documents.agg(F.max("chunk")).first()[0] == 0
-    else:
-        assert documents.where("page_hash = 'hot'").count() > 1
+    times = documents.select("page_hash", "created_at", "last_updated").distinct()
+    assert rows(times, "page_hash", "created_at", "last_updated") == rows(pages.page_fold(facts), "page_hash", "created_at", "last_updated")
+    assert documents.where("page_hash = 'hot'").count() > 1
 
 
 def test_latest_row_is_the_last_of_each_group(spark):
@@ -260,3 +258,26 @@ def test_json_decode_marks_malformed(spark):
 def test_union_of_no_topics_is_an_error():
     with pytest.raises(ValueError):
         union_topics([])
+
+
+def test_last_value_of_a_repeated_key_counts(spark):
+    frame = spark.createDataFrame([('{"a":1,"a":2,"tuple_struct":{"x":1,"x":null,"y":3}}',), ('{"a":1}',), ("no json",)], "value string")
+    got = open_messages(frame).select("*", records.metadata_map().alias("metadata")).collect()
+    assert got[0]._top["a"] == "2" and got[0]._inner == {"x": None, "y": "3"} and got[0].metadata == {"metadata.a": "2"}
+    assert got[1]._top == {"a": "1"} and not got[2]._top
+
+
+def test_facts_without_a_key_stay_with_salts(spark):
+    facts = spark.createDataFrame([(None, i) for i in range(50)] + [(1, 99)], "k bigint, v bigint")
+    table = spark.createDataFrame([(1, "one"), (None, "none")], "k bigint, name string")
+    got = lookups.lookup_flag(facts, table, "k", salts=4)
+    assert got.count() == 51 and rows(got.where("found"), "v", "name") == [(99, "one")]
+
+
+def test_facts_by_title_lose_none(spark):
+    keys = spark.sql("SELECT 'enwiki' wiki_code, 1 page_id, 'T' title, 'title1' title_hash, 'id1' id_hash")
+    facts = spark.createDataFrame(
+        [("enwiki", "id1", "2024-01", "revisions", "a"), ("enwiki", "id2", "2024-01", "revisions", "b"), ("enwiki", "title1", "2024-01", "pageviews", "c")],
+        "wiki_code string, page_hash string, year_month string, kind string, element string").withColumn("seen_at", F.lit("2024-01-01").cast("timestamp"))
+    got = rows(by_title(facts, keys), "element", "page_hash", "is_known")
+    assert got == [("a", "title1", True), ("b", "id2", False), ("c", "title1", True)]

@@ -318,3 +318,37 @@ def test_latest_revision_equals_the_last_kept_row(spark, tmp_path):
     columns = ("page_hash", "rev_id", "timestamp", "contributor_kind")
     by_rows = latest_row(kept, ["page_hash"], [F.col("timestamp"), F.col("rev_id").cast("bigint")])
     assert rows(revisions.latest_revisions(pages), *columns) == rows(by_rows, *columns)
+
+
+@pytest.mark.parametrize(("suffix", "pack"), [("xml", bytes), ("xml.bz2", bz2.compress)])
+def test_exports_are_split(spark, tmp_path, suffix, pack):
+    head, page, tail = "<mediawiki>\n<siteinfo><x/></siteinfo>\n", EXPORT[EXPORT.index("<page>"):EXPORT.index("</page>") + 7], "\n</mediawiki>\n"
+    n = 20_000
+    (tmp_path / f"enwiki-20240101-stub-meta-history.{suffix}").write_bytes(pack((head + "\n".join([page] * n) + tail).encode()))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k" if suffix.endswith("bz2") else "1m")
+    try:
+        pages = revisions.read_pages(spark, str(tmp_path))
+        assert pages.count() == n and pages.where("page.id IS NULL").count() == 0
+        if suffix == "xml":
+            assert pages.rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_other_namespaces_can_go_before_parsing(spark, tmp_path):
+    (tmp_path / "enwiki-20240101-stub-meta-history.xml").write_text(EXPORT)
+    every = revisions.parse_revisions(revisions.read_pages(spark, str(tmp_path)))
+    main = revisions.parse_revisions(revisions.read_pages(spark, str(tmp_path), main_only=True))
+    assert rows(every, *every.columns) == rows(main, *main.columns)
+
+
+@pytest.mark.parametrize("spread", [4, 5, 40])
+def test_every_scan_is_dealt_out_when_asked(spark, tmp_path, spread):
+    for i in range(5):
+        (tmp_path / f"pageviews-2024010{i + 1}-user.gz").write_bytes(gzip.compress(PAGEVIEWS))
+    read = lines.read_lines(spark, str(tmp_path), spread=spread, files=F.col("file_name").contains("20240102"))
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan and read.count() == 12
+    scan = next(line for line in plan.split("\n") if "FileScan" in line)
+    assert "20240102" in scan
