@@ -40,6 +40,13 @@ def link_degrees(links: DataFrame) -> DataFrame:
     )
 
 
+def link_counts(links: DataFrame) -> DataFrame:
+    """Distinct inbound and outbound links per page, in one aggregation over mirrored edges."""
+    edges = links.select("wiki_code", "pl_from", "pl_from_namespace", "pl_target_id", "timestamp").distinct()
+    return mirror_links(edges).groupBy("wiki_code", F.col("pl_from").alias("page_id")).agg(
+        F.count_if(F.col("direction") == INBOUND).alias("n_in"), F.count_if(F.col("direction") == OUTBOUND).alias("n_out"))
+
+
 def page_crosswalk(pages: DataFrame) -> DataFrame:
     """Both identifiers of every page, from rows of the `page` table.
 
@@ -65,7 +72,12 @@ def with_link_counts(crosswalk: DataFrame, degrees: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("direction") == INBOUND, F.col("n_links"))).alias("n_in"),
         F.sum(F.when(F.col("direction") == OUTBOUND, F.col("n_links"))).alias("n_out"),
     )
+    return with_counts(crosswalk, wide)
+
+
+def with_counts(crosswalk: DataFrame, counts: DataFrame) -> DataFrame:
+    """Crosswalk rows with the `link_counts` of their page, 0 where it has none."""
     zero = F.lit(0).cast("bigint")
-    return crosswalk.join(wide, ["wiki_code", "page_id"], "left").withColumns(
+    return crosswalk.join(counts, ["wiki_code", "page_id"], "left").withColumns(
         {"n_in": F.coalesce("n_in", zero), "n_out": F.coalesce("n_out", zero)}
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dumpflow.plans import (  # noqa: F401
     dump_queries,
+    file_queries,
     manifest_queries,
     message_queries,
     page_queries,

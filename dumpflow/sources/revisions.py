@@ -20,7 +20,7 @@ def read_pages(
     spark: SparkSession, paths, spread: int | None = None, recursive: bool = False, files: Column | None = None,
     main_only: bool = False,
 ) -> DataFrame:
-    """`<page>` elements of export files as `(page, file_name)`.
+    """`<page>` elements of export files as `(page, file_name, file_path)`.
 
     Files are text cut at `</page>`, so plain and bzip2 ones are split between
     tasks; for gzip pass `spread` to deal the pages out before parsing. `files` is
@@ -29,10 +29,10 @@ def read_pages(
     """
     text = read_lines(spark, paths, line_sep="</page>", spread=spread, recursive=recursive, files=files)
     # What stands before the element, as the head of the file, is no part of it; the tail of a file has none.
-    whole = text.select(F.concat(F.regexp_extract("value", r"(?s)<page(?:\s[^>]*)?>.*", 0), F.lit("</page>")).alias("value"), "file_name").where(F.length("value") > 7)
+    whole = text.select(F.concat(F.regexp_extract("value", r"(?s)<page(?:\s[^>]*)?>.*", 0), F.lit("</page>")).alias("value"), "file_name", "file_path").where(F.length("value") > 7)
     if main_only:
         whole = whole.where(F.coalesce(F.trim(F.nullif(F.regexp_extract("value", r"<ns>([^<]*)</ns>", 1), F.lit(""))), F.lit("0")) == "0")
-    return pages_from_text(whole).select("page", "file_name")
+    return pages_from_text(whole).select("page", "file_name", "file_path")
 
 
 def pages_from_text(rows: DataFrame) -> DataFrame:
