@@ -35,6 +35,15 @@ def sample_rows(rows: DataFrame, limit: int | None, *order: str) -> DataFrame:
     return rows.orderBy(*order).limit(limit) if order else rows.limit(limit)
 
 
+def sample_per(rows: DataFrame, limit: int, by: str, *order: str) -> DataFrame:
+    """The first `limit` rows of every group, as of every file, in the order given.
+
+    Spark drops rows past the limit before the shuffle.
+    """
+    place = F.row_number().over(Window.partitionBy(by).orderBy(*order))
+    return rows.withColumn("_place", place).where(F.col("_place") <= limit).drop("_place")
+
+
 def number_lines(rows: DataFrame, file: str, block: str, order: str, into: str = "line_number") -> DataFrame:
     """Number the lines of each file from 1 without gathering a file in one task.
 

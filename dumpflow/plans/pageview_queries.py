@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dumpflow.functions import codes
 from dumpflow.operators.quality import count_prefixes, count_reasons
-from dumpflow.operators.stats import number_lines, sample_rows
+from dumpflow.operators.stats import number_lines, sample_per, sample_rows
 from dumpflow.plans import adapters
 from dumpflow.plans.check_sql import CS, PV, page_hash, wiki_of, with_
 from dumpflow.plans.registry import query
@@ -161,3 +161,14 @@ def referer_category(spark: SparkSession, folder: str) -> DataFrame:
 )
 def clickstream_rollup(spark: SparkSession, folder: str) -> DataFrame:
     return clicks_per_target(parse_clickstream(adapters.clickstream_lines(spark, folder)))
+
+
+@query(
+    with_(PV)
+    + """SELECT file_name, event_id FROM (SELECT file_name, event_id,
+      row_number() OVER (PARTITION BY file_name ORDER BY event_id) AS rn FROM pv WHERE reason IS NULL) WHERE rn <= 5"""
+)
+def sample_per_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The first five good lines of every file."""
+    parsed = parse_pageviews(adapters.pageview_lines(spark, folder))
+    return sample_per(parsed, 5, "file_name", "event_id").select("file_name", "event_id")

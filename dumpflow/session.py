@@ -46,8 +46,11 @@ def fresh_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def cut_lineage(rows: DataFrame) -> DataFrame:
-    """Write rows to the checkpoint folder once, for plans that read them more than once."""
-    spark = rows.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return rows.checkpoint()
+    """Write rows to the shared folder once, for plans that read them more than once.
+
+    Parquet rather than a checkpoint: columns that a plan does not need are not
+    read, and joins know the size.
+    """
+    folder = fresh_folder(rows.sparkSession, "kept")
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
