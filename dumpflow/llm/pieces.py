@@ -16,7 +16,10 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import islice
 
 import ahocorasick
 import numpy as np
@@ -28,8 +31,8 @@ from dumpflow.llm.stages import arrow_ready
 MARK = "▁"
 #: Scores are whole millionths, so that sums are exact and ties are ties.
 UNIT = 1_000_000
-#: Segments that a worker remembers, and the longest of them in characters.
-REMEMBERED, LONGEST = 400_000, 48
+#: Segments that a worker process remembers, from task to task, and the longest of them in characters.
+REMEMBERED, LONGEST = 700_000, 48
 
 
 class Pieces:
@@ -63,7 +66,7 @@ class Pieces:
         self.cut = None
         if not any(re.search(f"[^{MARK}]{MARK}", self.piece[i]) or "\n" in self.piece[i] for i in plain):
             self.cut = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n+")
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
 
     def _char(self, c: str) -> tuple[list[int], int]:
         """Ids and score of a character spelled in bytes."""
@@ -102,35 +105,42 @@ class Pieces:
             n = start
         return ids[::-1]
 
-    def _segment(self, text: str) -> list[int]:
-        ids = self.known.get(text)
-        if ids is None:
-            ids = self.viterbi(text)
-            if len(text) <= LONGEST:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[text] = ids
+    def _segment(self, text: str) -> bytes:
+        ids = array("i", self.viterbi(text)).tobytes()
+        if len(text) <= LONGEST:
+            if len(self.known) >= REMEMBERED:  # the older half goes
+                self.known = dict(islice(self.known.items(), REMEMBERED // 2, None))
+            self.known[text] = ids
         return ids
 
-    def encode(self, text: str | None) -> list[int]:
-        """Ids of a text; none for NULL and for an empty text."""
+    def encode_raw(self, text: str | None) -> bytes:
+        """Ids of a text as 32-bit integers of this machine; none for NULL and for an empty text."""
         if not text:
-            return []
-        ids: list[int] = []
+            return b""
+        out: list[bytes] = []
         # The mark in a text is no space: it goes in as bytes between its neighbours.
         for k, part in enumerate(text.split(MARK)):
             if k:
-                ids += [self.byte_id[b] for b in MARK.encode()] if self.byte_id else [self.unknown]
+                out.append(array("i", self._char(MARK)[0]).tobytes())
             part = (MARK if k == 0 else "") + part.replace(" ", MARK)
             for segment in self.cut.findall(part) if self.cut else [part]:
-                ids += self._segment(segment)
-        return ids
+                out.append(self.known.get(segment) or self._segment(segment))
+        return b"".join(out)
+
+    def encode(self, text: str | None) -> list[int]:
+        return array("i", self.encode_raw(text)).tolist()
 
     def decode(self, ids) -> str:
         """The text of ids; broken UTF-8, which no encoding gives, becomes U+FFFD."""
         return b"".join(map(self.text.__getitem__, ids)).decode(errors="replace")[1:]
 
 
+@lru_cache(maxsize=2)
+def pieces_of(path: str) -> Pieces:
+    """One automaton and memory per worker process and model."""
+    return Pieces(path)
+
+
 def _schema(rows: DataFrame, added: dict[str, str]) -> str:
     return ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema] + [f"{n} {t}" for n, t in added.items()])
 
@@ -144,11 +154,11 @@ def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     at, names = docs.columns.index(text), [*docs.columns, "ids"]
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(model)
+        pieces = pieces_of(model)
         for batch in batches:
-            found = [pieces.encode(t) for t in batch.column(at).to_pylist()]
-            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
-            flat = np.fromiter((i for x in found for i in x), np.int32, int(ends[-1]))
+            found = [pieces.encode_raw(t) for t in batch.column(at).to_pylist()]
+            ends = np.cumsum([0, *(len(x) // 4 for x in found)], dtype=np.int32)
+            flat = np.frombuffer(b"".join(found), np.int32)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names)
 
     arrow_ready(docs.sparkSession)
@@ -161,7 +171,7 @@ def decode(rows: DataFrame, model: str, ids: str = "ids", text: str = "decoded")
     at, names = rows.columns.index(ids), [*rows.columns, text]
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(model)
+        pieces = pieces_of(model)
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([pieces.decode(x or []) for x in batch.column(at).to_pylist()], pa.string())], names)
 
