@@ -96,10 +96,7 @@ def link_degree(spark: SparkSession, folder: str) -> DataFrame:
     FROM pg LEFT JOIN n_in ON n_in.page_id = pg.page_id LEFT JOIN n_out ON n_out.page_id = pg.page_id"""
 )
 def page_crosswalk(spark: SparkSession, folder: str) -> DataFrame:
-    pages = _pages(spark, folder)
-    # Links of wikis without a page table are left out before the edges are shuffled.
-    links = _links(spark, folder).join(pages.select("wiki_code").distinct(), "wiki_code", "left_semi")
-    counted = graph.with_counts(graph.page_crosswalk(pages), graph.link_counts(links))
+    counted = graph.with_counts(graph.page_crosswalk(_pages(spark, folder)), graph.link_counts(_links(spark, folder)))
     return counted.select("page_id", "title", "title_hash", "id_hash", "n_in", "n_out")
 
 
