@@ -184,13 +184,17 @@ def removed_by_document(docs: DataFrame) -> DataFrame:
 def without_repeats(docs: DataFrame) -> DataFrame:
     """`docs` with the repeated lines gone from `text`; a NULL text stays NULL, other columns stay.
 
-    A document of which every line goes keeps an empty text.
+    A document of which every line goes keeps an empty text. Texts that surely lose
+    no line are not shuffled; a table of the other ids' cells tells them.
     """
-    gone = _gone_by_document(docs).select(F.col("doc_id").alias("__of"), F.col("gone").alias("__gone"))
+    gone = written(_gone_by_document(docs), "lines-gone").select(F.col("doc_id").alias("__of"), F.col("gone").alias("__gone"))
+    hit = _table(gone.select(_cell(F.xxhash64("__of")).alias("cell")), "cell", F.lit(1), "tinyint")
+    maybe = F.get(hit, _cell(F.xxhash64("doc_id")).cast("int")) > 0
     kept = let(F.coalesce("__gone", F.array().cast("array<int>")), lambda g: F.array_join(
         F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(g, i)), "\n"))
-    rows = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__of")), "left")
-    return rows.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(kept)).select(*docs.columns)
+    rows = docs.where(maybe).join(gone, F.col("doc_id").eqNullSafe(F.col("__of")), "left")
+    changed = rows.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(kept)).select(*docs.columns)
+    return docs.where(~maybe).unionByName(changed)
 
 
 REMOVED_SQL = r"""
