@@ -26,7 +26,9 @@ HIDDEN = frozenset("head script style noscript template title textarea select op
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PARAGRAPHS = frozenset("p blockquote pre".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}}
+CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}, "button": {"button"}, "select": {"select"}}
+# Start tags that do not end a head whose end tag is left out.
+HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
 SCOPES = frozenset("article aside body div dl fieldset footer form header html main nav ol section table ul".split())
 AGAINST = frozenset("ad ads adbox advert adverts advertisement advertising alert banner breadcrumb breadcrumbs byline comment comments commentlist consent cookie cookies copyright discussion disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification outbrain pager pagination popup promo promotion promoted related reply replies respond responses search share sharing sidebar signup skip social sponsor sponsored subscribe subscription taboola toc toolbar topbar tracking widget widgets".split())
 ROLES = frozenset("banner navigation complementary contentinfo search dialog alert menu menubar toolbar".split())
@@ -42,7 +44,8 @@ ADJACENT, RELATED = 40, 160
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<raw>script|style|textarea|title|noscript|template|svg|math|iframe)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
+    # A self-closed svg or math has no content; <svg-icon> is another element.
+    r"|(?!<(?:svg|math)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<=/)>)<(?P<raw>script|style|textarea|title|noscript|template|svg|math|iframe)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
     r"|(?P<text>[^<]+|<)",
     re.S | re.I,
@@ -87,16 +90,36 @@ def _cues(tag: str, attrs: str, above: int) -> int:
     return above + good if above > 0 else min(above, good)
 
 
+def _close(stack: list[tuple], tag: str) -> None:
+    """End tag: its element ends with all that is open inside, hidden or not."""
+    for i in range(len(stack) - 1, 0, -1):
+        if stack[i][0] == tag:
+            del stack[i:]
+            break
+
+
+def _make_way(stack: list[tuple], tag: str) -> None:
+    """Start tag: ends the element whose end tag may be left out before it."""
+    for i in range(len(stack) - 1, 0, -1):
+        if stack[i][0] in CLOSES.get(tag, ()):
+            del stack[i:]
+            break
+        if stack[i][0] in SCOPES or stack[i][0] in HIDDEN:
+            break
+
+
 def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order, white space made single and references decoded."""
-    stack: list[tuple[str, int, int]] = [("", 0, 0)]  # tag, number, evidence so far
+    stack: list[tuple[str, int, int, int]] = [("", 0, 0, 0)]  # tag, number, evidence so far, hidden elements so far
     out: list[Block] = []
-    number, links, hidden = 0, 0, 0
+    number, links = 0, 0
     now: Block | None = None
     for m in TOKEN.finditer(page):
         kind = m.lastgroup
         if kind == "text":
-            if hidden:
+            if stack[-1][0] == "head" and m["text"].strip():
+                del stack[-1]
+            if stack[-1][3]:
                 continue
             if now is None:
                 now = Block(tuple(s[1] for s in stack), stack[-1][2], stack[-1][0])
@@ -109,9 +132,17 @@ def blocks_of(page: str) -> list[Block]:
         if not tag:
             continue
         end = bool(m["end"])
+        if stack[-1][0] == "head" and not end and tag not in HEAD:
+            del stack[-1]
         if tag in HIDDEN:
-            hidden = max(0, hidden + (-1 if end else 1)) if not m["attrs"].endswith("/") else hidden
             now = None if tag == "head" else now
+            if m["attrs"].endswith("/"):
+                continue
+            if end:
+                _close(stack, tag)
+            else:
+                _make_way(stack, tag)
+                stack.append((tag, 0, stack[-1][2], stack[-1][3] + 1))
         elif tag == "a":
             links = max(0, links - 1) if end else 1
         elif tag == "br" and now is not None:
@@ -119,21 +150,14 @@ def blocks_of(page: str) -> list[Block]:
         elif tag in BLOCK:
             now, links = None, 0
             if tag == "body":
-                hidden = 0  # a head that was never closed
+                while stack[-1][3]:  # hidden elements that were never closed
+                    del stack[-1]
             if end:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] == tag:
-                        del stack[i:]
-                        break
+                _close(stack, tag)
             elif tag not in VOID:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] in CLOSES.get(tag, ()):
-                        del stack[i:]
-                        break
-                    if stack[i][0] in SCOPES:
-                        break
+                _make_way(stack, tag)
                 number += 1
-                stack.append((tag, number, _cues(tag, m["attrs"], stack[-1][2])))
+                stack.append((tag, number, _cues(tag, m["attrs"], stack[-1][2]), stack[-1][3]))
     for b in out:
         b.text = " ".join(html.unescape("".join(b.pieces)).split())
     return [b for b in out if b.text]

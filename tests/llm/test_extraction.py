@@ -33,6 +33,21 @@ def test_awkward_pages(page, text):
     assert extraction.main_text(page)[0] == text
 
 
+@pytest.mark.parametrize("before", [
+    "<select><option>A<option>B</select>", "<datalist><option>A<option>B</datalist>", "<div><button>Go</div>", "<div><object><div>No player</div></div>",
+    "<div><select><option>A</div>", "<svg width='1>' />", "<math/>", "<svg-icon></svg-icon>", "<button>A<button>B</button>", "<head><title>T</title>", "<head><meta charset=utf-8>",
+])
+def test_text_after_hidden_elements_stays(before):
+    """End tags that may be left out, or are, hide no more than their surroundings."""
+    text = "The article goes on after this, with a sentence of its own."
+    assert extraction.main_text(f"{before}<p>{text}</p>")[0] == text
+
+
+def test_hidden_elements_stay_hidden():
+    page = "<body><p>Some words of the article come here.</p><button><p>Go</p><div>on</div></button><svg><text>S</text></svg><select><option>A<option>B</select><object><p>none</p></object></body>"
+    assert [b.text for b in extraction.blocks_of(page)] == ["Some words of the article come here."]
+
+
 def test_cut_is_the_cheapest_labelling():
     rng = random.Random(5)
     for _ in range(300):
