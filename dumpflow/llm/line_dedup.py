@@ -38,8 +38,19 @@ def tokens_of(line: Column) -> Column:
     return F.transform(F.array_distinct(words_of(lower_ascii(line))), lambda w: F.xxhash64(w))
 
 
+def _keys(rows: DataFrame) -> list[str]:
+    """Columns that name a document: its id and, where rows of one id are told apart, its number."""
+    return [c for c in ("doc_id", "__row") if c in rows.columns]
+
+
+def _place(lines: DataFrame) -> Column:
+    """Where a line is; places sort as lines do."""
+    row = [F.col("__row").alias("row")] if "__row" in lines.columns else []
+    return F.struct(F.col("doc_id").alias("doc"), *row, F.col("line_no").alias("no"))
+
+
 def _lines(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
+    return docs.select(*_keys(docs), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
 
 
 def keyed_lines(docs: DataFrame) -> DataFrame:
@@ -72,11 +83,11 @@ def _shared(n: Column, m: Column) -> Column:
 
 
 def sets_of(lines: DataFrame) -> DataFrame:
-    """A row per different set: its first line (doc, no), text, size and parity map."""
+    """A row per different set: its first line (doc, row if numbered, no), text, size and parity map."""
     one = lambda x: F.call_function("shiftleft", F.lit(1).cast("bigint"), x.bitwiseAND(F.lit(63).cast("bigint")).cast("int"))
     parity = F.aggregate("t", F.lit(0).cast("bigint"), lambda a, x: a.bitwiseXOR(one(x)))
     least = [F.element_at("t", 1), *(F.array_min(F.transform("t", lambda x, c=c: x.bitwiseXOR(F.lit(c)))) for c in ORDERS)]
-    rows = lines.select("k", "k2", F.struct(F.col("doc_id").alias("doc"), F.col("line_no").alias("no")).alias("first"), F.struct(
+    rows = lines.select("k", "k2", _place(lines).alias("first"), F.struct(
         F.size("t").alias("n"), parity.alias("bits"), F.array(*least).alias("least"), F.col("line")).alias("facts"))
     return rows.groupBy("k", "k2").agg(F.min("first").alias("first"), F.first("facts").alias("facts")).select("k", "k2", "first", "facts.*")
 
@@ -156,45 +167,67 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 
     A NULL text is empty; a NULL doc_id sorts first. Rows that share an id share
     its lines by number: of such, one text's line is no repeat of the other's.
+    With the numbers of `numbered` each row has its own lines, and its number is
+    in the result.
     """
-    docs = docs.select("doc_id", "text")
+    keys = _keys(docs)
+    docs = docs.select(*keys, "text")
     sets = written(sets_of(keyed_lines(docs)), "line-sets", "zstd")
     matched = _first_matches(sets)
     found = _verified(_candidates(postings(sets, matched, rarity(docs))), sets)
     matches = matched.unionByName(found).groupBy("k", "k2").agg(F.min("earlier").alias("earlier"))
     verdicts = sets.select("k", "k2", "first").join(matches, ["k", "k2"], "left")
-    lines = keyed_lines(docs).select("doc_id", "line_no", "k", "k2", F.struct(F.col("doc_id").alias("doc"), F.col("line_no").alias("no")).alias("own"))
+    lines = keyed_lines(docs)
+    lines = lines.select(*keys, "line_no", "k", "k2", _place(lines).alias("own"))
     gone = lines.join(verdicts, ["k", "k2"]).where((F.col("own") != F.col("first")) | F.col("earlier").isNotNull())
     earlier = F.least("earlier", "first")
-    return gone.select("doc_id", "line_no", earlier["doc"].alias("earlier_doc"), earlier["no"].alias("earlier_no"))
+    return gone.select(*keys, "line_no", earlier["doc"].alias("earlier_doc"), earlier["no"].alias("earlier_no"))
 
 
 def _gone_by_document(docs: DataFrame) -> DataFrame:
-    return repeated_lines(docs).distinct().groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("gone"))
+    return repeated_lines(docs).distinct().groupBy(*_keys(docs)).agg(F.sort_array(F.collect_set("line_no")).alias("gone"))
 
 
 def removed_by_document(docs: DataFrame) -> DataFrame:
     """A row per document: lines, lines that go, and their numbers from 0."""
+    docs = docs.select("doc_id", "text")
     counts = docs.select("doc_id", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("bigint").alias("n_lines"))
     rows = counts.join(_gone_by_document(docs).withColumnRenamed("doc_id", "of"), F.col("doc_id").eqNullSafe(F.col("of")), "left").drop("of")
     gone = F.coalesce("gone", F.array().cast("array<int>"))
     return rows.select("doc_id", "n_lines", F.size(gone).cast("bigint").alias("n_removed"), F.array_join(gone.cast("array<string>"), ",").alias("removed"))
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """`docs` with `__row`: no two rows have both one id and one number.
+
+    Rows of an id that others have too, and some that share a table cell with
+    such an id, are written once with their numbers, in the order read. All
+    others have -1 and are not written.
+    """
+    again = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    cell = _cell(F.xxhash64("doc_id"))
+    shared = _table(again.select(cell.alias("cell")), "cell", F.lit(1), "tinyint")
+    maybe = F.get(shared, cell.cast("int")) > 0
+    told = written(docs.where(maybe).withColumn("__row", F.monotonically_increasing_id()), "lines-rows", "zstd")
+    return docs.where(~maybe).withColumn("__row", F.lit(-1).cast("bigint")).unionByName(told)
+
+
 def without_repeats(docs: DataFrame) -> DataFrame:
     """`docs` with the repeated lines gone from `text`; a NULL text stays NULL, other columns stay.
 
-    A document of which every line goes keeps an empty text. Texts that surely lose
-    no line are not shuffled; a table of the other ids' cells tells them.
+    A document of which every line goes keeps an empty text. Each row loses its own
+    lines only: rows with one id, or without one, are ordered as read. Texts that
+    surely lose no line are not shuffled; a table of the other ids' cells tells them.
     """
-    gone = written(_gone_by_document(docs), "lines-gone").select(F.col("doc_id").alias("__of"), F.col("gone").alias("__gone"))
-    hit = _table(gone.select(_cell(F.xxhash64("__of")).alias("cell")), "cell", F.lit(1), "tinyint")
-    maybe = F.get(hit, _cell(F.xxhash64("doc_id")).cast("int")) > 0
+    columns, docs = docs.columns, numbered(docs)
+    gone = written(_gone_by_document(docs), "lines-gone").select(F.col("doc_id").alias("__of"), F.col("__row").alias("__nr"), F.col("gone").alias("__gone"))
+    hit = _table(gone.select(_cell(F.xxhash64("__of", "__nr")).alias("cell")), "cell", F.lit(1), "tinyint")
+    maybe = F.get(hit, _cell(F.xxhash64("doc_id", "__row")).cast("int")) > 0
     kept = let(F.coalesce("__gone", F.array().cast("array<int>")), lambda g: F.array_join(
         F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(g, i)), "\n"))
-    rows = docs.where(maybe).join(gone, F.col("doc_id").eqNullSafe(F.col("__of")), "left")
-    changed = rows.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(kept)).select(*docs.columns)
-    return docs.where(~maybe).unionByName(changed)
+    rows = docs.where(maybe).join(gone, F.col("doc_id").eqNullSafe(F.col("__of")) & (F.col("__row") == F.col("__nr")), "left")
+    changed = rows.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(kept)).select(*columns)
+    return docs.where(~maybe).select(*columns).unionByName(changed)
 
 
 REMOVED_SQL = r"""

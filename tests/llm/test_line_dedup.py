@@ -78,3 +78,11 @@ def test_texts_after_removal(documents, spark):
     assert list(out[2].asDict()) == docs.columns and out[2].k == 9
     assert line_dedup.without_repeats(documents([])).count() == 0
     assert line_dedup.removed_by_document(documents([])).count() == 0
+
+
+def test_rows_of_one_id_lose_their_own_lines(documents):
+    """Rows without an id or with a repeated one: a line goes by its own row, and repeats in a later row are found."""
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(6)) for x in "abcde")
+    for i in (None, 7):
+        docs = documents([(i, f"{a}\n{b}", "1", None, None), (i, f"{c}\n{a}", "2", None, None), (i, f"{a}\n{d}", "3", None, None), (9, f"{e}\n{b}", "4", None, None)]).coalesce(1)
+        assert {r.lang: r.text for r in line_dedup.without_repeats(docs).collect()} == {"1": f"{a}\n{b}", "2": c, "3": d, "4": e}
