@@ -1,8 +1,10 @@
 """Near-duplicate lines by an exact set-similarity join.
 
 A line is the set of its words. It goes if an earlier line of the corpus, one
-that went or not, has at least 4/5 of their joint words in common; lines of
-fewer than five different words stay. Lines are ordered by (doc_id, number).
+that went or not, has at least 4/5 of their joint words in common; lines without
+a word stay. The check SQL takes lines of five different words on, and so do
+`removed_by_document` and `repeated_lines` unless told otherwise. Lines are
+ordered by (doc_id, number).
 
 Words are ordered by rarity. Two such sets share a word among the first
 n - ceil(0.8 n) + 1 of each, so only these prefixes are joined, under a length
@@ -14,7 +16,8 @@ Equal sets are one line first. Then lines are held against the first line with
 the same least word hash, for three orders of hashes, and those that match have
 found an earlier line: a group of near copies is mostly settled by as many
 comparisons as it has lines. Only lines without a match yet look for one in
-the prefix join, among all lines.
+the prefix join, among all lines. Sets of one to three words are like equal sets
+only and are in no join.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from dumpflow.functions.text import once
 from dumpflow.llm.stages import written
 from dumpflow.llm.text import let, lower_ascii, words_of
 
-#: Jaccard likeness as a fraction, and the fewest different words of a line.
+#: Jaccard likeness as a fraction, and the fewest different words of a line in REMOVED_SQL.
 PART, WHOLE, MIN_WORDS = 4, 5, 5
 #: Cells of the tables that the driver hands to tasks, whatever the size of the corpus.
 CELLS = 1 << 20
@@ -53,9 +56,9 @@ def _lines(docs: DataFrame) -> DataFrame:
     return docs.select(*_keys(docs), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
 
 
-def keyed_lines(docs: DataFrame) -> DataFrame:
-    """Lines of enough words with two hashes of their set."""
-    rows = once(_lines(docs), "t", F.sort_array(tokens_of(F.col("line")))).where(F.size("t") >= MIN_WORDS)
+def keyed_lines(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+    """Lines of at least `least` different words with two hashes of their set."""
+    rows = once(_lines(docs), "t", F.sort_array(tokens_of(F.col("line")))).where(F.size("t") >= least)
     return rows.withColumns({"k": F.xxhash64("t"), "k2": F.xxhash64(F.lit(1), "t")})
 
 
@@ -162,7 +165,7 @@ def _candidates(posts: DataFrame) -> DataFrame:
     return posts.alias("x").join(posts.alias("y"), may).select(F.col("x.k").alias("a"), F.col("y.k").alias("b"))
 
 
-def repeated_lines(docs: DataFrame) -> DataFrame:
+def repeated_lines(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """(doc_id, line_no) of lines that go, with the earlier line (earlier_doc, earlier_no) of each.
 
     A NULL text is empty; a NULL doc_id sorts first. Rows that share an id share
@@ -172,27 +175,29 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     """
     keys = _keys(docs)
     docs = docs.select(*keys, "text")
-    sets = written(sets_of(keyed_lines(docs)), "line-sets", "zstd")
-    matched = _first_matches(sets)
-    found = _verified(_candidates(postings(sets, matched, rarity(docs))), sets)
+    sets = written(sets_of(keyed_lines(docs, least)), "line-sets", "zstd")
+    # A set of n words is like another one only if one word more is within the likeness: 4 (n + 1) <= 5 n.
+    joined = sets.where(F.col("n") >= PART) if least < PART else sets
+    matched = _first_matches(joined)
+    found = _verified(_candidates(postings(joined, matched, rarity(docs))), joined)
     matches = matched.unionByName(found).groupBy("k", "k2").agg(F.min("earlier").alias("earlier"))
     verdicts = sets.select("k", "k2", "first").join(matches, ["k", "k2"], "left")
-    lines = keyed_lines(docs)
+    lines = keyed_lines(docs, least)
     lines = lines.select(*keys, "line_no", "k", "k2", _place(lines).alias("own"))
     gone = lines.join(verdicts, ["k", "k2"]).where((F.col("own") != F.col("first")) | F.col("earlier").isNotNull())
     earlier = F.least("earlier", "first")
     return gone.select(*keys, "line_no", earlier["doc"].alias("earlier_doc"), earlier["no"].alias("earlier_no"))
 
 
-def _gone_by_document(docs: DataFrame) -> DataFrame:
-    return repeated_lines(docs).distinct().groupBy(*_keys(docs)).agg(F.sort_array(F.collect_set("line_no")).alias("gone"))
+def _gone_by_document(docs: DataFrame, least: int) -> DataFrame:
+    return repeated_lines(docs, least).distinct().groupBy(*_keys(docs)).agg(F.sort_array(F.collect_set("line_no")).alias("gone"))
 
 
-def removed_by_document(docs: DataFrame) -> DataFrame:
+def removed_by_document(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """A row per document: lines, lines that go, and their numbers from 0."""
     docs = docs.select("doc_id", "text")
     counts = docs.select("doc_id", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("bigint").alias("n_lines"))
-    rows = counts.join(_gone_by_document(docs).withColumnRenamed("doc_id", "of"), F.col("doc_id").eqNullSafe(F.col("of")), "left").drop("of")
+    rows = counts.join(_gone_by_document(docs, least).withColumnRenamed("doc_id", "of"), F.col("doc_id").eqNullSafe(F.col("of")), "left").drop("of")
     gone = F.coalesce("gone", F.array().cast("array<int>"))
     return rows.select("doc_id", "n_lines", F.size(gone).cast("bigint").alias("n_removed"), F.array_join(gone.cast("array<string>"), ",").alias("removed"))
 
@@ -212,7 +217,7 @@ def numbered(docs: DataFrame) -> DataFrame:
     return docs.where(~maybe).withColumn("__row", F.lit(-1).cast("bigint")).unionByName(told)
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
+def without_repeats(docs: DataFrame, least: int = 1) -> DataFrame:
     """`docs` with the repeated lines gone from `text`; a NULL text stays NULL, other columns stay.
 
     A document of which every line goes keeps an empty text. Each row loses its own
@@ -220,7 +225,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     surely lose no line are not shuffled; a table of the other ids' cells tells them.
     """
     columns, docs = docs.columns, numbered(docs)
-    gone = written(_gone_by_document(docs), "lines-gone").select(F.col("doc_id").alias("__of"), F.col("__row").alias("__nr"), F.col("gone").alias("__gone"))
+    gone = written(_gone_by_document(docs, least), "lines-gone").select(F.col("doc_id").alias("__of"), F.col("__row").alias("__nr"), F.col("gone").alias("__gone"))
     hit = _table(gone.select(_cell(F.xxhash64("__of", "__nr")).alias("cell")), "cell", F.lit(1), "tinyint")
     maybe = F.get(hit, _cell(F.xxhash64("doc_id", "__row")).cast("int")) > 0
     kept = let(F.coalesce("__gone", F.array().cast("array<int>")), lambda g: F.array_join(

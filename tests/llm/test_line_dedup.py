@@ -86,3 +86,19 @@ def test_rows_of_one_id_lose_their_own_lines(documents):
     for i in (None, 7):
         docs = documents([(i, f"{a}\n{b}", "1", None, None), (i, f"{c}\n{a}", "2", None, None), (i, f"{a}\n{d}", "3", None, None), (9, f"{e}\n{b}", "4", None, None)]).coalesce(1)
         assert {r.lang: r.text for r in line_dedup.without_repeats(docs).collect()} == {"1": f"{a}\n{b}", "2": c, "3": d, "4": e}
+
+
+def test_short_lines_are_joined_too(documents):
+    """From one different word on, against all pairs of lines."""
+    rng = random.Random(8)
+    rows = [(i, "\n".join(" ".join(rng.choice("abcdefgh") for _ in range(rng.choice((0, 1, 1, 2, 3, 4, 5, 6, 40)))) for _ in range(5)), None, None, None) for i in range(40)]
+    seen, want = [], {}
+    for i, text, *_ in rows:
+        kept = []
+        for line in text.split("\n"):
+            t = set(line.split())
+            if not any(len(t & u) * 5 >= 4 * len(t | u) for u in seen if t):
+                kept.append(line)
+            seen += [t] if t else []
+        want[i] = "\n".join(kept)
+    assert {r.doc_id: r.text for r in line_dedup.without_repeats(documents(rows)).collect()} == want
