@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dumpflow.llm import extraction, fingerprints, language, line_dedup, lm, mixing, pieces, quality, simhash, token_files
+from dumpflow.llm import extraction, fingerprints, language, line_dedup, lm, mixing, passages, pieces, quality, simhash, token_files
 from dumpflow.llm.stages import documents, written
 from dumpflow.session import fresh_folder, prepare
 
@@ -83,3 +83,9 @@ def op9_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return extraction.extract(prepare(spark).read.parquet(f"{folder}/pages.parquet").select("page_id", "url", "html"))
+
+
+@query(passages.REMOVED_SQL)
+def op11_passage_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = passages.without_repeats(documents(spark, folder).select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
