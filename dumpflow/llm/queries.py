@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dumpflow.llm import extraction, fingerprints, language, line_dedup, lm, mixing, passages, pieces, quality, simhash, token_files
+from dumpflow.llm import extraction, fingerprints, language, line_dedup, lm, mixing, passages, pieces, quality, runs, simhash, token_files
 from dumpflow.llm.stages import documents, written
 from dumpflow.session import fresh_folder, prepare
 
@@ -89,3 +89,8 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
 def op11_passage_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = passages.without_repeats(documents(spark, folder).select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query(runs.RUNS_SQL)
+def op12_word_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.digests(runs.find(runs.with_planted_runs(documents(spark, folder).select("doc_id", "text"))))
