@@ -123,7 +123,7 @@ class Block:
         if not len(touched):
             return np.empty(0, np.int64)
         repeated = np.zeros(len(touched), bool)
-        for shard, start, stop in spans(touched // self.shard_cells):
+        for shard, start, stop in B.spans(touched // self.shard_cells):
             repeated[start:stop] = np.unpackbits(np.frombuffer(answers[shard], np.uint8), count=stop - start)
         hit = np.ones(cells.shape[1], bool)
         for row in cells:
@@ -144,14 +144,6 @@ class Block:
         return np.searchsorted(self.at, windows, side="right") - 1
 
 
-def spans(keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """(key, start, stop) of each stretch of equal numbers."""
-    if len(keys):
-        edges = np.r_[0, np.flatnonzero(np.diff(keys)) + 1, len(keys)]
-        for a, b in zip(edges.tolist(), edges[1:].tolist(), strict=False):
-            yield int(keys[a]), a, b
-
-
 def merge_sketches(given: list[bytes], shard_cells: int) -> list[bytes]:
     """Add the blocks' counters of a shard; per block a bit for each of its cells, set where the sum is two or more."""
     sums = np.zeros(shard_cells, np.uint8)
@@ -189,7 +181,7 @@ def _grouped(block: Block, width: int, answers: dict[int, bytes], shards: int) -
         first.setdefault(d, doc)
     ordered = sorted(first)
     keys = np.array([int.from_bytes(d[:4]) * shards >> 32 for d in ordered], np.int64)
-    return windows, digests, first, [(k, ordered[a:b]) for k, a, b in spans(keys)]
+    return windows, digests, first, [(k, ordered[a:b]) for k, a, b in B.spans(keys)]
 
 
 def pack_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -232,7 +224,7 @@ def without_repeats(docs: DataFrame, size: int = 50, block_bytes: int = BLOCK_BY
 
     def add_up(name: str, content, _: list[dict]) -> Iterator[pa.RecordBatch]:
         touched, twice, _ = Block(content, size).sketch(width)
-        for shard, a, b in spans(touched // shard_cells):
+        for shard, a, b in B.spans(touched // shard_cells):
             yield B.batch_of([(shard, name, B.pack((B.gaps_of(touched[a:b] - shard * shard_cells), np.packbits(twice[a:b]), b - a)))], question)
 
     def candidates(name: str, content, answers: list[dict]) -> Iterator[pa.RecordBatch]:

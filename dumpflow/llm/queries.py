@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dumpflow.llm import extraction, fingerprints, language, line_dedup, lm, mixing, passages, pieces, quality, runs, simhash, token_files
+from dumpflow.llm import alignment, extraction, fingerprints, language, line_dedup, lm, mixing, passages, pieces, quality, runs, simhash, token_files
 from dumpflow.llm.stages import documents, written
 from dumpflow.session import fresh_folder, prepare
 
@@ -94,3 +94,10 @@ def op11_passage_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query(runs.RUNS_SQL)
 def op12_word_runs(spark: SparkSession, folder: str) -> DataFrame:
     return runs.digests(runs.find(runs.with_planted_runs(documents(spark, folder).select("doc_id", "text"))))
+
+
+@query()
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    a, b = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    found = alignment.align(documents(spark, folder).select("doc_id", "text"), a, b)
+    return found.withColumn("groups_sha256", F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))).drop("groups")
