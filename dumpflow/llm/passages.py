@@ -112,25 +112,25 @@ class Block:
         return np.concatenate(found) if found else np.empty(0, np.uint64)
 
     def sketch(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Touched cells in ascending order, whether a cell was touched more than once, and the cells by window."""
-        cells = cells_of(self.hashes(), width)
-        touched, counts = np.unique(cells, return_counts=True)
-        return touched, counts > 1, cells
+        """Touched cells in ascending order, how often each was touched, and the (row, window) places in the order of their cells."""
+        cells = cells_of(self.hashes(), width).ravel()
+        order = np.argsort(cells)
+        cells = cells[order]
+        first = np.flatnonzero(np.diff(cells, prepend=-1))
+        return cells[first], np.diff(first, append=len(cells)), order
 
     def estimated(self, width: int, answers: dict[int, bytes]) -> np.ndarray:
         """The windows all of whose cells hold two or more in the merged sketch."""
-        touched, _, cells = self.sketch(width)
-        if not len(touched):
-            return np.empty(0, np.int64)
+        touched, counts, order = self.sketch(width)
         repeated = np.zeros(len(touched), bool)
         for shard, start, stop in B.spans(touched // self.shard_cells):
             repeated[start:stop] = np.unpackbits(np.frombuffer(answers[shard], np.uint8), count=stop - start)
-        hit = np.ones(cells.shape[1], bool)
-        for row in cells:
-            hit &= repeated[np.searchsorted(touched, row)]
-        return np.flatnonzero(hit)
+        hit = np.empty(len(order), bool)
+        hit[order] = np.repeat(repeated, counts)
+        return np.flatnonzero(hit.reshape(DEPTH, -1).all(axis=0))
 
-    def digests(self, windows: np.ndarray) -> list[bytes]:
+    def digests(self, windows: np.ndarray) -> np.ndarray:
+        """128-bit digests as two numbers."""
         out = []
         bounds = np.searchsorted(windows, self.at)
         for (line, starts, ends), base, a, b in zip(self.words, self.at, bounds, bounds[1:], strict=False):
@@ -138,7 +138,7 @@ class Block:
                 i = windows[a:b] - base
                 out += [hashlib.blake2b(line[s:e], digest_size=16).digest()
                         for s, e in zip(starts[i].tolist(), ends[i + self.size - 1].tolist(), strict=True)]
-        return out
+        return np.frombuffer(b"".join(out), ">u8").reshape(-1, 2).astype(np.uint64)
 
     def docs_of(self, windows: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.at, windows, side="right") - 1
@@ -159,7 +159,7 @@ def merge_sketches(given: list[bytes], shard_cells: int) -> list[bytes]:
 def find_first(given: list[bytes]) -> list[bytes]:
     """Per block a bit for each of its digests, set where another block has it in a smaller document."""
     parts = [B.unpack(raw) for raw in given]
-    digests = np.concatenate([np.frombuffer(d, ">u8").reshape(-1, 2) for d, _, _ in parts])
+    digests = np.concatenate([d for d, _, _ in parts])
     docs = np.concatenate([ids[at] for _, ids, at in parts])
     order = np.lexsort((docs, digests[:, 1], digests[:, 0]))
     same = digests[order]
@@ -172,16 +172,21 @@ def find_first(given: list[bytes]) -> list[bytes]:
     return [np.packbits(bits).tobytes() for bits in np.split(first, ends[:-1])]
 
 
-def _grouped(block: Block, width: int, answers: dict[int, bytes], shards: int) -> tuple[np.ndarray, list[bytes], dict[bytes, int], list]:
-    """Estimated windows, their digests, the first document place of each digest, and (shard, digests in order)."""
-    windows = block.estimated(width, answers)
-    digests = block.digests(windows)
-    first: dict[bytes, int] = {}
-    for d, doc in zip(digests, block.docs_of(windows).tolist(), strict=True):
-        first.setdefault(d, doc)
-    ordered = sorted(first)
-    keys = np.array([int.from_bytes(d[:4]) * shards >> 32 for d in ordered], np.int64)
-    return windows, digests, first, [(k, ordered[a:b]) for k, a, b in B.spans(keys)]
+class Groups:
+    """The estimated windows of a block by digest: `kinds` ascend, `kind` is that of each window, `first` its first document's place."""
+
+    def __init__(self, block: Block, width: int, answers: dict[int, bytes], shards: int):
+        self.windows = block.estimated(width, answers)
+        self.docs = block.docs_of(self.windows)
+        digests = block.digests(self.windows)
+        order = np.lexsort((digests[:, 1], digests[:, 0]))  # stable, and windows come by document
+        digests = digests[order]
+        new = np.r_[True, (digests[1:] != digests[:-1]).any(axis=1)][: len(digests)]
+        self.kinds, self.first = digests[new], self.docs[order][new]
+        self.kind = np.empty(len(digests), np.int64)
+        self.kind[order] = np.cumsum(new) - 1
+        top = (self.kinds[:, 0] >> np.uint64(32)).astype(np.int64)
+        self.shards = list(B.spans(top * shards >> 32))
 
 
 def pack_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -223,28 +228,29 @@ def without_repeats(docs: DataFrame, size: int = 50, block_bytes: int = BLOCK_BY
     question = B.arrow_schema(B.QUESTION)
 
     def add_up(name: str, content, _: list[dict]) -> Iterator[pa.RecordBatch]:
-        touched, twice, _ = Block(content, size).sketch(width)
+        touched, counts, _ = Block(content, size).sketch(width)
         for shard, a, b in B.spans(touched // shard_cells):
-            yield B.batch_of([(shard, name, B.pack((B.gaps_of(touched[a:b] - shard * shard_cells), np.packbits(twice[a:b]), b - a)))], question)
+            steps, twice = B.gaps_of(touched[a:b] - shard * shard_cells), np.packbits(counts[a:b] > 1)
+            yield B.batch_of([(shard, name, B.pack((steps, twice, b - a)))], question)
 
     def candidates(name: str, content, answers: list[dict]) -> Iterator[pa.RecordBatch]:
         block = Block(content, size, shard_cells)
-        _, _, first, parts = _grouped(block, width, answers[0], shards)
-        for shard, digests in parts:
-            ids, at = np.unique(np.array([block.ids[first[d]] for d in digests], np.int64), return_inverse=True)
-            yield B.batch_of([(shard, name, B.pack((b"".join(digests), ids, at.astype(np.min_scalar_type(len(ids))))))], question)
+        groups = Groups(block, width, answers[0], shards)
+        first = np.array([-1 if i is None else i for i in block.ids], np.int64)[groups.first]
+        for shard, a, b in groups.shards:
+            ids, at = np.unique(first[a:b], return_inverse=True)
+            yield B.batch_of([(shard, name, B.pack((groups.kinds[a:b], ids, at.astype(np.min_scalar_type(len(ids))))))], question)
 
     def remove(name: str, content, answers: list[dict]) -> Iterator[pa.RecordBatch]:
         block = Block(content, size, shard_cells)
-        windows, digests, first, parts = _grouped(block, width, answers[0], shards)
-        earlier: set[bytes] = set()
-        for shard, of_shard in parts:
-            bits = np.unpackbits(np.frombuffer(answers[1][shard], np.uint8), count=len(of_shard))
-            earlier.update(of_shard[i] for i in np.flatnonzero(bits))
+        groups = Groups(block, width, answers[0], shards)
+        earlier = np.zeros(len(groups.kinds), bool)
+        for shard, a, b in groups.shards:
+            earlier[a:b] = np.unpackbits(np.frombuffer(answers[1][shard], np.uint8), count=b - a)
         ids = block.ids
-        docs_at = block.docs_of(windows)
-        gone = np.array([d in earlier or ids[doc] > ids[first[d]] for d, doc in zip(digests, docs_at.tolist(), strict=True)], bool)
-        windows, docs_at = windows[gone], docs_at[gone]
+        number = np.array([-1 if i is None else i for i in ids], np.int64)
+        gone = earlier[groups.kind] | (number[groups.docs] > number[groups.first[groups.kind]])
+        windows, docs_at = groups.windows[gone], groups.docs[gone]
         bounds = np.searchsorted(docs_at, np.arange(len(ids) + 1))
         rows = []
         for doc, (line, starts, ends) in enumerate(block.words):
