@@ -15,12 +15,14 @@ block, see `blocks`.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 from array import array
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
-from itertools import islice
+from itertools import accumulate, islice
 from typing import NamedTuple
 
 import numpy as np
@@ -78,18 +80,20 @@ def close(a: Tokens, b: Tokens) -> Closed:
     is left, so a group of n and m tokens has n + m - 1 links.
     """
     (a_ids, a_ends), (b_ids, b_ends) = a, b
-    groups, links, i, j, i0, j0 = [], array("q"), 0, 0, 0, 0
-    while i < len(a_ids):
-        links.append(b_ids[j] << 32 | a_ids[i])
+    groups, links, i, j, i0, j0 = [], [], 0, 0, 0, 0
+    n = len(a_ids)
+    while i < n:
+        x, y = a_ids[i], b_ids[j]
+        links.append(y << 32 | x)
         if a_ends[i] < b_ends[j]:
             i += 1
         elif a_ends[i] > b_ends[j]:
             j += 1
         else:
-            i, j = i + 1, j + 1
-            groups.append(",".join(map(str, a_ids[i0:i])) + "|" + ",".join(map(str, b_ids[j0:j])))
+            single, i, j = i == i0 and j == j0, i + 1, j + 1
+            groups.append(f"{x}|{y}" if single else ",".join(map(str, a_ids[i0:i])) + "|" + ",".join(map(str, b_ids[j0:j])))
             i0, j0 = i, j
-    return Closed(";".join(groups), len(a_ids), len(b_ids), len(groups), links.tobytes())
+    return Closed(";".join(groups), n, len(b_ids), len(groups), array("q", links).tobytes())
 
 
 def _split(tokens: Tokens, end: int) -> tuple[Tokens, Tokens]:
@@ -133,6 +137,18 @@ def byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+@contextmanager
+def no_collection() -> Iterator[None]:
+    """No search for cycles while many small values, none of them in a cycle, are made."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 class Aligner:
     """Both tokenizers with the bytes of their ids, and the groups of segments seen so far."""
 
@@ -178,7 +194,8 @@ class Aligner:
         parts = [table[i] for i in ids]
         if b"".join(parts) != text.encode():
             return None
-        return ids, (start + np.cumsum([len(p) for p in parts], dtype=np.int64)).tolist()
+        ends = list(accumulate(map(len, parts), initial=start))
+        return ids, ends[1:]
 
     def closed(self, segments: list[str]) -> dict[str, Closed | None]:
         """The groups of each segment; None where a tokenizer does not give its bytes back."""
@@ -186,9 +203,10 @@ class Aligner:
             self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
         new = [s for s in segments if s not in self.known]
         found = {}
-        for s, a_ids, b_ids in zip(new, self.tokens_a(new), self.tokens_b(new), strict=True):
-            a, b = self.ended(a_ids, self.a_bytes, s), self.ended(b_ids, self.b_bytes, s)
-            found[s] = None if a is None or b is None else close(a, b)
+        with no_collection():
+            for s, a_ids, b_ids in zip(new, self.tokens_a(new), self.tokens_b(new), strict=True):
+                a, b = self.ended(a_ids, self.a_bytes, s), self.ended(b_ids, self.b_bytes, s)
+                found[s] = None if a is None or b is None else close(a, b)
         out = {s: self.known[s] if s in self.known else found[s] for s in segments}
         self.known |= {s: c for s, c in found.items() if len(s) <= LONGEST}
         return out
