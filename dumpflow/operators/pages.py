@@ -76,10 +76,16 @@ def page_fold(facts: DataFrame) -> DataFrame:
     elements are first counted per page and title, and only that small result, a
     row per title and one for all else, is aggregated by sorting.
     """
+    return fold_elements(page_elements(facts))
+
+
+def fold_elements(elements: DataFrame, *carried: str) -> DataFrame:
+    """`page_fold` of distinct elements; `carried` are columns that are the same in all rows of a page."""
+    grain = (*carried, *PAGE_KEY)
     title = F.when(F.col("kind") == fx.TITLES, F.col("element"))
-    per_title = fold_pages(page_elements(facts).withColumn("_title", title), *PAGE_KEY, "_title")
+    per_title = fold_pages(elements.withColumn("_title", title), *grain, "_title")
     last = F.when(F.col("_title").isNotNull(), F.struct("last_updated", "_title"))
-    return per_title.groupBy(*PAGE_KEY).agg(
+    return per_title.groupBy(*grain).agg(
         *[F.sum(f"n_{kind}").alias(f"n_{kind}") for kind in fx.ELEMENT_KINDS],
         F.min("created_at").alias("created_at"),
         F.max("last_updated").alias("last_updated"),

@@ -92,18 +92,21 @@ def dump_lines(spark: SparkSession, folder: str) -> DataFrame:
     return pagelink_statements(spark, folder).select("file_name", F.explode(F.split("value", "\n")).alias("value"))
 
 
-def page_statements(spark: SparkSession, folder: str, day: str = "20240501", moved: bool = False) -> DataFrame:
+def page_statements(spark: SparkSession, folder: str, day: str = "20240501", moved: bool = False, swapped: bool = False) -> DataFrame:
     """An INSERT per part: titles with brackets, quotes, commas and semicolons, and NULLs.
 
-    With `moved`, every fourth page has another title and is a redirect.
+    With `moved`, every fourth page has another title and is a redirect. With
+    `swapped`, even pages hold the plain title of the even page next to them.
     """
     move = "p_partkey % 4 = 0" if moved else "false"
+    swap = "p_partkey % 2 = 0" if swapped else "false"
     return rows_to_render(
         spark, folder, "part", "p_partkey", "p_name", "p_size"
     ).selectExpr(
         f"'enwiki-{day}-page.sql' AS file_name",
         "concat('INSERT INTO `page` VALUES (', concat_ws(',', p_partkey, p_partkey % 2, "
         f"  concat('''', CASE WHEN {move} THEN concat('Moved_', p_partkey) "
+        f"    WHEN {swap} THEN concat('Page_', p_partkey + if(p_partkey % 4 = 0, 2, -2)) "
         "    WHEN p_partkey % 7 = 0 THEN concat(replace(p_name, ' ', '_'), '_(x)') "
         "    WHEN p_partkey % 11 = 0 THEN concat('It\\\\''s_', replace(p_name, ' ', '_'), ',;') "
         "    ELSE concat('Page_', p_partkey) END, ''''), "

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dumpflow import fixed_values as fx
-from dumpflow.functions.ids import content_hash, page_identifier
-from dumpflow.functions.times import stamp_text
+from dumpflow.functions.ids import content_hash, normalize_wiki_code
+from dumpflow.functions.times import file_date, stamp_text
 from dumpflow.operators import facts as facts_of
 from dumpflow.operators import lookups
 from dumpflow.operators import pages as docs
-from dumpflow.operators.links import INBOUND, OUTBOUND, mirror_links
+from dumpflow.operators.links import INBOUND, OUTBOUND, join_as_of, mirror_links, title_spans
 from dumpflow.operators.links import page_crosswalk as crosswalk_of
 from dumpflow.operators.records import struct_json
 from dumpflow.plans import adapters
@@ -324,3 +324,34 @@ def event_lookup(spark: SparkSession, folder: str) -> DataFrame:
     )
     events = adapters.table(spark, folder, "events").select("event_id", "user_id")
     return lookups.lookup_flag(events, customers, "user_id").select("event_id", "found", "segment")
+
+
+_TITLE_AFTER = "CASE WHEN page_id % 2 = 0 THEN 'Page_' || (page_id + CASE WHEN page_id % 4 = 0 THEN 2 ELSE -2 END) ELSE page_title END"
+
+
+@query(
+    with_(PV, PG)
+    + f""", early AS (SELECT page_title AS title, min(page_id) AS page_id FROM pg GROUP BY 1),
+    late AS (SELECT {_TITLE_AFTER} AS title, min(page_id) AS page_id FROM pg GROUP BY 1),
+    v AS (SELECT title, day, views FROM pv WHERE reason IS NULL AND title IS NOT NULL AND wiki_code = 'enwiki')
+    SELECT v.title, CASE WHEN day >= DATE '2024-01-20' THEN late.page_id ELSE coalesce(early.page_id, late.page_id) END AS page_id,
+      count(*) AS n_lines, CAST(sum(views) AS BIGINT) AS views, CAST(min(day) AS VARCHAR) AS first_day, CAST(max(day) AS VARCHAR) AS last_day
+    FROM v LEFT JOIN early USING (title) LEFT JOIN late USING (title) GROUP BY 1, 2"""
+)
+def crosswalk_asof(spark: SparkSession, folder: str) -> DataFrame:
+    """Views per title and the page that held it on the day, by two page dumps between which pages swapped titles."""
+    dumps = parse_dump(
+        concat_lines(
+            adapters.page_statements(spark, folder, day="20240110"),
+            adapters.page_statements(spark, folder, day="20240120", swapped=True),
+        ),
+        PAGE,
+    )
+    # The spans are read for their bounds and for the join, so the dumps are parsed once.
+    spans = cut_lineage(title_spans(dumps.select("wiki_code", "page_id", "page_title", "page_touched", "timestamp")))
+    views = parse_pageviews(adapters.pageview_lines(spark, folder)).where("title IS NOT NULL")
+    dated = views.select(normalize_wiki_code(F.col("domain")).alias("wiki_code"), "title", "views", file_date(F.col("file_name")).alias("day"))
+    held = join_as_of(dated.where("wiki_code = 'enwiki'"), spans, "day")
+    return held.groupBy("title", "page_id").agg(
+        F.count("*").alias("n_lines"), F.sum("views").alias("views"),
+        F.min("day").cast("string").alias("first_day"), F.max("day").cast("string").alias("last_day"))

@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dumpflow.functions.times import stamp_text
+from dumpflow.operators.pages import FACT_COLUMNS
 from dumpflow.plans import adapters
-from dumpflow.plans.registry import query
+from dumpflow.plans.page_queries import event_page_facts
+from dumpflow.plans.registry import CHECKS, query
 from dumpflow.session import fresh_folder
 from dumpflow.sources.topics import union_topics
 from dumpflow.streaming.dedup import drop_repeats
+from dumpflow.streaming.kept import create_kept, keep_stream, read_kept
 from dumpflow.streaming.unify import drain_and_read, unify_topics
 
 TOPICS = ("clickstream_topic", "pageview_topic", "wikidocument_topic")
@@ -59,3 +63,21 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
     once = drop_repeats(delivery().unionByName(delivery()), ["event_id"], within="1 hour")
     return drain_and_read(once, fresh_folder(spark, "dedup"))
+
+
+@query(CHECKS["page_fold"])
+def stream_kept_fold(spark: SparkSession, folder: str) -> DataFrame:
+    """The page fold kept current by a stream of two micro-batches, read as it stands after them.
+
+    The second run goes on from the checkpoint of the first, and repeats its last days.
+    """
+    root = fresh_folder(spark, "kept-fold")
+    incoming, kept = f"{root}/incoming", f"{root}/kept"
+    facts = event_page_facts(spark, folder).select(*FACT_COLUMNS)
+    create_kept(spark, kept, buckets=16)
+    for part in (F.col("seen_at") < "2024-01-16", F.col("seen_at") >= "2024-01-14"):
+        facts.where(part | (F.col("kind") == "clickstreams_in")).write.mode("append").parquet(incoming)
+        stream = spark.readStream.schema(facts.schema).parquet(incoming)
+        keep_stream(stream, kept, f"{root}/checkpoint").awaitTermination()
+    pages = read_kept(spark, kept)
+    return pages.withColumns({c: stamp_text(F.col(c)) for c in ("created_at", "last_updated")})

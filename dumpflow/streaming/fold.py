@@ -12,6 +12,14 @@ from dumpflow.sinks.tables import append_batch
 BadRows = Callable[[DataFrame, int], None]
 
 
+def batch_name(batch: DataFrame, batch_id: int) -> str:
+    """A name for a micro-batch that no other query's batch has, and that a rerun has again."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not query:
+        raise RuntimeError("the batch does not tell its query")
+    return f"{query}-{batch_id}"
+
+
 def fold_stream(facts: DataFrame, path: str, checkpoint: str, on_bad: BadRows | None = None, **trigger):
     """Start a query that appends a stream of facts to the table at `path`.
 
@@ -20,10 +28,7 @@ def fold_stream(facts: DataFrame, path: str, checkpoint: str, on_bad: BadRows |
     that is run again replaces itself and no other query's.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        if not query:
-            raise RuntimeError("the batch does not tell its query")
-        name = f"{query}-{batch_id}"
+        name = batch_name(batch, batch_id)
         has_page = F.col("page_hash").isNotNull()
         if on_bad is None:
             append_batch(batch.where(has_page), path, name)

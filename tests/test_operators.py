@@ -47,6 +47,52 @@ def test_degrees_by_brute_force(edges):
     assert got == sorted((page, direction, len(found)) for (page, direction), found in want.items())
 
 
+def held(dumps, title, at):
+    """The page with a title at a time, dump by dump: the last that took it, unless it has left since."""
+    shown, holder, changes = {}, None, []
+    for day in sorted({d for d, _, _ in dumps}):
+        now = {page: t for d, page, t in dumps if d == day}
+        takers = [page for page, t in now.items() if t == title and shown.get(page) != title]
+        if takers or now.get(holder, title) != title:
+            holder = min(takers, default=None)
+            changes.append((day, holder))
+        shown |= now
+    return next((page for day, page in reversed(changes) if day <= at), changes[0][1] if changes else None)
+
+
+def test_as_of_by_brute_force(spark):
+    rng = random.Random(8)
+    dumps = []
+    for day in (3, 40, 41, 90, 400, 800):
+        dumps += [(day, page, f"T{rng.randint(1, 9)}") for page in range(1, 9) if rng.random() < 0.8]
+    table = spark.createDataFrame([("enwiki", p, t, d) for d, p, t in dumps], "wiki_code string, page_id bigint, page_title string, d int").select(
+        "*", F.timestamp_seconds(F.col("d") * 86_400).alias("timestamp"), F.timestamp_seconds("d").alias("page_touched"))
+    spans = links.title_spans(table)
+    for a in spans.collect():  # no two holders of a title at once
+        assert a.valid_from is None or a.valid_to is None or a.valid_from < a.valid_to
+    views = [(i, "enwiki", rng.choice(["T1", f"T{rng.randint(1, 11)}", "T1", None]), rng.choice([None, 0, 2, 3, 39, 40, 41, 60, 90, 399, 400, 401, 800, 2_000])) for i in range(300)]
+    facts = spark.createDataFrame([(i, w, t, d, -1) for i, w, t, d in views], "i int, wiki_code string, title string, d int, page_id int").withColumn(
+        "seen_at", F.timestamp_seconds(F.col("d") * 86_400))
+    want = [(i, (t and d is not None and held(dumps, t, d)) or 0) for i, _, t, d in views]
+    for months in (1, 12, 1_000):
+        joined = links.join_as_of(facts, spans, "seen_at", months)
+        assert joined.columns == ["i", "wiki_code", "title", "d", "seen_at", "page_id"]
+        assert [(i, p or 0) for i, p in rows(joined.withColumn("page_id", F.coalesce("page_id", F.lit(0))), "i", "page_id")] == want
+    assert links.join_as_of(facts, spans.limit(0), "seen_at").where("page_id IS NOT NULL").count() == 0
+
+
+def test_as_of_meets_by_title_and_period(spark):
+    table = spark.createDataFrame([("enwiki", 1, "A")], "wiki_code string, page_id bigint, page_title string").withColumn(
+        "timestamp", F.lit("2024-01-01").cast("timestamp")).withColumn("page_touched", F.col("timestamp"))
+    facts = spark.createDataFrame([("enwiki", "A")], "wiki_code string, title string").withColumn("at", F.col("wiki_code").try_cast("timestamp"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = links.join_as_of(facts, links.title_spans(table), "at")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin [_row_wiki_code" in plan and "_period" in plan and "NestedLoop" not in plan
+
+
 def test_crosswalk_takes_the_last_title(spark):
     table = spark.createDataFrame(
         [("enwiki", 1, "Old", 1), ("enwiki", 1, "New", 2), ("dewiki", 1, "Neu", 1)],
