@@ -6,7 +6,12 @@ say for real dumps.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import gzip
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.fs as pafs
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dumpflow.functions.times import stamp_text
@@ -15,8 +20,9 @@ from dumpflow.operators.records import message_rows
 from dumpflow.plans import adapters
 from dumpflow.plans.check_sql import CS, PG, PL, PV, RV, page_hash, with_
 from dumpflow.plans.registry import query
-from dumpflow.session import fresh_folder
+from dumpflow.session import cut_lineage, fresh_folder
 from dumpflow.sources import revisions as rev
+from dumpflow.sources.checked import broken_files, good_lines, read_checked
 from dumpflow.sources.clickstream import clickstream_records, parse_clickstream
 from dumpflow.sources.lines import read_lines
 from dumpflow.sources.pageviews import pageview_records, parse_pageviews
@@ -31,6 +37,42 @@ def stored(rows: DataFrame, purpose: str, compression: str) -> str:
     return path
 
 
+def stored_whole(rows: DataFrame, purpose: str, order: str, broken: Column) -> str:
+    """Write `(file_name, value)` rows as one gzip file per name, its lines by `order`.
+
+    Of a `broken` file the second half of the lines is lost: it lies in a gzip member that is cut short.
+    """
+    path = fresh_folder(rows.sparkSession, purpose)
+    of_file = Window.partitionBy("file_name")
+    halves = rows.select("file_name", "value", (~broken | (
+        F.row_number().over(of_file.orderBy(order)) <= F.floor(F.count("*").over(of_file) / 2))).alias("whole"), order)
+    dealt = halves.repartition("file_name").sortWithinPartitions("file_name", order).select("file_name", "value", "whole")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = pafs.FileSystem.from_uri(path) if ":" in path else (pafs.LocalFileSystem(), path)
+        fs.create_dir(root, recursive=True)
+        name, parts, names = None, {}, []
+
+        def close() -> None:
+            if name is not None:
+                raw = gzip.compress("".join(parts[True]).encode()) + (gzip.compress("".join(parts[False]).encode())[:12] if parts[False] else b"")
+                with fs.open_output_stream(f"{root}/{name}", compression=None) as out:
+                    out.write(raw)
+                names.append(name)
+
+        for batch in batches:
+            for file_name, value, whole in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if file_name != name:
+                    close()
+                    name, parts = file_name, {True: [], False: []}
+                parts[whole].append(value + "\n")
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], ["file_name"])
+
+    cut_lineage(dealt.mapInArrow(write, "file_name string"))
+    return path
+
+
 def named(rows: DataFrame) -> DataFrame:
     """The dump's name in place of that of one of its parts."""
     return rows.withColumn("file_name", F.regexp_extract("file_path", r"/dump=([^/]+)/", 1))
@@ -119,3 +161,41 @@ def wiki_documents(spark: SparkSession, folder: str) -> DataFrame:
     records = rev.document_records(rev.pages_from_text(adapters.revision_pages(spark, folder)))
     t = F.col("tuple_struct")
     return records.select("page_hash", "wiki_code", t["title"].alias("title"), t["is_redirect"].alias("is_redirect"), stamp_text(t["last_updated"]).alias("last_updated"))
+
+
+@query(
+    with_(PV)
+    + """, l AS (SELECT *, file_name LIKE '%-bot.bz2' AS broken, row_number() OVER (PARTITION BY file_name ORDER BY event_id) AS line,
+      count(*) OVER (PARTITION BY file_name) AS n FROM pv),
+    g AS (SELECT * FROM l WHERE NOT broken OR line <= n // 2)
+    SELECT replace(file_name, '.bz2', '.gz') AS file_name, count(*) AS good_lines,
+      count_if(reason IS NULL)::BIGINT AS n_views, CAST(coalesce(sum(views) FILTER (reason IS NULL), 0) AS BIGINT) AS views,
+      bool_or(broken) AS is_broken FROM g GROUP BY 1"""
+)
+def file_isolation(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored gzip files, those of one agent cut short: the views of their good lines, and which files are broken."""
+    lines = adapters.pageview_lines(spark, folder).withColumn("file_name", F.replace("file_name", F.lit(".bz2"), F.lit(".gz")))
+    path = stored_whole(lines, "isolated-files", "event_id", F.col("file_name").endswith("-bot.gz"))
+    rows = cut_lineage(read_checked(spark, path).select("value", "file_name", "file_path", "line_number", "error", "position"))
+    views = parse_pageviews(good_lines(rows)).groupBy("file_name").agg(F.count("*").alias("n_views"), F.sum("views").alias("views"))
+    counts = good_lines(rows).groupBy("file_name").agg(F.count("*").alias("good_lines"))
+    # The damage must show right behind the last good line.
+    report = broken_files(rows).select("file_name", F.col("good_lines").alias("_before"))
+    zero = F.lit(0).cast("bigint")
+    return counts.join(views, "file_name", "left").join(report, "file_name", "left").select(
+        "file_name", "good_lines", F.coalesce("n_views", zero).alias("n_views"), F.coalesce("views", zero).alias("views"),
+        F.coalesce(F.col("_before") == F.col("good_lines"), F.lit(False)).alias("is_broken"))
+
+
+@query(
+    with_(PV)
+    + """SELECT event_id, replace(file_name, '.bz2', '.gz') AS file_name,
+      row_number() OVER (PARTITION BY file_name ORDER BY event_id) AS line_number FROM pv"""
+)
+def file_line_number(spark: SparkSession, folder: str) -> DataFrame:
+    """Numbers of the lines of stored gzip files, as the reader counts them."""
+    lines = adapters.pageview_lines(spark, folder).select(
+        "event_id", F.concat_ws(" ", "event_id", "value").alias("value"), F.replace("file_name", F.lit(".bz2"), F.lit(".gz")).alias("file_name"))
+    path = stored_whole(lines, "numbered-files", "event_id", F.lit(False))
+    read = good_lines(read_checked(spark, path))
+    return read.select(F.split("value", " ")[0].cast("bigint").alias("event_id"), "file_name", "line_number")

@@ -12,7 +12,7 @@ from dumpflow.plans import adapters
 from dumpflow.plans.check_sql import CS, PV, page_hash, wiki_of, with_
 from dumpflow.plans.registry import query
 from dumpflow.sources.clickstream import classify_clickstream, clicks_per_target, parse_clickstream
-from dumpflow.sources.formats import tsv_kind
+from dumpflow.sources.formats import route_lines
 from dumpflow.sources.lines import concat_lines
 from dumpflow.sources.pageviews import classify_pageviews, parse_pageviews, views_per_page_day
 
@@ -95,27 +95,68 @@ def _mixed_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    "SELECT 'pageviews' AS kind, count(*) AS n FROM events UNION ALL SELECT 'clickstream', count(*) FROM events"
+    with_(PV, CS)
+    + """SELECT 'pageviews' AS kind, count(*) AS n, count_if(reason IS NULL)::BIGINT AS n_kept,
+      CAST(sum(views) FILTER (reason IS NULL) AS BIGINT) AS total FROM pv
+    UNION ALL SELECT 'clickstream', count(*), count_if(kept)::BIGINT, CAST(sum(clicks) FILTER (kept) AS BIGINT) FROM cs"""
 )
 def route_by_file(spark: SparkSession, folder: str) -> DataFrame:
-    routed = _mixed_lines(spark, folder).withColumn("kind", tsv_kind(F.col("file_name")))
-    return routed.groupBy("kind").agg(F.count("*").alias("n"))
+    """Mixed lines, each parsed by the parser that its file's name asks for: lines, good ones, and their views or clicks."""
+    views, clicks = route_lines(_mixed_lines(spark, folder))
+    parsed = concat_lines(
+        classify_pageviews(views).select(F.lit("pageviews").alias("kind"), "reason", F.col("views").alias("amount")),
+        classify_clickstream(clicks).select(F.lit("clickstream").alias("kind"), "reason", F.col("clicks").alias("amount")),
+    )
+    good = F.col("reason").isNull()
+    return parsed.groupBy("kind").agg(F.count("*").alias("n"), F.count_if(good).alias("n_kept"), F.sum(F.when(good, F.col("amount"))).alias("total"))
+
+
+# The rendered lines again, in the other dialect: `adapters` has them as Spark expressions.
+_LINES = f"""
+  pageview_lines AS (
+    SELECT file_name, CASE WHEN event_id % 31 = 0 THEN '  ' ELSE CASE event_id % 5
+      WHEN 0 THEN concat_ws(s, domain, access_type, v) WHEN 1 THEN concat_ws(s, domain, t, access_type, v)
+      WHEN 2 THEN concat_ws(s, domain, t, event_id, access_type, v)
+      WHEN 3 THEN concat_ws(s, domain, t, event_id, access_type, v, 'A3B9') ELSE concat_ws(s, domain, t) END END AS value
+    FROM (SELECT pv.*, CASE WHEN event_id % 7 = 0 THEN chr(9) ELSE ' ' END AS s,
+        CASE WHEN event_id % 17 = 0 THEN 'x' ELSE '' END || CAST(floor(value) AS BIGINT) AS v,
+        CASE pv.event_type WHEN 'error' THEN 'Special:P' || user_id WHEN 'signup' THEN 'User_talk:U' || user_id
+          WHEN 'purchase' THEN 'Page:' || user_id ELSE 'Page_' || user_id END AS t
+      FROM pv JOIN (SELECT event_id, value FROM events) USING (event_id))),
+  clickstream_lines AS (
+    SELECT file_name, CASE WHEN event_id % 13 = 0 THEN concat_ws(chr(9), source, target, kind)
+      ELSE concat_ws(chr(9), source, target, kind, n, CASE WHEN event_id % 5 = 3 THEN 'extra' END) END AS value
+    FROM (SELECT cs.*, ['https://www.Google.com/search?q=' || user_id, 'other-google', '', 'http://news.bing.com:80/' || user_id,
+          'Page_' || event_id % 97][1 + event_id % 5] AS source,
+        CASE event_type WHEN 'click' THEN 'link' WHEN 'view' THEN 'external' WHEN 'purchase' THEN 'external'
+          WHEN 'error' THEN 'other' ELSE 'junk' END AS kind,
+        CASE WHEN event_id % 11 = 0 THEN 'n/a' ELSE CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END AS n
+      FROM cs JOIN (SELECT event_id, event_type, value FROM events) USING (event_id))),
+  link_lines AS (
+    SELECT {wiki_of('l_linenumber')} || '-' || strftime(l_shipdate, '%Y%m') || '01-pagelinks.sql.gz' AS file_name,
+      CASE WHEN l_linenumber = 1 THEN '-- links' || chr(10) || chr(10) ELSE '' END || 'INSERT INTO `'
+        || CASE WHEN l_returnflag = 'R' THEN 'templatelinks' ELSE 'pagelinks' END || '` VALUES ('
+        || concat_ws(',', l_orderkey, l_linenumber, l_partkey) || '),(' || concat_ws(',', l_orderkey, l_linenumber, l_suppkey) || ')' AS value
+    FROM lineitem)"""
 
 
 @query(
-    with_(PV, CS)
-    + f"""SELECT file_name, count(*) AS n FROM (SELECT file_name FROM pv UNION ALL SELECT file_name FROM cs
-      UNION ALL SELECT {wiki_of('l_linenumber')} || '-' || strftime(l_shipdate, '%Y%m') || '01-pagelinks.sql.gz'
-      FROM lineitem) GROUP BY 1"""
+    with_(PV, CS, _LINES)
+    + """SELECT file_name, count(*) AS n, CAST(sum(strlen(value)) AS BIGINT) AS n_bytes,
+      CAST(sum(CAST('0x' || left(md5(value), 8) AS BIGINT)) AS BIGINT) AS digest
+    FROM (FROM pageview_lines UNION ALL FROM clickstream_lines UNION ALL FROM link_lines) GROUP BY 1"""
 )
 def multi_file_union(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines, bytes and a digest of the text, whatever the order of lines, of every file of a union."""
     columns = ("file_name", "value")
     lines = concat_lines(
         adapters.pageview_lines(spark, folder).select(*columns),
         adapters.clickstream_lines(spark, folder).select(*columns),
         adapters.pagelink_statements(spark, folder).select(*columns),
     )
-    return lines.groupBy("file_name").agg(F.count("*").alias("n"))
+    return lines.groupBy("file_name").agg(
+        F.count("*").alias("n"), F.sum(F.octet_length("value")).alias("n_bytes"),
+        F.sum(F.conv(F.left(F.md5("value"), F.lit(8)), 16, 10).cast("bigint")).alias("digest"))
 
 
 @query(
