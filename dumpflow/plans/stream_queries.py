@@ -11,7 +11,9 @@ from dumpflow.plans import adapters
 from dumpflow.plans.page_queries import event_page_facts
 from dumpflow.plans.registry import CHECKS, query
 from dumpflow.session import fresh_folder
-from dumpflow.sources.topics import union_topics
+from dumpflow.sinks.messages import send_batch, send_stream
+from dumpflow.sources.topic_log import use_topic_log
+from dumpflow.sources.topics import decode_json, read_topic, union_topics
 from dumpflow.streaming.dedup import drop_repeats
 from dumpflow.streaming.kept import create_kept, keep_stream, read_kept
 from dumpflow.streaming.unify import drain_and_read, unify_topics
@@ -81,3 +83,30 @@ def stream_kept_fold(spark: SparkSession, folder: str) -> DataFrame:
         keep_stream(stream, kept, f"{root}/checkpoint").awaitTermination()
     pages = read_kept(spark, kept)
     return pages.withColumns({c: stamp_text(F.col(c)) for c in ("created_at", "last_updated")})
+
+
+@query(
+    f"""SELECT topic, count(*) AS n, CAST(sum(CASE WHEN bad THEN 0 ELSE event_id END) AS BIGINT) AS event_ids,
+      CAST(count_if(bad) AS BIGINT) AS malformed, count(*) AS n_offsets, count(*) AS end_offset
+    FROM (SELECT event_id, {_TOPIC} || '_copy' AS topic, event_id % 50 = 0 AS bad FROM events) GROUP BY 1"""
+)
+def stream_topic_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages sent to a topic log in two batches, each carried by a stream per run from its topics to other ones.
+
+    The second run goes on from the offsets of the first; the copies are read as a batch.
+    """
+    use_topic_log(spark)
+    root = fresh_folder(spark, "topic-log")
+    first, copies = {"path": f"{root}/first"}, {"path": f"{root}/copies", "writer": "copies"}
+    messages = adapters.event_messages(spark, folder).select("topic", F.lit(None).cast("string").alias("key"), "value")
+    early = F.pmod(F.xxhash64("value"), F.lit(3)) == 0
+    for part in (messages.where(early), messages.where(~early)):
+        send_batch(part, first, sink="topic_log")
+        streams = [read_topic(spark, topic, first, source="topic_log") for topic in TOPICS]
+        carried = union_topics(streams).select(F.concat("topic", F.lit("_copy")).alias("topic"), F.col("topic").alias("key"), "value")
+        send_stream(carried, copies, f"{root}/checkpoint", sink="topic_log", availableNow=True).awaitTermination()
+    read = spark.read.format("topic_log").options(**copies).load()
+    decoded = decode_json(read, adapters.MESSAGE_SCHEMA).select("topic", "offset", "is_malformed", "event.event_id")
+    return decoded.groupBy("topic").agg(
+        F.count("*").alias("n"), F.sum(F.coalesce("event_id", F.lit(0))).cast("bigint").alias("event_ids"),
+        F.count_if("is_malformed").alias("malformed"), F.count_distinct("offset").alias("n_offsets"), (F.max("offset") + 1).alias("end_offset"))

@@ -6,15 +6,14 @@ from pyspark.sql import DataFrame
 
 
 def send_batch(messages: DataFrame, options: dict[str, str], sink: str = "kafka") -> None:
-    """Write a batch of message rows to a broker. Needs the connector of `sink`."""
-    messages.write.format(sink).options(**options).save()
+    """Add a batch of message rows to a broker, or to a `topic_log`. Needs the connector of `sink`."""
+    messages.write.format(sink).options(**options).mode("append").save()
 
 
-def send_stream(messages: DataFrame, options: dict[str, str], checkpoint: str, sink: str = "kafka"):
-    """Start a query that writes a stream of message rows to a broker."""
-    return (
-        messages.writeStream.format(sink).options(**options).option("checkpointLocation", checkpoint).start()
-    )
+def send_stream(messages: DataFrame, options: dict[str, str], checkpoint: str, sink: str = "kafka", **trigger):
+    """Start a query that writes a stream of message rows to a broker, or to a `topic_log`."""
+    writer = messages.writeStream.format(sink).options(**options).option("checkpointLocation", checkpoint)
+    return (writer.trigger(**trigger) if trigger else writer).start()
 
 
 def replay_to_folder(messages: DataFrame, path: str) -> None:

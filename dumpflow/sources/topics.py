@@ -11,10 +11,8 @@ from dumpflow.functions.text import once
 
 
 def read_topic(spark: SparkSession, topic: str, options: dict[str, str], source: str = "kafka") -> DataFrame:
-    """Stream of one topic's string values. Needs the connector of `source`."""
-    raw = spark.readStream.format(source).options(**options)
-    if source == "kafka":
-        raw = raw.option("subscribe", topic)
+    """Stream of one topic's string values. Needs the connector of `source`, or `use_topic_log` for a `topic_log`."""
+    raw = spark.readStream.format(source).options(**options).option("subscribe" if source == "kafka" else "topic", topic)
     return raw.load().select(F.lit(topic).alias("topic"), F.col("value").cast("string").alias("value"))
 
 
