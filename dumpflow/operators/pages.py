@@ -117,15 +117,16 @@ def monthly_and_total(facts: DataFrame) -> DataFrame:
 
     An element seen in two months counts in each month, and once in the total.
     """
-    both = facts.select(
-        *PAGE_KEY, "kind", "element", "seen_at",
-        F.inline(F.array(
-            F.struct(F.col("year_month").alias("year_month"), F.lit("month").alias("grain")),
-            F.struct(F.lit(None).cast("string").alias("year_month"), F.lit("total").alias("grain")),
-        )),
-    )
+    # Sizes and times need no text: elements are told apart by a 128-bit digest, dropped once per
+    # month, and the totals are worked out from what is left.
+    digests = facts.withColumn("element", F.unhex(F.md5("element")))
+    months = set_add(digests, *PAGE_KEY, "year_month")
+    totals = months.groupBy(*PAGE_KEY, "kind", "element").agg(
+        F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"))
     grain = (*PAGE_KEY, "grain", "year_month")
-    return fold_pages(set_add(both, *grain), *grain)
+    by_month = fold_pages(months.withColumn("grain", F.lit("month")), *grain)
+    return by_month.unionByName(fold_pages(totals.withColumns(
+        {"grain": F.lit("total"), "year_month": F.lit(None).cast("string")}), *grain))
 
 
 def page_documents(elements: DataFrame, digits: int = 1) -> DataFrame:
@@ -145,6 +146,29 @@ def page_documents(elements: DataFrame, digits: int = 1) -> DataFrame:
     return bucketed.groupBy(*PAGE_KEY, "bucket").agg(*arrays).join(times, list(PAGE_KEY))
 
 
+def page_documents_by_size(elements: DataFrame, per_row: int = 20_000) -> DataFrame:
+    """Nested documents with as many buckets as a page's elements need, the same rule for every page.
+
+    A page has 1, 16, 256, ... buckets, the fewest of which each is expected to hold
+    half of `per_row` elements or less, so that uneven ones stay below `per_row`.
+    Every row has that number as `n_buckets`. A bucket is known by the first hexadecimal
+    digits of its elements' MD5, '' where there is one. Pass a written element table, as it is read twice.
+    """
+    half = max(1, per_row // 2)
+    size = F.count("*")
+    digits = sum(((size > F.lit(half * 16**k)).cast("int") for k in range(1, 12)), (size > F.lit(half)).cast("int"))
+    pages = elements.groupBy(*PAGE_KEY).agg(
+        digits.alias("_digits"), F.min("first_seen").alias("created_at"), F.max("last_seen").alias("last_updated"))
+    bucketed = elements.join(pages, list(PAGE_KEY)).withColumn("bucket", F.left(F.md5("element"), F.col("_digits")))
+    arrays = [
+        F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.col("element")))).alias(kind)
+        for kind in fx.ELEMENT_KINDS
+    ]
+    # Digits and times are the same in all rows of a page.
+    rows = bucketed.groupBy(*PAGE_KEY, "_digits", "created_at", "last_updated", "bucket").agg(*arrays)
+    return rows.withColumn("n_buckets", F.expr("shiftleft(1L, 4 * _digits)")).drop("_digits")
+
+
 def latest_row(rows: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     """The whole row that comes last in each group.
 

@@ -92,10 +92,12 @@ def monthly_buckets(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     with_(PV, CS, _FACTS)
-    + """, e AS (SELECT DISTINCT wiki_code, page_hash, kind, element, left(md5(element), 1) AS bucket,
-      min(day) OVER (PARTITION BY wiki_code, page_hash) AS created, max(day) OVER (PARTITION BY wiki_code, page_hash) AS updated
-      FROM facts)
-    SELECT wiki_code, page_hash, bucket,
+    + """, d AS (SELECT wiki_code, page_hash, kind, element, min(day) AS first, max(day) AS last FROM facts GROUP BY 1, 2, 3, 4),
+    s AS (SELECT wiki_code, page_hash, count(*) AS n, min(first) AS created, max(last) AS updated FROM d GROUP BY 1, 2),
+    e AS (SELECT *, CASE WHEN n <= 15 THEN '' WHEN n <= 240 THEN left(md5(element), 1) WHEN n <= 3840 THEN left(md5(element), 2)
+        ELSE left(md5(element), 3) END AS bucket, CASE WHEN n <= 15 THEN 1 WHEN n <= 240 THEN 16 WHEN n <= 3840 THEN 256 ELSE 4096 END AS n_buckets
+      FROM d JOIN s USING (wiki_code, page_hash))
+    SELECT wiki_code, page_hash, bucket, CAST(any_value(n_buckets) AS BIGINT) AS n_buckets,
       coalesce(string_agg(CASE WHEN kind = 'pageviews' THEN element END, ';' ORDER BY element), '') AS pageviews,
       coalesce(string_agg(CASE WHEN kind = 'clickstreams_in' THEN element END, ';' ORDER BY element), '') AS clickstreams_in,
       coalesce(string_agg(CASE WHEN kind = 'historical_titles' THEN element END, ';' ORDER BY element), '') AS historical_titles,
@@ -103,11 +105,11 @@ def monthly_buckets(spark: SparkSession, folder: str) -> DataFrame:
     FROM e GROUP BY 1, 2, 3"""
 )
 def page_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Nested documents, a row per page and bucket of its elements."""
+    """Nested documents, a row per page and bucket of its elements; larger pages have more buckets."""
     elements = cut_lineage(docs.page_elements(event_page_facts(spark, folder)))
-    documents = docs.page_documents(elements)
+    documents = docs.page_documents_by_size(elements, per_row=30)
     return _as_text(documents.select(
-        "wiki_code", "page_hash", "bucket", "created_at", "last_updated",
+        "wiki_code", "page_hash", "bucket", "n_buckets", "created_at", "last_updated",
         *[F.array_join(kind, ";").alias(kind) for kind in (fx.PAGEVIEWS, fx.CLICKS_IN, fx.TITLES)],
     ))
 

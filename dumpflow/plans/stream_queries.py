@@ -13,7 +13,7 @@ from dumpflow.plans.registry import CHECKS, query
 from dumpflow.session import fresh_folder
 from dumpflow.sinks.messages import send_batch, send_stream
 from dumpflow.sources.topic_log import use_topic_log
-from dumpflow.sources.topics import decode_json, read_topic, union_topics
+from dumpflow.sources.topics import decode_json, of_topics, read_topic, union_topics
 from dumpflow.streaming.dedup import drop_repeats
 from dumpflow.streaming.kept import create_kept, keep_stream, read_kept
 from dumpflow.streaming.unify import drain_and_read, unify_topics
@@ -24,12 +24,6 @@ _TOPIC = """CASE event_type WHEN 'click' THEN 'clickstream_topic' WHEN 'view' TH
       ELSE 'wikidocument_topic' END"""
 
 
-def _topic_streams(spark: SparkSession, folder: str) -> list[DataFrame]:
-    return [
-        adapters.event_messages(spark, folder, streaming=True).where(F.col("topic") == topic) for topic in TOPICS
-    ]
-
-
 @query(f"SELECT {_TOPIC} AS topic, count(*) AS n, CAST(count_if(event_id % 50 = 0) AS BIGINT) AS cut_short FROM events GROUP BY 1")
 def topic_union(spark: SparkSession, folder: str) -> DataFrame:
     messages = adapters.event_messages(spark, folder)
@@ -50,7 +44,9 @@ def stream_unified(spark: SparkSession, folder: str) -> DataFrame:
     customers = adapters.table(spark, folder, "customer").where("c_acctbal > 0").select(
         F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment")
     )
-    unified = unify_topics(_topic_streams(spark, folder), adapters.MESSAGE_SCHEMA, customers, on="id")
+    # One scan serves all topics, as each message says its own.
+    messages = of_topics(adapters.event_messages(spark, folder, streaming=True), TOPICS)
+    unified = unify_topics([messages], adapters.MESSAGE_SCHEMA, customers, on="id")
     drained = drain_and_read(unified, fresh_folder(spark, "unified"))
     return drained.select("topic", "id", "event_id", "event_type", "is_malformed", "found", "segment")
 

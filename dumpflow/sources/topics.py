@@ -26,6 +26,16 @@ def union_topics(streams: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+def of_topics(messages: DataFrame, topics: Sequence[str], progress: str = "topics") -> DataFrame:
+    """The messages of some topics out of one source that holds many, read once for all of them.
+
+    A streaming query's progress has the count of each topic's messages per batch, as the
+    observed metric `progress`.
+    """
+    counts = [F.count_if(F.col("topic") == topic).alias(topic) for topic in topics]
+    return messages.where(F.col("topic").isin(*topics)).observe(progress, *counts)
+
+
 def decode_json(rows: DataFrame, schema: str, text: str = "value", into: str = "event") -> DataFrame:
     """Decode a JSON column by a DDL schema; `is_malformed` marks text that is no JSON object."""
     broken = f"{schema}, _broken string"

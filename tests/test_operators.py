@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -195,6 +196,30 @@ def test_documents_hold_every_element_in_buckets(spark, digits):
     assert documents.where("page_hash = 'hot'").count() > 1
 
 
+def test_documents_by_size_stay_below_a_bound(spark):
+    # One page has a third of all elements.
+    data = [("enwiki", "hot" if i % 3 == 0 else f"p{i % 40}", fx.ELEMENT_KINDS[i % 2], f"e{i}", i % 7) for i in range(6_000)]
+    elements = spark.createDataFrame(data, "wiki_code string, page_hash string, kind string, element string, d int").select(
+        "wiki_code", "page_hash", "kind", "element", F.timestamp_seconds("d").alias("first_seen"), F.timestamp_seconds("d").alias("last_seen"))
+    documents = pages.page_documents_by_size(elements, per_row=200).cache()
+    sizes = documents.select("page_hash", "n_buckets", "bucket", sum(F.size(k) for k in fx.ELEMENT_KINDS).alias("n")).collect()
+    assert max(r.n for r in sizes) <= 200
+    assert {r.n_buckets for r in sizes if r.page_hash == "hot"} == {256} and {r.n_buckets for r in sizes if r.page_hash != "hot"} <= {1, 16}
+    assert all(16 ** len(r.bucket) == r.n_buckets for r in sizes)
+    for kind in fx.ELEMENT_KINDS[:2]:
+        exploded = documents.select("page_hash", F.explode(kind).alias("element"))
+        assert rows(exploded, "page_hash", "element") == rows(elements.where(F.col("kind") == kind), "page_hash", "element")
+
+
+def test_months_and_totals_shuffle_no_text(spark):
+    plan = pages.monthly_and_total(random_facts(spark, 3))._jdf.queryExecution().executedPlan().toString()
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^\n]*)", plan)
+    assert exchanges and "Generate" not in plan and "md5" in plan
+    # The text is digested in front of the first shuffle and does not come up again.
+    below = plan[plan.rindex("Exchange hashpartitioning"):]
+    assert "md5(" in below
+
+
 def test_latest_row_is_the_last_of_each_group(spark):
     data = [(k, random.Random(k * 100 + i).randint(0, 50), i) for k in range(5) for i in range(40)]
     frame = spark.createDataFrame(data, "k int, at int, id int")

@@ -11,6 +11,7 @@ from dumpflow.operators import pages
 from dumpflow.operators.records import message_rows
 from dumpflow.session import fresh_folder
 from dumpflow.sinks import messages, tables
+from dumpflow.sources.topics import of_topics
 from dumpflow.streaming import dedup, fold, unify
 from tests.test_operators import FOLD_COLUMNS, random_facts, rows
 
@@ -197,3 +198,16 @@ def test_repeats_by_event_time(spark, tmp_path):
     stream = spark.readStream.schema("id bigint, at timestamp").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     out = unify.drain_and_read(dedup.drop_repeats(stream, ["id"], "1 hour", event_time="at"), str(tmp_path / "run"))
     assert rows(out, "id") == [(i,) for i in range(30)]
+
+
+def test_one_scan_counts_every_topic(spark, tmp_path):
+    data = [(t, f"{t}{i}") for t, n in (("a", 5), ("b", 3), ("c", 2)) for i in range(n)]
+    spark.createDataFrame(data, "topic string, value string").write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("topic string, value string").parquet(str(tmp_path / "in"))
+    query = (of_topics(stream, ["a", "b"]).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+             .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start())
+    query.awaitTermination()
+    counts = [p.observedMetrics["topics"] for p in query.recentProgress if "topics" in p.observedMetrics]
+    assert (sum(c.a for c in counts), sum(c.b for c in counts)) == (5, 3)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 8
+    assert len(query.lastProgress.sources) == 1
