@@ -15,14 +15,12 @@ block, see `blocks`.
 
 from __future__ import annotations
 
-import gc
 import json
 import re
 from array import array
 from collections.abc import Iterator
-from contextlib import contextmanager
 from functools import lru_cache
-from itertools import accumulate, islice
+from itertools import accumulate, chain, islice
 from typing import NamedTuple
 
 import numpy as np
@@ -38,7 +36,7 @@ MARK = "▁"
 #: Texts with more code points are cut into ranges of about that many, and so many fragments are combined in a task.
 RANGE, FAN = 1 << 16, 8
 #: Bytes of text in a block, and for each shard of the link counts.
-BLOCK_BYTES, SHARD_BYTES = 8 << 20, 8 << 20
+BLOCK_BYTES, SHARD_BYTES = 4 << 20, 8 << 20
 #: Segments that a worker process remembers, from task to task, and the longest of them; texts in one call of a tokenizer.
 REMEMBERED, LONGEST, AT_ONCE = 200_000, 64, 4_096
 #: A segment goes to where a space or line end follows a character that is no white space.
@@ -137,18 +135,6 @@ def byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-@contextmanager
-def no_collection() -> Iterator[None]:
-    """No search for cycles while many small values, none of them in a cycle, are made."""
-    was = gc.isenabled()
-    gc.disable()
-    try:
-        yield
-    finally:
-        if was:
-            gc.enable()
-
-
 class Aligner:
     """Both tokenizers with the bytes of their ids, and the groups of segments seen so far."""
 
@@ -166,6 +152,9 @@ class Aligner:
             self.a_bytes[i] = bytes(chars[c] for c in token) if all(c in chars for c in token) else token.encode()
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)]
+        self.a_sizes, self.b_sizes = (np.array([len(t) for t in table]) for table in (self.a_bytes, self.b_bytes))
+        #: Decimal ids with what follows them in the text of groups; a line end closes a segment.
+        self.shown = [[f"{i}{after}" for i in range(max(len(self.a_bytes), len(self.b_bytes)))] for after in (",", "|", ";", "\n")]
         self.mark = self.b.piece_to_id(MARK)
         plain = [p for i, p in enumerate(pieces) if not self.b.is_byte(i)]
         split = json.loads(self.a.to_str()).get("pre_tokenizer") or {}
@@ -197,18 +186,54 @@ class Aligner:
         ends = list(accumulate(map(len, parts), initial=start))
         return ids, ends[1:]
 
-    def closed(self, segments: list[str]) -> dict[str, Closed | None]:
-        """The groups of each segment; None where a tokenizer does not give its bytes back."""
+    def close_all(self, segments: list[str], a_lists: list[list[int]], b_lists: list[list[int]]) -> list[Closed | None]:
+        """`close` of each segment, all in one go, as if they were one text."""
+        raw = [s.encode() for s in segments]
+        ends = np.cumsum([len(r) for r in raw])
+        sides = []
+        for lists, table, sizes in ((a_lists, self.a_bytes, self.a_sizes), (b_lists, self.b_bytes, self.b_sizes)):
+            ids = np.fromiter(chain.from_iterable(lists), np.int64)
+            at = np.cumsum(sizes[ids])
+            last = np.cumsum([len(x) for x in lists]) - 1
+            if b"".join(map(table.__getitem__, ids.tolist())) != b"".join(raw) or not all(lists) or (at[last] != ends).any():
+                good = [k for k, (s, a, b) in enumerate(zip(segments, a_lists, b_lists, strict=True))
+                        if a and b and self.ended(a, self.a_bytes, s) and self.ended(b, self.b_bytes, s)]
+                some = self.close_all(*([x[k] for k in good] for x in (segments, a_lists, b_lists))) if good else []
+                found = dict(zip(good, some, strict=True))
+                return [found.get(k) for k in range(len(segments))]
+            sides.append((ids, at))
+        (a, a_at), (b, b_at) = sides
+        # Between two neighbouring ends of either side lie one token of A and one of B: a link.
+        a_common = b_at[np.searchsorted(b_at, a_at)] == a_at
+        b_common = a_at[np.searchsorted(a_at, b_at)] == b_at
+        common = a_at[a_common]
+        marks = np.sort(np.r_[a_at, b_at[~b_common]], kind="stable")
+        links = (b[np.searchsorted(b_at, marks)] << 32) | a[np.searchsorted(a_at, marks)]
+        # The text: of each group A's ids, then B's, each with what follows it.
+        ids, group = np.r_[a, b], np.r_[np.searchsorted(common, a_at) * 2, np.searchsorted(common, b_at) * 2 + 1]
+        after = np.r_[a_common * 1, b_common * 2]
+        after[len(a) + np.searchsorted(b_at, ends)] = 3
+        order = np.argsort(group, kind="stable")
+        texts = "".join([self.shown[k][i] for k, i in zip(after[order].tolist(), ids[order].tolist(), strict=True)]).split("\n")
+        places = [np.r_[0, np.searchsorted(x, ends, side="right")].tolist() for x in (a_at, b_at, common, marks)]
+        packed = links.tobytes()
+        return [Closed(texts[k], a1 - a0, b1 - b0, g1 - g0, packed[8 * m0 : 8 * m1]) for k, (a0, a1, b0, b1, g0, g1, m0, m1) in enumerate(zip(
+            *(x for p in places for x in (p, p[1:])), strict=False))]
+
+    def closed(self, segments: list[str]) -> list[Closed | None]:
+        """The groups of different segments; None where a tokenizer does not give a segment's bytes back."""
         if len(self.known) > REMEMBERED:  # the older half goes
             self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
-        new = [s for s in segments if s not in self.known]
-        found = {}
-        with no_collection():
-            for s, a_ids, b_ids in zip(new, self.tokens_a(new), self.tokens_b(new), strict=True):
-                a, b = self.ended(a_ids, self.a_bytes, s), self.ended(b_ids, self.b_bytes, s)
-                found[s] = None if a is None or b is None else close(a, b)
-        out = {s: self.known[s] if s in self.known else found[s] for s in segments}
-        self.known |= {s: c for s, c in found.items() if len(s) <= LONGEST}
+        known = self.known
+        out = [known.get(s, 0) for s in segments]
+        new = [k for k, c in enumerate(out) if c == 0]
+        for i in range(0, len(new), AT_ONCE):  # ids of few segments are held at a time
+            places = new[i : i + AT_ONCE]
+            part = [segments[k] for k in places]
+            for k, s, c in zip(places, part, self.close_all(part, self.tokens_a(part), self.tokens_b(part)), strict=True):
+                out[k] = c
+                if len(s) <= LONGEST:
+                    known[s] = c
         return out
 
 
@@ -267,9 +292,9 @@ def _short_blocks(docs: DataFrame, a_path: str, b_path: str, block_bytes: int) -
 
         def block() -> pa.RecordBatch:
             groups = aligner.closed(list(number))
-            bad = {number[s] for s, c in groups.items() if c is None}
+            bad = {k for k, c in enumerate(groups) if c is None}
             kept = [[] if bad and not bad.isdisjoint(p) else p for p in parts]
-            table = table_of(ids, kept, [groups[s] or Closed() for s in number])
+            table = table_of(ids, kept, [c or Closed() for c in groups])
             return B.batch_of([(f"whole-{part}-{count}", held, B.pack(table))], schema)
 
         ids, parts, number, held = [], [], {}, 0

@@ -66,6 +66,21 @@ def test_segments_give_the_libraries_ids(text):
         assert sum(aligner.tokens_b(parts), []) == aligner.b.encode(text)
 
 
+@settings(deadline=None, max_examples=200)
+@given(st.lists(TEXT, min_size=1, max_size=6))
+def test_segments_closed_at_once(texts):
+    aligner = alignment.aligner_of(A, B)
+    parts = list(dict.fromkeys(s for t in texts if t for s in aligner.segments(t)))
+    if not parts:
+        return
+    a_lists, b_lists = aligner.tokens_a(parts), aligner.tokens_b(parts)
+    want = []
+    for s, a, b in zip(parts, a_lists, b_lists, strict=True):
+        a, b = aligner.ended(a, aligner.a_bytes, s), aligner.ended(b, aligner.b_bytes, s)
+        want.append(None if a is None or b is None else alignment.close(a, b))
+    assert aligner.close_all(parts, a_lists, b_lists) == want
+
+
 @settings(deadline=None, max_examples=300)
 @given(TEXT, st.integers(1, 12))
 def test_ranges_give_the_libraries_ids(text, size):
