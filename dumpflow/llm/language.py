@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +29,9 @@ AT_ONCE = 1 << 19
 #: Labelled texts on which the reliability of the bits is measured, about; no text leaves its task.
 MEASURED_ON = 5_000
 UNKNOWN = "und"
-LETTERS = re.compile(r"[^\W\d_]+")
+ALNUM = re.compile(r"[^\W\d_]+")
+#: Letters are what Unicode calls so; the class above also takes superscript digits and fractions.
+LETTERS = regex.compile(r"\p{L}+")
 
 
 def codewords(count: int, seed: int = 1) -> np.ndarray:
@@ -49,7 +52,10 @@ def codewords(count: int, seed: int = 1) -> np.ndarray:
 
 
 def _letters(text: str | None) -> bytes:
-    found = LETTERS.findall((text or "").lower())
+    text = (text or "").lower()
+    found = ALNUM.findall(text)
+    if not all(map(str.isalpha, found)):
+        found = LETTERS.findall(text)
     return b" " + " ".join(found).encode() + b" " * PAD if found else b""
 
 

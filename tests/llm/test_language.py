@@ -54,3 +54,8 @@ def test_awkward_rows(documents, langs):
         letters = r.text is not None and any(c.isalpha() for c in r.text)
         assert r.lang_pred in (langs or ["und"]) if letters else (r.lang_pred, r.score) == ("und", 0.0)
     assert language.with_held_out(documents([])).count() == 0
+
+
+def test_letters_are_what_unicode_calls_so():
+    assert [language._letters(t) for t in ("²", "½ ①", "Ⅷ", "12 _", None)] == [b""] * 5
+    assert language._letters("M² a½b").split() == [b"m", b"a", b"b"]
