@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,6 +25,7 @@ BLOCK = frozenset("address article aside blockquote body center dd details dialo
 HIDDEN = frozenset("head script style noscript template title textarea select option button svg math iframe object audio video canvas map datalist".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PARAGRAPHS = frozenset("p blockquote pre".split())
+TEXT = HEADINGS | PARAGRAPHS
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}, "button": {"button"}, "select": {"select"}}
 # Start tags that do not end a head whose end tag is left out.
@@ -34,6 +35,8 @@ AGAINST = frozenset("ad ads adbox advert adverts advertisement advertising alert
 ROLES = frozenset("banner navigation complementary contentinfo search dialog alert menu menubar toolbar".split())
 FOR = frozenset("article articlebody content entry main mainbody post story".split())
 UNSURE = frozenset("has no with without".split())
+# Words that say nothing about the block they name.
+PLAIN = frozenset("area block body box container content copy inner item label line message outer section text unit wrap wrapper".split())
 
 #: Classifier: weights of evidence against (positive) and for content, in units of 1/100.
 TAG_WEIGHT = {"nav": 900, "footer": 900, "aside": 900, "form": 900, "menu": 900, "dialog": 900, "fieldset": 500, "header": 500, "article": -400, "main": -400}
@@ -42,28 +45,87 @@ LINKED, PROSE, SENTENCE, SHORT, HEADING, PARAGRAPH, BASE = 350, -150, -60, 50, -
 #: Price of a border: between neighbours, and between blocks of one parent, by their distance in the tree.
 ADJACENT, RELATED = 40, 160
 
+# A quote opens a value only after an equals sign; anywhere else it is a character like others.
+VALUE = r"(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*+|)"
+ATTRS = rf"(?:[^>=]|=\s*+{VALUE})*+"
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     # A self-closed svg or math has no content; <svg-icon> is another element.
-    r"|(?!<(?:svg|math)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<=/)>)<(?P<raw>script|style|textarea|title|noscript|template|svg|math|iframe)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
+    rf"|(?!<(?:svg|math)(?=[\s/>]){ATTRS}(?<=/)>)<(?P<raw>script|style|textarea|title|noscript|template|svg|math|iframe)(?=[\s/>]){ATTRS}>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>{ATTRS})(?:>|\Z)"
     r"|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
-NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)(?=[\s/>=]|$)|aria-hidden\s*=\s*[\"']?(true)", re.I)
+ATTRIBUTE = re.compile(r"([^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"'][^\s>]*)))?")
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 SENTENCE_END = re.compile(r"[.!?…][\"'»”)]?$")
 
 
+class Element:
+    """An open element: evidence and hidden elements so far, and the way up."""
+
+    __slots__ = ("against", "depth", "hidden", "parent", "tag")
+
+    def __init__(self, tag: str, parent: Element | None, against: int, hidden: int):
+        self.tag, self.parent, self.against, self.hidden = tag, parent, against, hidden
+        self.depth = parent.depth + 1 if parent else 0
+
+
+class Open:
+    """Stack of open elements that knows how many of each tag it holds."""
+
+    def __init__(self):
+        self.stack = [Element("", None, 0, 0)]
+        self.tags: Counter[str] = Counter()
+
+    @property
+    def top(self) -> Element:
+        return self.stack[-1]
+
+    def push(self, tag: str, against: int, hidden: int) -> None:
+        self.stack.append(Element(tag, self.top, against, hidden))
+        self.tags[tag] += 1
+
+    def pop(self) -> Element:
+        self.tags[self.top.tag] -= 1
+        return self.stack.pop()
+
+    def close(self, tag: str) -> None:
+        """End tag: its element ends with all that is open inside, hidden or not."""
+        if self.tags[tag]:
+            while self.pop().tag != tag:
+                pass
+
+    def make_way(self, tag: str) -> None:
+        """Start tag: ends the element whose end tag may be left out before it."""
+        ends = CLOSES.get(tag, ())
+        if not any(self.tags[t] for t in ends):
+            return
+        for e in reversed(self.stack):
+            if e.tag in ends:
+                self.close(e.tag)
+                break
+            if e.tag in SCOPES or e.tag in HIDDEN:
+                break
+
+
 class Block:
-    __slots__ = ("against", "linked", "path", "pieces", "tag", "text")
+    __slots__ = ("against", "element", "linked", "pieces", "tag", "text")
 
-    def __init__(self, path: tuple[int, ...], against: int, tag: str):
-        self.path, self.against, self.tag = path, against, tag
+    def __init__(self, element: Element):
+        self.element, self.against, self.tag = element, element.against, element.tag
         self.pieces: list[str] = []
         self.linked, self.text = 0, ""
 
 
+def attributes(attrs: str) -> dict[str, str]:
+    """Values by lower-cased name; of a repeated name the first counts."""
+    found: dict[str, str] = {}
+    for name, a, b, c in ATTRIBUTE.findall(attrs):
+        found.setdefault(name.lower(), html.unescape(a or b or c))
+    return found
+
+
 def _cues(tag: str, attrs: str, above: int) -> int:
     """Evidence for all below an element, given that from above it.
 
@@ -72,16 +134,17 @@ def _cues(tag: str, attrs: str, above: int) -> int:
     """
     against, good = max(0, TAG_WEIGHT.get(tag, 0)), min(0, TAG_WEIGHT.get(tag, 0))
     if attrs and tag not in ("html", "body"):
-        for name, a, b, c, hidden, aria in NAMES.findall(attrs):
-            if hidden or aria:
-                against += CLASS_AGAINST
-                continue
-            for value in (a or b or c).split():
+        own = attributes(attrs)
+        if "hidden" in own or own.get("aria-hidden", "").lower() == "true":
+            against += CLASS_AGAINST
+        for name in ("class", "id", "role"):
+            for value in own.get(name, "").split():
                 words = {w.lower() for w in WORDS.findall(value)}
                 if words & UNSURE:
                     continue
-                role = value.lower() if name.lower() == "role" else ""
-                if words & AGAINST or role in ROLES:
+                role = value.lower() if name == "role" else ""
+                # A paragraph named for its subject, such as "social-history", is no box of that kind.
+                if (words & AGAINST and (tag not in TEXT or words <= AGAINST | PLAIN)) or role in ROLES:
                     against = max(against, CLASS_AGAINST)
                 elif words & FOR or role in ("main", "article"):
                     good = min(good, CLASS_FOR)
@@ -90,39 +153,21 @@ def _cues(tag: str, attrs: str, above: int) -> int:
     return above + good if above > 0 else min(above, good)
 
 
-def _close(stack: list[tuple], tag: str) -> None:
-    """End tag: its element ends with all that is open inside, hidden or not."""
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i][0] == tag:
-            del stack[i:]
-            break
-
-
-def _make_way(stack: list[tuple], tag: str) -> None:
-    """Start tag: ends the element whose end tag may be left out before it."""
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i][0] in CLOSES.get(tag, ()):
-            del stack[i:]
-            break
-        if stack[i][0] in SCOPES or stack[i][0] in HIDDEN:
-            break
-
-
 def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order, white space made single and references decoded."""
-    stack: list[tuple[str, int, int, int]] = [("", 0, 0, 0)]  # tag, number, evidence so far, hidden elements so far
+    inside = Open()
     out: list[Block] = []
-    number, links = 0, 0
+    links = 0
     now: Block | None = None
     for m in TOKEN.finditer(page):
         kind = m.lastgroup
         if kind == "text":
-            if stack[-1][0] == "head" and m["text"].strip():
-                del stack[-1]
-            if stack[-1][3]:
+            if inside.top.tag == "head" and m["text"].strip():
+                inside.pop()
+            if inside.top.hidden:
                 continue
             if now is None:
-                now = Block(tuple(s[1] for s in stack), stack[-1][2], stack[-1][0])
+                now = Block(inside.top)
                 out.append(now)
             now.pieces.append(m["text"])
             if links:
@@ -132,17 +177,17 @@ def blocks_of(page: str) -> list[Block]:
         if not tag:
             continue
         end = bool(m["end"])
-        if stack[-1][0] == "head" and not end and tag not in HEAD:
-            del stack[-1]
+        if inside.top.tag == "head" and not end and tag not in HEAD:
+            inside.pop()
         if tag in HIDDEN:
             now = None if tag == "head" else now
             if m["attrs"].endswith("/"):
                 continue
             if end:
-                _close(stack, tag)
+                inside.close(tag)
             else:
-                _make_way(stack, tag)
-                stack.append((tag, 0, stack[-1][2], stack[-1][3] + 1))
+                inside.make_way(tag)
+                inside.push(tag, inside.top.against, inside.top.hidden + 1)
         elif tag == "a":
             links = max(0, links - 1) if end else 1
         elif tag == "br" and now is not None:
@@ -150,14 +195,13 @@ def blocks_of(page: str) -> list[Block]:
         elif tag in BLOCK:
             now, links = None, 0
             if tag == "body":
-                while stack[-1][3]:  # hidden elements that were never closed
-                    del stack[-1]
+                while inside.top.hidden:  # hidden elements that were never closed
+                    inside.pop()
             if end:
-                _close(stack, tag)
+                inside.close(tag)
             elif tag not in VOID:
-                _make_way(stack, tag)
-                number += 1
-                stack.append((tag, number, _cues(tag, m["attrs"], stack[-1][2]), stack[-1][3]))
+                inside.make_way(tag)
+                inside.push(tag, _cues(tag, m["attrs"], inside.top.against), inside.top.hidden)
     for b in out:
         b.text = " ".join(html.unescape("".join(b.pieces)).split())
     return [b for b in out if b.text]
@@ -182,21 +226,24 @@ def evidence(b: Block) -> int:
     return score
 
 
+def _apart(a: Element, b: Element) -> int:
+    """Steps between two elements in the tree."""
+    steps = 0
+    while a is not b:
+        if a.depth < b.depth:
+            a, b = b, a
+        a, steps = a.parent, steps + 1
+    return steps
+
+
 def edges_of(blocks: list[Block]) -> list[tuple[int, int, int]]:
     """(block, block, capacity): each with the one before it, and with the last of the same parent."""
     out, last = [], {}
     for i, b in enumerate(blocks):
-        parents = b.path[:-1]
-        for j in {i - 1, last.get(parents, -1)} - {-1}:
-            other = blocks[j].path
-            shared = 0
-            for x, y in zip(b.path, other, strict=False):
-                if x != y:
-                    break
-                shared += 1
-            apart = len(b.path) + len(other) - 2 * shared
-            out.append((j, i, (ADJACENT if j == i - 1 else 0) + RELATED // max(1, apart)))
-        last[parents] = i
+        parent = b.element.parent
+        for j in {i - 1, last.get(parent, -1)} - {-1}:
+            out.append((j, i, (ADJACENT if j == i - 1 else 0) + RELATED // max(1, _apart(b.element, blocks[j].element))))
+        last[parent] = i
     return out
 
 

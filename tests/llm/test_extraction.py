@@ -85,3 +85,31 @@ def test_given_pages(spark):
         article = re.search(r"<article>(.*?)</article>", r.raw, re.S)[1]
         blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", " ", re.sub(r"</?b>", "", p))).split()) for p in re.split(r"</?(?:p|h1)>", article)]
         assert r.text == "\n".join(x for x in blocks if x)
+
+
+@pytest.mark.parametrize("attrs", [
+    'title="hidden gems of Rome"', 'data-label="it is hidden here"', 'aria-label="a hidden place"', 'data-role="x footer"', 'id="post-search"',
+    'class="social-history"', 'class="p-comment"', "data-x=it's", 'aria-hidden="false"', 'data-hidden', "title = 'a class=ad b'", 'href=?a="b', 'a="x" b="> class=ad"'])
+def test_attributes_that_say_nothing(attrs):
+    first, own, last = (f"The {x} paragraph of this article has enough words to be prose, and it's whole." for x in ("first", "middle", "last"))
+    page = f"<nav><a href=/>Home</a></nav><article><p>{first}</p><p {attrs}>{own}</p><p>{last}</p></article>"
+    assert extraction.main_text(page)[0].split("\n") == [first, own, last]
+
+
+@pytest.mark.parametrize("attrs", ["hidden", 'HIDDEN=""', "hidden=until-found", 'aria-hidden = "true"', "class=ad", "class='ad-label'", 'class="&#97;d"'])
+def test_attributes_that_hide(attrs):
+    first, last = (f"The {x} paragraph of this article has enough words to be prose." for x in ("first", "last"))
+    page = f"<article><p>{first}</p><p {attrs}>Buy now</p><p>{last}</p></article>"
+    assert extraction.main_text(page)[0].split("\n") == [first, last]
+
+
+def test_deep_nesting_in_linear_memory():
+    import tracemalloc
+
+    page = "<div>word " * 100_000 + "</p></section>" * 50_000
+    tracemalloc.start()
+    blocks = extraction.blocks_of(page)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(blocks) == 100_000 and peak < 150_000_000
+    assert len(extraction.edges_of(blocks)) == 99_999
