@@ -47,15 +47,19 @@ def fingerprint_of(text: bytes | None) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """`doc_id` and `fp`, the fingerprint as a BIGINT, of every whole text."""
+def fingerprints(docs: DataFrame, more: dict[str, Column] | None = None) -> DataFrame:
+    """`doc_id` and `fp`, the fingerprint as a BIGINT, of every whole text, and BIGINT columns `more`."""
+    more = more or {}
+    names = ["doc_id", *more, "fp"]
+
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = pa.array([fingerprint_of(t) for t in batch.column(1).to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), fp], ["doc_id", "fp"])
+            fp = pa.array([fingerprint_of(t) for t in batch.column(len(names) - 1).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], fp], names)
 
     arrow_ready(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary")).mapInArrow(of, "doc_id bigint, fp bigint")
+    rows = docs.select(F.col("doc_id").cast("bigint"), *(c.alias(n) for n, c in more.items()), F.col("text").cast("binary"))
+    return rows.mapInArrow(of, ", ".join(f"{n} bigint" for n in names))
 
 
 def gray_rank(fp: Column) -> Column:
@@ -198,12 +202,20 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, deal_again: int =
 
 
 def one_of_each(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """The document with the smallest id of each component, with all its columns.
+    """One document of each component, with all its columns: the one with the smallest id.
 
-    Of rows that repeat an id, the one with the smallest text stays. Rows
-    without an id stay.
+    Rows are told apart by id and text. An id that comes with several texts is a
+    document for each, so texts that are not alike stay, all of them; of alike
+    ones under one id the least by hash stays. Rows without an id are compared
+    like any other and come after those with one. Of rows with equal id and text
+    the least by the other columns stays.
     """
-    kept = near_duplicates(docs, max_bits).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    rest = [F.struct(F.col("text").alias("first"), F.struct(*docs.columns).alias("row"))]
-    chosen = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(*rest).alias("least")).select("least.row.*")
-    return chosen.unionByName(docs.where(F.col("doc_id").isNull()))
+    key = {"__of": F.col("doc_id").cast("bigint"), "__a": F.xxhash64("text"), "__b": F.xxhash64(F.lit(1), "text")}
+    prints = written(fingerprints(docs, {"a": key["__a"], "b": key["__b"]}), "simhash-prints")
+    classes = written(prints.select("fp", F.col("fp").alias("node")).distinct(), "simhash-classes")
+    found = components(links_within(classes, max_bits))
+    named = prints.join(found, prints["fp"] == found["node"], "left").select(F.coalesce("root", "fp").alias("root"), "doc_id", "a", "b")
+    order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "a", "b")
+    kept = named.groupBy("root").agg(F.min(order).alias("least")).select(*(F.col(f"least.{c}").alias(k) for c, k in zip(("doc_id", "a", "b"), key, strict=True)))
+    rows = docs.withColumns(key).alias("x").join(kept.alias("y"), F.col("x.__of").eqNullSafe(F.col("y.__of")) & (F.col("x.__a") == F.col("y.__a")) & (F.col("x.__b") == F.col("y.__b")), "left_semi")
+    return rows.groupBy(*key).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")

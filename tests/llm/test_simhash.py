@@ -97,3 +97,14 @@ def test_one_of_each_group(documents):
     assert len(ids) == len(set(ids)) and None in ids and 300 in ids
     assert not set(range(100, 104)) & set(ids) and not {301, 302} & set(ids)
     assert simhash.one_of_each(documents([])).count() == 0
+
+
+def test_one_of_each_tells_rows_apart(documents):
+    """Unlike texts under one id stay, all of them; rows without an id are compared like others."""
+    one, two, three = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, one, "p", None, None), (1, two, "q", None, None), (2, one, "r", None, None), (None, two, "s", None, None)]
+    rows += [(None, three, "t", None, None)] * 2 + [(None, three, "u", None, None)]
+    kept = simhash.one_of_each(documents(rows)).collect()
+    assert sorted((r.doc_id or 0, r.text, r.lang) for r in kept) == [(0, three, "t"), (1, one, "p"), (1, two, "q")]
+    prose = documents([(None, " ".join(f"w{i}_{j}" for j in range(30)), None, None, None) for i in range(1000)])
+    assert simhash.one_of_each(prose.union(prose)).count() == 1000
