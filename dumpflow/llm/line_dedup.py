@@ -2,9 +2,8 @@
 
 A line is the set of its words. It goes if an earlier line of the corpus, one
 that went or not, has at least 4/5 of their joint words in common; lines without
-a word stay. The check SQL takes lines of five different words on, and so do
-`removed_by_document` and `repeated_lines` unless told otherwise. Lines are
-ordered by (doc_id, number).
+a word stay. Lines are ordered by (doc_id, number); rows of one id, or without
+one, are told apart and ordered as read.
 
 Words are ordered by rarity. Two such sets share a word among the first
 n - ceil(0.8 n) + 1 of each, so only these prefixes are joined, under a length
@@ -12,12 +11,14 @@ filter, a positional filter and one over 64-bit parity maps of the words, whose
 differing bits are at most the differing words. What passes is verified on the
 words themselves.
 
-Equal sets are one line first. Then lines are held against the first line with
-the same least word hash, for three orders of hashes, and those that match have
-found an earlier line: a group of near copies is mostly settled by as many
-comparisons as it has lines. Only lines without a match yet look for one in
-the prefix join, among all lines. Sets of one to three words are like equal sets
-only and are in no join.
+Equal sets are one line first. A line needs one earlier match, not all of them.
+So lines first meet, in rounds, a few others with the same least word hash, for
+three orders of hashes, of which alike lines nearly always share one: a group is
+dealt into parcels of about `PARCEL` lines, in each round anew, and only lines
+without a match yet look for one. That costs as many comparisons as there are
+lines, times a constant. What is left looks for a match among all lines in the
+prefix join, which is exact and takes no notice of parcels. Sets of one to three
+words are like equal sets only and are in no join.
 """
 
 from __future__ import annotations
@@ -29,8 +30,12 @@ from dumpflow.functions.text import once
 from dumpflow.llm.stages import written
 from dumpflow.llm.text import let, lower_ascii, words_of
 
-#: Jaccard likeness as a fraction, and the fewest different words of a line in REMOVED_SQL.
-PART, WHOLE, MIN_WORDS = 4, 5, 5
+#: Jaccard likeness as a fraction.
+PART, WHOLE = 4, 5
+#: Lines that meet in a round, about, and rounds in front of the prefix join. They decide the cost, not the result.
+PARCEL, ROUNDS = 16, 3
+#: Parts in which one least hash is told its number of parcels.
+SALTS = 16
 #: Cells of the tables that the driver hands to tasks, whatever the size of the corpus.
 CELLS = 1 << 20
 ORDERS = (0x5DEECE66D2B4C6F1, 0x27D4EB2F165667C5)
@@ -56,9 +61,9 @@ def _lines(docs: DataFrame) -> DataFrame:
     return docs.select(*_keys(docs), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
 
 
-def keyed_lines(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """Lines of at least `least` different words with two hashes of their set."""
-    rows = once(_lines(docs), "t", F.sort_array(tokens_of(F.col("line")))).where(F.size("t") >= least)
+def keyed_lines(docs: DataFrame) -> DataFrame:
+    """Lines that have a word, with two hashes of their set."""
+    rows = once(_lines(docs), "t", F.sort_array(tokens_of(F.col("line")))).where(F.size("t") > 0)
     return rows.withColumns({"k": F.xxhash64("t"), "k2": F.xxhash64(F.lit(1), "t")})
 
 
@@ -120,12 +125,34 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     ).groupBy("k", "k2").agg(F.min("earlier").alias("earlier")), "line-matches")
 
 
-def _first_matches(sets: DataFrame) -> DataFrame:
-    """Sets that are like the first one with an equal least hash."""
+def _round(rows: DataFrame, groups: DataFrame, matched: DataFrame | None, number: int) -> DataFrame:
+    """Pairs of sets that share a least hash and a parcel of this round, one of them without a match."""
+    parcel = F.pmod(F.xxhash64(F.lit(number), "k"), F.col("parcels"))
+    salted = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = rows.withColumn("salt", F.pmod("k", F.lit(SALTS)).cast("int")).join(salted, ["nr", "hash", "salt"]).withColumn("parcel", parcel)
+    if matched is None:
+        dealt = dealt.withColumn("open", F.lit(True))
+    else:
+        dealt = dealt.join(matched.select("k", F.lit(False).alias("found")), "k", "left").withColumn("open", F.coalesce("found", F.lit(True)))
+    same = (F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("nr", "hash", "parcel"))
+    near = next(same) & next(same) & next(same) & (F.col("x.k") < F.col("y.k")) & _alike_maps("x", "y")
+    # The later one of the two is the one that looks for a match.
+    near &= F.when(F.col("x.first") > F.col("y.first"), F.col("x.open")).otherwise(F.col("y.open"))
+    return dealt.alias("x").join(dealt.alias("y"), near).select(F.col("x.k").alias("a"), F.col("y.k").alias("b"))
+
+
+def _first_matches(sets: DataFrame, rounds: int = ROUNDS, parcel: int = PARCEL) -> DataFrame:
+    """Sets that are like an earlier one met in one of the rounds, with the earliest of these."""
     rows = sets.select("k", "first", "n", "bits", F.posexplode("least").alias("nr", "hash"))
-    heads = rows.groupBy("nr", "hash").agg(F.min(F.struct("first", "k", "n", "bits")).alias("h")).where(F.col("h.k").isNotNull()).select("nr", "hash", "h.*")
-    pairs = rows.alias("x").join(heads.alias("y"), (F.col("x.nr") == F.col("y.nr")) & (F.col("x.hash") == F.col("y.hash")) & (F.col("x.k") != F.col("y.k")) & _alike_maps("x", "y"))
-    return _verified(pairs.select(F.col("x.k").alias("a"), F.col("y.k").alias("b")), sets)
+    groups = rows.groupBy("nr", "hash").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    groups = written(groups.select("nr", "hash", F.ceil(F.col("n") / parcel).alias("parcels")), "line-groups")
+    matched = None
+    for number in range(rounds):
+        # After the first round small groups are done: all their pairs have met.
+        left = groups if matched is None else groups.where(F.col("parcels") > 1)
+        found = _verified(_round(rows, left, matched, number), sets)
+        matched = found if matched is None else matched.unionByName(found).groupBy("k", "k2").agg(F.min("earlier").alias("earlier"))
+    return written(matched, "line-first")
 
 
 def postings(sets: DataFrame, matched: DataFrame, table: Column) -> DataFrame:
@@ -165,7 +192,7 @@ def _candidates(posts: DataFrame) -> DataFrame:
     return posts.alias("x").join(posts.alias("y"), may).select(F.col("x.k").alias("a"), F.col("y.k").alias("b"))
 
 
-def repeated_lines(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+def repeated_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no) of lines that go, with the earlier line (earlier_doc, earlier_no) of each.
 
     A NULL text is empty; a NULL doc_id sorts first. Rows that share an id share
@@ -175,29 +202,30 @@ def repeated_lines(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """
     keys = _keys(docs)
     docs = docs.select(*keys, "text")
-    sets = written(sets_of(keyed_lines(docs, least)), "line-sets", "zstd")
+    sets = written(sets_of(keyed_lines(docs)), "line-sets", "zstd")
     # A set of n words is like another one only if one word more is within the likeness: 4 (n + 1) <= 5 n.
-    joined = sets.where(F.col("n") >= PART) if least < PART else sets
+    joined = sets.where(F.col("n") >= PART)
     matched = _first_matches(joined)
     found = _verified(_candidates(postings(joined, matched, rarity(docs))), joined)
     matches = matched.unionByName(found).groupBy("k", "k2").agg(F.min("earlier").alias("earlier"))
     verdicts = sets.select("k", "k2", "first").join(matches, ["k", "k2"], "left")
-    lines = keyed_lines(docs, least)
+    lines = keyed_lines(docs)
     lines = lines.select(*keys, "line_no", "k", "k2", _place(lines).alias("own"))
     gone = lines.join(verdicts, ["k", "k2"]).where((F.col("own") != F.col("first")) | F.col("earlier").isNotNull())
     earlier = F.least("earlier", "first")
     return gone.select(*keys, "line_no", earlier["doc"].alias("earlier_doc"), earlier["no"].alias("earlier_no"))
 
 
-def _gone_by_document(docs: DataFrame, least: int) -> DataFrame:
-    return repeated_lines(docs, least).distinct().groupBy(*_keys(docs)).agg(F.sort_array(F.collect_set("line_no")).alias("gone"))
+def _gone_by_document(docs: DataFrame) -> DataFrame:
+    return repeated_lines(docs).distinct().groupBy(*_keys(docs)).agg(F.sort_array(F.collect_set("line_no")).alias("gone"))
 
 
-def removed_by_document(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """A row per document: lines, lines that go, and their numbers from 0."""
-    docs = docs.select("doc_id", "text")
-    counts = docs.select("doc_id", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("bigint").alias("n_lines"))
-    rows = counts.join(_gone_by_document(docs, least).withColumnRenamed("doc_id", "of"), F.col("doc_id").eqNullSafe(F.col("of")), "left").drop("of")
+def removed_by_document(docs: DataFrame) -> DataFrame:
+    """A row per document: lines, lines that go, and their numbers from 0. Rows of one id have their own each."""
+    docs = numbered(docs.select("doc_id", "text"))
+    counts = docs.select("doc_id", "__row", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("bigint").alias("n_lines"))
+    lost = _gone_by_document(docs).withColumnsRenamed({"doc_id": "of", "__row": "nr"})
+    rows = counts.join(lost, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("__row") == F.col("nr")), "left")
     gone = F.coalesce("gone", F.array().cast("array<int>"))
     return rows.select("doc_id", "n_lines", F.size(gone).cast("bigint").alias("n_removed"), F.array_join(gone.cast("array<string>"), ",").alias("removed"))
 
@@ -217,7 +245,7 @@ def numbered(docs: DataFrame) -> DataFrame:
     return docs.where(~maybe).withColumn("__row", F.lit(-1).cast("bigint")).unionByName(told)
 
 
-def without_repeats(docs: DataFrame, least: int = 1) -> DataFrame:
+def without_repeats(docs: DataFrame) -> DataFrame:
     """`docs` with the repeated lines gone from `text`; a NULL text stays NULL, other columns stay.
 
     A document of which every line goes keeps an empty text. Each row loses its own
@@ -225,7 +253,7 @@ def without_repeats(docs: DataFrame, least: int = 1) -> DataFrame:
     surely lose no line are not shuffled; a table of the other ids' cells tells them.
     """
     columns, docs = docs.columns, numbered(docs)
-    gone = written(_gone_by_document(docs, least), "lines-gone").select(F.col("doc_id").alias("__of"), F.col("__row").alias("__nr"), F.col("gone").alias("__gone"))
+    gone = written(_gone_by_document(docs), "lines-gone").select(F.col("doc_id").alias("__of"), F.col("__row").alias("__nr"), F.col("gone").alias("__gone"))
     hit = _table(gone.select(_cell(F.xxhash64("__of", "__nr")).alias("cell")), "cell", F.lit(1), "tinyint")
     maybe = F.get(hit, _cell(F.xxhash64("doc_id", "__row")).cast("int")) > 0
     kept = let(F.coalesce("__gone", F.array().cast("array<int>")), lambda g: F.array_join(
@@ -236,14 +264,16 @@ def without_repeats(docs: DataFrame, least: int = 1) -> DataFrame:
 
 
 REMOVED_SQL = r"""
-WITH l AS (
-  SELECT doc_id, unnest(generate_series(0, len(x) - 1)) AS line_no, unnest(x) AS line
-  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents)),
+WITH d AS (SELECT *, row_number() OVER () AS r FROM documents),
+l AS (
+  SELECT (doc_id IS NOT NULL, coalesce(doc_id, 0), r, line_no) AS at, r, line_no, line
+  FROM (SELECT doc_id, r, unnest(generate_series(0, len(x) - 1)) AS line_no, unnest(x) AS line
+        FROM (SELECT doc_id, r, string_split(coalesce(text, ''), chr(10)) AS x FROM d))),
 s AS (
-  SELECT doc_id, line_no, list_sort(list_distinct(regexp_extract_all(
+  SELECT at, r, line_no, list_sort(list_distinct(regexp_extract_all(
     translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'))) AS t FROM l),
-k AS (SELECT * FROM s WHERE len(t) >= 5),
-u AS (SELECT t, len(t) AS n, min((doc_id, line_no)) AS first, row_number() OVER (ORDER BY min((doc_id, line_no))) AS id FROM k GROUP BY t),
+k AS (SELECT * FROM s WHERE len(t) > 0),
+u AS (SELECT t, len(t) AS n, min(at) AS first, row_number() OVER (ORDER BY min(at)) AS id FROM k GROUP BY t),
 w AS (SELECT id, n, unnest(t) AS word FROM u),
 f AS (SELECT word, count(*) AS df FROM w GROUP BY word),
 p AS (
@@ -256,9 +286,9 @@ m AS (
   SELECT DISTINCT x FROM c JOIN u a ON a.id = x JOIN u b ON b.id = y
   WHERE 9 * len(list_intersect(a.t, b.t)) >= 4 * (a.n + b.n)),
 g AS (
-  SELECT doc_id, list_sort(list(DISTINCT line_no)) AS gone FROM k JOIN u USING (t)
-  WHERE (k.doc_id, k.line_no) <> u.first OR u.id IN (SELECT x FROM m) GROUP BY doc_id)
-SELECT d.doc_id, CAST(len(string_split(coalesce(d.text, ''), chr(10))) AS BIGINT) AS n_lines,
-       CAST(coalesce(len(g.gone), 0) AS BIGINT) AS n_removed, coalesce(array_to_string(g.gone, ','), '') AS removed
-FROM documents d LEFT JOIN g ON d.doc_id IS NOT DISTINCT FROM g.doc_id
+  SELECT r, list_sort(list(line_no)) AS gone FROM k JOIN u USING (t)
+  WHERE at <> u.first OR u.id IN (SELECT x FROM m) GROUP BY r)
+SELECT doc_id, CAST(len(string_split(coalesce(text, ''), chr(10))) AS BIGINT) AS n_lines,
+       CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed, coalesce(array_to_string(gone, ','), '') AS removed
+FROM d LEFT JOIN g USING (r)
 """
