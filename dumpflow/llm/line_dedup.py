@@ -266,14 +266,14 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 REMOVED_SQL = r"""
 WITH d AS (SELECT *, row_number() OVER () AS r FROM documents),
 l AS (
-  SELECT (doc_id IS NOT NULL, coalesce(doc_id, 0), r, line_no) AS at, r, line_no, line
+  SELECT (doc_id IS NOT NULL, coalesce(doc_id, 0), r, line_no) AS loc, r, line_no, line
   FROM (SELECT doc_id, r, unnest(generate_series(0, len(x) - 1)) AS line_no, unnest(x) AS line
         FROM (SELECT doc_id, r, string_split(coalesce(text, ''), chr(10)) AS x FROM d))),
 s AS (
-  SELECT at, r, line_no, list_sort(list_distinct(regexp_extract_all(
+  SELECT loc, r, line_no, list_sort(list_distinct(regexp_extract_all(
     translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'))) AS t FROM l),
 k AS (SELECT * FROM s WHERE len(t) > 0),
-u AS (SELECT t, len(t) AS n, min(at) AS first, row_number() OVER (ORDER BY min(at)) AS id FROM k GROUP BY t),
+u AS (SELECT t, len(t) AS n, min(loc) AS first, row_number() OVER (ORDER BY min(loc)) AS id FROM k GROUP BY t),
 w AS (SELECT id, n, unnest(t) AS word FROM u),
 f AS (SELECT word, count(*) AS df FROM w GROUP BY word),
 p AS (
@@ -287,7 +287,7 @@ m AS (
   WHERE 9 * len(list_intersect(a.t, b.t)) >= 4 * (a.n + b.n)),
 g AS (
   SELECT r, list_sort(list(line_no)) AS gone FROM k JOIN u USING (t)
-  WHERE at <> u.first OR u.id IN (SELECT x FROM m) GROUP BY r)
+  WHERE loc <> u.first OR u.id IN (SELECT x FROM m) GROUP BY r)
 SELECT doc_id, CAST(len(string_split(coalesce(text, ''), chr(10))) AS BIGINT) AS n_lines,
        CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed, coalesce(array_to_string(gone, ','), '') AS removed
 FROM d LEFT JOIN g USING (r)
