@@ -7,18 +7,20 @@ one, are told apart and ordered as read.
 
 Words are ordered by rarity. Two such sets share a word among the first
 n - ceil(0.8 n) + 1 of each, so only these prefixes are joined, under a length
-filter, a positional filter and one over 64-bit parity maps of the words, whose
-differing bits are at most the differing words. What passes is verified on the
-words themselves.
+filter, a positional filter and one over a parity map of the words, in two halves of
+64 bits, whose differing bits are at most the differing words. What passes is verified
+on the words themselves.
 
 Equal sets are one line first. A line needs one earlier match, not all of them.
-So lines first meet, in rounds, a few others with the same least word hash, for
-three orders of hashes, of which alike lines nearly always share one: a group is
-dealt into parcels of about `PARCEL` lines, in each round anew, and only lines
-without a match yet look for one. That costs as many comparisons as there are
-lines, times a constant. What is left looks for a match among all lines in the
-prefix join, which is exact and takes no notice of parcels. Sets of one to three
-words are like equal sets only and are in no join.
+So lines first meet, in rounds, a few others with the same least word hash of
+their prefix, for three orders of hashes, of which alike lines mostly share one
+(over all words the least hash is that of some frequent word, and groups are of
+unlike lines). A group is dealt into parcels of about `PARCEL` lines, in each
+round anew, and only lines without a match yet look for one; in the first round
+each line also meets the first of its group. That costs as many comparisons as
+there are lines, times a constant. What is left looks for a match among all lines
+in the prefix join, which is exact and takes no notice of parcels. Sets of one to
+three words are like equal sets only and are in no join.
 """
 
 from __future__ import annotations
@@ -33,12 +35,14 @@ from dumpflow.llm.text import let, lower_ascii, words_of
 #: Jaccard likeness as a fraction.
 PART, WHOLE = 4, 5
 #: Lines that meet in a round, about, and rounds in front of the prefix join. They decide the cost, not the result.
-PARCEL, ROUNDS = 16, 3
+PARCEL, ROUNDS = 16, 2
 #: Parts in which one least hash is told its number of parcels.
 SALTS = 16
 #: Cells of the tables that the driver hands to tasks, whatever the size of the corpus.
 CELLS = 1 << 20
-ORDERS = (0x5DEECE66D2B4C6F1, 0x27D4EB2F165667C5)
+ORDERS = (0, 0x5DEECE66D2B4C6, 0x27D4EB2F165667)
+#: The part of an ordered word that is its hash; its rarity is above.
+HASH = (1 << 56) - 1
 
 
 def tokens_of(line: Column) -> Column:
@@ -90,21 +94,28 @@ def _shared(n: Column, m: Column) -> Column:
     return F.ceil(PART * (n + m) / (PART + WHOLE))
 
 
-def sets_of(lines: DataFrame) -> DataFrame:
-    """A row per different set: its first line (doc, row if numbered, no), text, size and parity map."""
+def _prefix(t: Column, ranks: Column) -> Column:
+    """The words of a prefix: rarest first, equal counts by hash. One number holds both, as numbers sort faster than structs."""
+    rank = lambda x: F.get(ranks, _cell(x).cast("int")).cast("bigint")
+    ordered = F.sort_array(F.transform(t, lambda x: F.shiftleft(rank(x), 56).bitwiseOR(x.bitwiseAND(F.lit(HASH)))))
+    return F.slice(ordered, 1, F.size(t) - F.ceil(PART * F.size(t) / WHOLE).cast("int") + 1)
+
+
+def sets_of(lines: DataFrame, table: Column) -> DataFrame:
+    """A row per different set: its first line (doc, row if numbered, no), text, size, parity maps and prefix by `rarity`."""
     one = lambda x: F.call_function("shiftleft", F.lit(1).cast("bigint"), x.bitwiseAND(F.lit(63).cast("bigint")).cast("int"))
-    parity = F.aggregate("t", F.lit(0).cast("bigint"), lambda a, x: a.bitwiseXOR(one(x)))
-    least = [F.element_at("t", 1), *(F.array_min(F.transform("t", lambda x, c=c: x.bitwiseXOR(F.lit(c)))) for c in ORDERS)]
-    rows = lines.select("k", "k2", _place(lines).alias("first"), F.struct(
-        F.size("t").alias("n"), parity.alias("bits"), F.array(*least).alias("least"), F.col("line")).alias("facts"))
+    half = lambda number: F.filter("t", lambda x: F.shiftright(x, 6).bitwiseAND(F.lit(1).cast("bigint")) == number)
+    parity = lambda number: F.aggregate(half(number), F.lit(0).cast("bigint"), lambda a, x: a.bitwiseXOR(one(x)))
+    rows = lines.withColumn("ranks", F.array(table)).select("k", "k2", _place(lines).alias("first"), F.struct(
+        F.size("t").alias("n"), parity(0).alias("bits"), parity(1).alias("more"), _prefix(F.col("t"), F.col("ranks")[0]).alias("prefix"), F.col("line")).alias("facts"))
     return rows.groupBy("k", "k2").agg(F.min("first").alias("first"), F.first("facts").alias("facts")).select("k", "k2", "first", "facts.*")
 
 
-def _alike_maps(a: str, b: str) -> Column:
+def _alike_maps(a: str, b: str, n: Column | None = None, m: Column | None = None) -> Column:
     """Length filter and parity filter: both may still be alike."""
-    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    return (PART * F.greatest(n, m) <= WHOLE * F.least(n, m)) & (
-        F.bit_count(F.col(f"{a}.bits").bitwiseXOR(F.col(f"{b}.bits"))) <= n + m - 2 * _shared(n, m))
+    n, m = (F.col(f"{a}.n") if n is None else n), (F.col(f"{b}.n") if m is None else m)
+    differing = sum((F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in ("bits", "more")), F.lit(0))
+    return (PART * F.greatest(n, m) <= WHOLE * F.least(n, m)) & (differing <= n + m - 2 * _shared(n, m))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -138,14 +149,32 @@ def _round(rows: DataFrame, groups: DataFrame, matched: DataFrame | None, number
     near = next(same) & next(same) & next(same) & (F.col("x.k") < F.col("y.k")) & _alike_maps("x", "y")
     # The later one of the two is the one that looks for a match.
     near &= F.when(F.col("x.first") > F.col("y.first"), F.col("x.open")).otherwise(F.col("y.open"))
-    return dealt.alias("x").join(dealt.alias("y"), near).select(F.col("x.k").alias("a"), F.col("y.k").alias("b"))
+    pairs = dealt.alias("x").join(dealt.alias("y"), near).select(F.col("x.k").alias("a"), F.col("y.k").alias("b"))
+    if matched is not None:
+        return pairs
+    to_head = dealt.alias("x").where((F.col("x.head.k") != F.col("x.k")) & _alike_maps("x", "x.head"))
+    return pairs.unionByName(to_head.select(F.least("x.k", "x.head.k").alias("a"), F.greatest("x.k", "x.head.k").alias("b")))
+
+
+def _met(sets: DataFrame) -> DataFrame:
+    """A row per set and order of hashes: the least one of its prefix."""
+    def least(order: int) -> Column:
+        # One argument: a second one, even with a default, would be the element's index.
+        return F.array_min(F.transform("prefix", lambda x: x.bitwiseAND(F.lit(HASH)).bitwiseXOR(F.lit(order).cast("bigint"))))
+
+    return sets.select("k", "first", "n", "bits", "more", F.posexplode(F.array(*map(least, ORDERS))).alias("nr", "hash"))
+
+
+def _groups(rows: DataFrame, parcel: int = PARCEL) -> DataFrame:
+    """Groups of two or more that share a least hash: number of parcels and the first set."""
+    groups = rows.groupBy("nr", "hash").agg(F.count("*").alias("size"), F.min(F.struct("first", "k", "n", "bits", "more")).alias("head"))
+    return groups.where(F.col("size") > 1).select("nr", "hash", F.ceil(F.col("size") / parcel).alias("parcels"), "head")
 
 
 def _first_matches(sets: DataFrame, rounds: int = ROUNDS, parcel: int = PARCEL) -> DataFrame:
     """Sets that are like an earlier one met in one of the rounds, with the earliest of these."""
-    rows = sets.select("k", "first", "n", "bits", F.posexplode("least").alias("nr", "hash"))
-    groups = rows.groupBy("nr", "hash").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    groups = written(groups.select("nr", "hash", F.ceil(F.col("n") / parcel).alias("parcels")), "line-groups")
+    rows = written(_met(sets), "line-met")
+    groups = written(_groups(rows, parcel), "line-groups")
     matched = None
     for number in range(rounds):
         # After the first round small groups are done: all their pairs have met.
@@ -155,22 +184,17 @@ def _first_matches(sets: DataFrame, rounds: int = ROUNDS, parcel: int = PARCEL)
     return written(matched, "line-first")
 
 
-def postings(sets: DataFrame, matched: DataFrame, table: Column) -> DataFrame:
-    """(token, k, doc, at, bits) of every prefix word; `at` packs size, place and whether the set looks for a match."""
+def postings(sets: DataFrame, matched: DataFrame) -> DataFrame:
+    """(token, k, doc, at, bits, more) of every prefix word; `at` packs size, place and whether the set looks for a match."""
     some = _table(matched.select(_cell(F.col("k")).alias("cell")), "cell", F.lit(1), "tinyint")
     maybe = F.get(some, _cell(F.col("k")).cast("int")) > 0
-    rows = sets.select("k", "k2", "first", "n", "bits", "line")
-    searching = rows.where(~maybe).withColumn("open", F.lit(1)).unionByName(
+    rows = sets.select("k", "k2", "first", "n", "bits", "more", "prefix")
+    rows = rows.where(~maybe).withColumn("open", F.lit(1)).unionByName(
         rows.where(maybe).join(matched.select("k", "k2", F.lit(0).alias("open")), ["k", "k2"], "left").withColumn("open", F.coalesce("open", F.lit(1))))
-    rows = searching.withColumn("ranks", F.array(table))
-    # Ascending: rarest words first, equal counts by hash. One number holds both, as numbers sort faster than structs.
-    rank = lambda x: F.get(F.col("ranks")[0], _cell(x).cast("int")).cast("bigint")
-    ordered = F.sort_array(F.transform(tokens_of(F.col("line")), lambda x: F.shiftleft(rank(x), 56).bitwiseOR(x.bitwiseAND(F.lit((1 << 56) - 1)))))
-    prefix = F.slice(ordered, 1, F.col("n") - F.ceil(PART * F.col("n") / WHOLE).cast("int") + 1)
-    return rows.select("k", F.coalesce("first.doc", F.lit(-(2**63))).alias("doc"), "n", "bits", "open", F.posexplode(prefix).alias("place", "token")).select(
+    return rows.select("k", F.coalesce("first.doc", F.lit(-(2**63))).alias("doc"), "n", "bits", "more", "open", F.posexplode("prefix").alias("place", "token")).select(
         # The low half of a hash names the word well enough to find candidates.
         F.col("token").bitwiseAND(F.lit(0xFFFFFFFF)).alias("token"), "k", "doc",
-        F.shiftleft(F.col("n").cast("bigint"), 33).bitwiseOR(F.shiftleft(F.col("place").cast("bigint"), 1)).bitwiseOR(F.col("open")).alias("at"), "bits")
+        F.shiftleft(F.col("n").cast("bigint"), 33).bitwiseOR(F.shiftleft(F.col("place").cast("bigint"), 1)).bitwiseOR(F.col("open")).alias("at"), "bits", "more")
 
 
 def _candidates(posts: DataFrame) -> DataFrame:
@@ -185,9 +209,8 @@ def _candidates(posts: DataFrame) -> DataFrame:
         & (F.col("y.doc") <= F.col("x.doc"))
         # Names both sides, so that it stays in the join and both sides read one shuffle.
         & (F.col("x.at").bitwiseOR(F.col("y.at").bitwiseAND(F.lit(0))).bitwiseAND(F.lit(1)) == 1)
-        & (PART * F.greatest(x["n"], y["n"]) <= WHOLE * F.least(x["n"], y["n"]))
         & (F.least(x["n"] - x["place"], y["n"] - y["place"]) >= shared)
-        & (F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) <= x["n"] + y["n"] - 2 * shared)
+        & _alike_maps("x", "y", x["n"], y["n"])
     )
     return posts.alias("x").join(posts.alias("y"), may).select(F.col("x.k").alias("a"), F.col("y.k").alias("b"))
 
@@ -202,11 +225,11 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     """
     keys = _keys(docs)
     docs = docs.select(*keys, "text")
-    sets = written(sets_of(keyed_lines(docs)), "line-sets", "zstd")
+    sets = written(sets_of(keyed_lines(docs), rarity(docs)), "line-sets", "zstd")
     # A set of n words is like another one only if one word more is within the likeness: 4 (n + 1) <= 5 n.
     joined = sets.where(F.col("n") >= PART)
     matched = _first_matches(joined)
-    found = _verified(_candidates(postings(joined, matched, rarity(docs))), joined)
+    found = _verified(_candidates(postings(joined, matched)), joined)
     matches = matched.unionByName(found).groupBy("k", "k2").agg(F.min("earlier").alias("earlier"))
     verdicts = sets.select("k", "k2", "first").join(matches, ["k", "k2"], "left")
     lines = keyed_lines(docs)

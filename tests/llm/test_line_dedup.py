@@ -50,9 +50,9 @@ def test_against_all_pairs(documents, near_lines):
 
 def test_prefix_join_alone_finds_all(documents, near_lines, spark):
     docs = documents(near_lines).select("doc_id", "text")
-    sets = line_dedup.written(line_dedup.sets_of(line_dedup.keyed_lines(docs)).where("n >= 4"), "line-sets")
+    sets = line_dedup.written(line_dedup.sets_of(line_dedup.keyed_lines(docs), line_dedup.rarity(docs)).where("n >= 4"), "line-sets")
     none = spark.createDataFrame([], "k bigint, k2 bigint, earlier struct<doc: bigint, no: int>")
-    found = line_dedup._verified(line_dedup._candidates(line_dedup.postings(sets, none, line_dedup.rarity(docs))), sets)
+    found = line_dedup._verified(line_dedup._candidates(line_dedup.postings(sets, none)), sets)
     for parcel in (2, 16):
         first = line_dedup._first_matches(sets, parcel=parcel)
         assert first.count() == first.select("k", "k2").distinct().count() > 0
@@ -70,10 +70,10 @@ def test_rounds_grow_with_the_lines(documents, spark):
             for at in rng.sample(range(1, 20), 3):
                 line[at] = f"x{i}_{at}"
             rows.append((i, " ".join(line), None, None, None))
-        sets = line_dedup.written(line_dedup.sets_of(line_dedup.keyed_lines(documents(rows))), "line-sets")
-        hashes = sets.selectExpr("k", "first", "n", "0L AS bits", "posexplode(least) AS (nr, hash)")
-        groups = hashes.groupBy("nr", "hash").count().where("count > 1").selectExpr("nr", "hash", "ceil(count / 16) AS parcels")
-        return line_dedup._round(hashes, groups, None, 0).count()
+        docs = documents(rows)
+        sets = line_dedup.written(line_dedup.sets_of(line_dedup.keyed_lines(docs), line_dedup.rarity(docs)), "line-sets")
+        hashes = line_dedup._met(sets.selectExpr("k", "first", "n", "0L AS bits", "0L AS more", "array(1L) AS prefix"))
+        return line_dedup._round(hashes, line_dedup._groups(hashes), None, 0).count()
 
     assert 0 < pairs(1200) < 6 * pairs(300)
 
