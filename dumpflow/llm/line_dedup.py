@@ -13,7 +13,7 @@ on the words themselves.
 
 Equal sets are one line first. A line needs one earlier match, not all of them.
 So lines first meet, in rounds, a few others with the same least word hash of
-their prefix, for three orders of hashes, of which alike lines mostly share one
+their prefix, for two orders of hashes, of which alike lines mostly share one
 (over all words the least hash is that of some frequent word, and groups are of
 unlike lines). A group is dealt into parcels of about `PARCEL` lines, in each
 round anew, and only lines without a match yet look for one; in the first round
@@ -40,9 +40,7 @@ PARCEL, ROUNDS = 16, 2
 SALTS = 16
 #: Cells of the tables that the driver hands to tasks, whatever the size of the corpus.
 CELLS = 1 << 20
-ORDERS = (0, 0x5DEECE66D2B4C6, 0x27D4EB2F165667)
-#: The part of an ordered word that is its hash; its rarity is above.
-HASH = (1 << 56) - 1
+ORDERS = (0, 0x5DEECE66)
 
 
 def tokens_of(line: Column) -> Column:
@@ -95,10 +93,14 @@ def _shared(n: Column, m: Column) -> Column:
 
 
 def _prefix(t: Column, ranks: Column) -> Column:
-    """The words of a prefix: rarest first, equal counts by hash. One number holds both, as numbers sort faster than structs."""
+    """The words of a prefix: rarest first, equal counts by hash. One number holds both, as numbers sort faster than structs.
+
+    The low half of a hash names a word well enough to find candidates.
+    """
     rank = lambda x: F.get(ranks, _cell(x).cast("int")).cast("bigint")
-    ordered = F.sort_array(F.transform(t, lambda x: F.shiftleft(rank(x), 56).bitwiseOR(x.bitwiseAND(F.lit(HASH)))))
-    return F.slice(ordered, 1, F.size(t) - F.ceil(PART * F.size(t) / WHOLE).cast("int") + 1)
+    ordered = F.sort_array(F.transform(t, lambda x: F.shiftleft(rank(x), 56).bitwiseOR(x.bitwiseAND(F.lit((1 << 56) - 1)))))
+    prefix = F.slice(ordered, 1, F.size(t) - F.ceil(PART * F.size(t) / WHOLE).cast("int") + 1)
+    return F.transform(prefix, lambda x: F.shiftright(F.shiftleft(x, 32), 32).cast("int"))
 
 
 def sets_of(lines: DataFrame, table: Column) -> DataFrame:
@@ -160,7 +162,7 @@ def _met(sets: DataFrame) -> DataFrame:
     """A row per set and order of hashes: the least one of its prefix."""
     def least(order: int) -> Column:
         # One argument: a second one, even with a default, would be the element's index.
-        return F.array_min(F.transform("prefix", lambda x: x.bitwiseAND(F.lit(HASH)).bitwiseXOR(F.lit(order).cast("bigint"))))
+        return F.array_min(F.transform("prefix", lambda x: x.bitwiseXOR(F.lit(order))))
 
     return sets.select("k", "first", "n", "bits", "more", F.posexplode(F.array(*map(least, ORDERS))).alias("nr", "hash"))
 
@@ -173,7 +175,7 @@ def _groups(rows: DataFrame, parcel: int = PARCEL) -> DataFrame:
 
 def _first_matches(sets: DataFrame, rounds: int = ROUNDS, parcel: int = PARCEL) -> DataFrame:
     """Sets that are like an earlier one met in one of the rounds, with the earliest of these."""
-    rows = written(_met(sets), "line-met")
+    rows = _met(sets)
     groups = written(_groups(rows, parcel), "line-groups")
     matched = None
     for number in range(rounds):
@@ -192,8 +194,7 @@ def postings(sets: DataFrame, matched: DataFrame) -> DataFrame:
     rows = rows.where(~maybe).withColumn("open", F.lit(1)).unionByName(
         rows.where(maybe).join(matched.select("k", "k2", F.lit(0).alias("open")), ["k", "k2"], "left").withColumn("open", F.coalesce("open", F.lit(1))))
     return rows.select("k", F.coalesce("first.doc", F.lit(-(2**63))).alias("doc"), "n", "bits", "more", "open", F.posexplode("prefix").alias("place", "token")).select(
-        # The low half of a hash names the word well enough to find candidates.
-        F.col("token").bitwiseAND(F.lit(0xFFFFFFFF)).alias("token"), "k", "doc",
+        "token", "k", "doc",
         F.shiftleft(F.col("n").cast("bigint"), 33).bitwiseOR(F.shiftleft(F.col("place").cast("bigint"), 1)).bitwiseOR(F.col("open")).alias("at"), "bits", "more")
 
 

@@ -72,7 +72,7 @@ def test_rounds_grow_with_the_lines(documents, spark):
             rows.append((i, " ".join(line), None, None, None))
         docs = documents(rows)
         sets = line_dedup.written(line_dedup.sets_of(line_dedup.keyed_lines(docs), line_dedup.rarity(docs)), "line-sets")
-        hashes = line_dedup._met(sets.selectExpr("k", "first", "n", "0L AS bits", "0L AS more", "array(1L) AS prefix"))
+        hashes = line_dedup._met(sets.selectExpr("k", "first", "n", "0L AS bits", "0L AS more", "array(1) AS prefix"))
         return line_dedup._round(hashes, line_dedup._groups(hashes), None, 0).count()
 
     assert 0 < pairs(1200) < 6 * pairs(300)
