@@ -53,7 +53,8 @@ def page_elements(facts: DataFrame) -> DataFrame:
     return set_add(facts, *PAGE_KEY)
 
 
-def _sizes() -> list[Column]:
+def element_counts() -> list[Column]:
+    """Number of a group's elements by kind."""
     return [F.count_if(F.col("kind") == kind).alias(f"n_{kind}") for kind in fx.ELEMENT_KINDS]
 
 
@@ -64,7 +65,7 @@ def fold_pages(elements: DataFrame, *grain: str) -> DataFrame:
     hash form and is nearly finished before its shuffle.
     """
     return elements.groupBy(*(grain or PAGE_KEY)).agg(
-        *_sizes(), F.min("first_seen").alias("created_at"), F.max("last_seen").alias("last_updated")
+        *element_counts(), F.min("first_seen").alias("created_at"), F.max("last_seen").alias("last_updated")
     )
 
 

@@ -11,7 +11,7 @@ from dumpflow.functions.times import file_date, stamp_text
 from dumpflow.operators import facts as facts_of
 from dumpflow.operators import lookups
 from dumpflow.operators import pages as docs
-from dumpflow.operators.links import INBOUND, OUTBOUND, join_as_of, mirror_links, title_spans
+from dumpflow.operators.links import INBOUND, OUTBOUND, join_as_of, link_counts, mirror_links, title_spans
 from dumpflow.operators.links import page_crosswalk as crosswalk_of
 from dumpflow.operators.records import struct_json
 from dumpflow.plans import adapters
@@ -192,19 +192,20 @@ def page_fold_all(spark: SparkSession, folder: str) -> DataFrame:
     Links and revisions of pages that the page table lacks stay under the hash of
     their id; `is_known` tells these pages apart.
     """
-    page_rows = parse_dump(adapters.page_statements(spark, folder), PAGE)
+    # Read for the titles and for the crosswalk, so the dump is parsed once and kept.
+    page_rows = cut_lineage(
+        parse_dump(adapters.page_statements(spark, folder), PAGE).select(
+            "wiki_code", "page_id", "page_title", "year_month", "timestamp", "page_touched"
+        )
+    )
     revisions = parse_revisions(pages_from_text(adapters.revision_pages(spark, folder)))
     facts = (
         event_page_facts(spark, folder)
-        .unionByName(facts_of.link_facts(parse_dump(adapters.pagelink_statements(spark, folder), PAGELINKS)))
         .unionByName(facts_of.revision_facts(revisions))
         .unionByName(facts_of.title_facts(page_rows))
     )
-    keyed = facts_of.by_title(facts, crosswalk_of(page_rows))
-    elements = keyed.groupBy(*docs.PAGE_KEY, "kind", "element").agg(
-        F.min("seen_at").alias("first_seen"), F.max("seen_at").alias("last_seen"), F.max("is_known").alias("is_known"))
-    sizes = [F.count_if(F.col("kind") == kind).alias(f"n_{kind}") for kind in fx.ELEMENT_KINDS]
-    return elements.groupBy(*docs.PAGE_KEY).agg(*sizes, F.max("is_known").alias("is_known"))
+    links = link_counts(parse_dump(adapters.pagelink_statements(spark, folder), PAGELINKS))
+    return facts_of.sizes_by_title(facts, links, crosswalk_of(page_rows))
 
 
 @query(

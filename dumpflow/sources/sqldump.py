@@ -52,17 +52,16 @@ def _insert_values(statements: DataFrame, table: str) -> DataFrame:
     carried = [c for c in statements.columns if c != "value"]
     # The cheap substring test drops other tables before any regular expression.
     # The reader leaves a statement that ends in ";<blanks>" joined to the next.
-    chunks = statements.where(F.lower("value").contains(table.lower())).select(
-        *carried, F.explode(F.split("value", r";[ \t\r]*(?:\n|$)")).alias("_chunk")
-    )
-    # Comment and blank lines may stand before or inside a statement.
-    bare = F.regexp_replace("_chunk", r"(?m)^[ \t\r]*(?:--[^\n]*)?(?:\n|\z)", "")
+    value, chunk = F.col("value"), F.col("_chunk")
+    pieces = F.when(value.contains(";"), F.split(value, r";[ \t\r]*(?:\n|$)")).otherwise(F.array(value))
+    chunks = statements.where(F.lower(value).contains(table.lower())).select(*carried, F.explode(pieces).alias("_chunk"))
+    # Comment and blank lines may stand before or inside a statement; one line without a comment has neither.
+    bare = F.when(chunk.contains("\n") | chunk.contains("--"),
+                  F.regexp_replace(chunk, r"(?m)^[ \t\r]*(?:--[^\n]*)?(?:\n|\z)", "")).otherwise(chunk)
     head = rf"(?is)\A(?:.*?\n)??[ \t]*INSERT INTO\s+`?{table}`?(?!\w).*?VALUES\s*"
-    return (
-        once(chunks, "_stmt", bare)
-        .where(F.col("_stmt").rlike(head))
-        .select(*carried, F.regexp_replace("_stmt", head, "").alias("_values"))
-    )
+    # One search both tells the table's statements and cuts their heads off: what matches gets shorter.
+    cut = once(once(chunks, "_stmt", bare), "_values", F.regexp_replace("_stmt", head, ""))
+    return cut.where(F.length("_values") < F.length("_stmt")).select(*carried, "_values")
 
 
 def _unquote(text: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import random
 import re
@@ -11,8 +12,8 @@ from pyspark.sql import functions as F
 
 from dumpflow import fixed_values as fx
 from dumpflow.operators import links, lookups, pages, quality, records, stats
+from dumpflow.operators.facts import by_title, link_facts, sizes_by_title
 from dumpflow.sources.pageviews import classify_pageviews
-from dumpflow.operators.facts import by_title
 from dumpflow.sources.topics import decode_json, open_messages, union_topics
 
 
@@ -352,3 +353,21 @@ def test_facts_by_title_lose_none(spark):
         "wiki_code string, page_hash string, year_month string, kind string, element string").withColumn("seen_at", F.lit("2024-01-01").cast("timestamp"))
     got = rows(by_title(facts, keys), "element", "page_hash", "is_known")
     assert got == [("a", "title1", True), ("b", "id2", False), ("c", "title1", True)]
+
+
+def test_sizes_by_title_equal_the_fold_of_facts_by_title(spark):
+    keys = spark.createDataFrame([("enwiki", p, f"t{p % 5}") for p in range(12)], "wiki_code string, page_id bigint, title_hash string").withColumn(
+        "id_hash", F.sha2(F.concat_ws("-", "wiki_code", "page_id"), 256))
+    rng = random.Random(9)
+    data = [("enwiki", f"t{rng.randint(0, 8)}", "pageviews", str(rng.randint(0, 6))) for _ in range(80)]
+    data += [("enwiki", hashlib.sha256(f"enwiki-{p}".encode()).hexdigest(), kind, element) for p in range(20)
+             for kind, element in (("revisions", f"{p}-{p % 3}"), ("historical_titles", f"title {p % 4}"))]
+    facts = spark.createDataFrame(data, "wiki_code string, page_hash string, kind string, element string").withColumns(
+        {"year_month": F.lit("2024-01"), "seen_at": F.lit("2024-01-01").cast("timestamp")})
+    edges = spark.createDataFrame([("enwiki", rng.randint(0, 15), 0, rng.randint(0, 15)) for _ in range(200)],
+                                  "wiki_code string, pl_from bigint, pl_from_namespace int, pl_target_id bigint").withColumns(
+        {"year_month": F.lit("2024-01"), "timestamp": F.lit("2024-01-01").cast("timestamp")})
+    got = sizes_by_title(facts, links.link_counts(edges), keys)
+    want = by_title(facts.unionByName(link_facts(edges)), keys).groupBy(*pages.PAGE_KEY, "kind", "element").agg(
+        F.max("is_known").alias("is_known")).groupBy(*pages.PAGE_KEY).agg(*pages.element_counts(), F.max("is_known").alias("is_known"))
+    assert rows(got, *want.columns) == rows(want, *want.columns) and got.count() > 15

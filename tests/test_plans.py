@@ -60,3 +60,10 @@ def test_no_join_is_forced_to_broadcast(spark):
             assert "Broadcast" not in plan_of(spark, name)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_no_element_of_a_link_is_shuffled_for_the_page_fold(spark):
+    plan = plan_of(spark, "page_fold_all").split("Initial Plan")[-1]
+    # Revisions, views and clicks are shuffled as digests, links as numbers: no JSON of an element is in an exchange.
+    assert "unhex(md5(" in plan and "direction#" in plan
+    assert not re.search(r"to_json[^\n]*pl_from", plan)
