@@ -42,13 +42,23 @@ def read_lines(
     return spread_out(lines, spread) if spread else lines
 
 
+#: Stored bytes of a scan's columns that one task gets by default. Rendered text and parsed rows are many times that.
+BYTES_PER_TASK = 4_000_000
+
+
+def tasks_for(rows: DataFrame) -> int:
+    """A task per core, and more where the columns of a scan are large, so that no task grows with the input."""
+    stored = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())  # from file sizes
+    return max(rows.sparkSession.sparkContext.defaultParallelism, -(-stored // BYTES_PER_TASK))
+
+
 def spread_out(rows: DataFrame, tasks: int | None = None) -> DataFrame:
-    """Deal the rows of a scan out evenly to `tasks` tasks, by default one per core.
+    """Deal the rows of a scan out evenly to `tasks` tasks, by default `tasks_for` its size.
 
     Meant for small or unsplittable inputs in front of heavy parsing: one large
     gzip file among thousands of small ones is dealt out like any other.
     """
-    wanted = tasks or rows.sparkSession.sparkContext.defaultParallelism
+    wanted = tasks or tasks_for(rows)
     # A scan reads a split in the same order every time, so row numbers, unlike a
     # round-robin deal, need no sort to give the same result when a task is rerun.
     numbered = rows.withColumn("_row", F.monotonically_increasing_id())

@@ -67,3 +67,14 @@ def test_no_element_of_a_link_is_shuffled_for_the_page_fold(spark):
     # Revisions, views and clicks are shuffled as digests, links as numbers: no JSON of an element is in an exchange.
     assert "unhex(md5(" in plan and "direction#" in plan
     assert not re.search(r"to_json[^\n]*pl_from", plan)
+
+
+def test_a_scan_is_dealt_out_by_its_size(spark, monkeypatch):
+    from dumpflow.plans import adapters
+    from dumpflow.sources import lines
+
+    rows = adapters.rows_to_render(spark, FOLDER, "lineitem", "l_orderkey", "l_partkey")
+    assert rows.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(lines, "BYTES_PER_TASK", 1_000)
+    more = adapters.rows_to_render(spark, FOLDER, "lineitem", "l_orderkey", "l_partkey")
+    assert more.rdd.getNumPartitions() > 2 * spark.sparkContext.defaultParallelism and more.count() == rows.count()
