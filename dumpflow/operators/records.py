@@ -90,8 +90,11 @@ def metadata_map() -> Column:
     return F.transform_keys(kept, lambda k, v: F.concat(F.lit("metadata."), k))
 
 
-def message_rows(records: DataFrame, topic: str, schema_name: str, key: Column | None = None) -> DataFrame:
-    """`(topic, key, value)` rows ready for a message sink. A given key wins over the type's own."""
+def message_rows(records: DataFrame, topic: str | Column, schema_name: str, key: Column | None = None) -> DataFrame:
+    """`(topic, key, value)` rows ready for a message sink. A given key wins over the type's own.
+
+    A frame of several record types has its topic and key as columns.
+    """
     if key is None and schema_name in fx.PARTITION_KEYS:
         key = typed_partition_key(schema_name)
     return records.select(

@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dumpflow.functions.times import stamp_text
-from dumpflow.operators.links import mirror_links
-from dumpflow.operators.records import message_rows
+from dumpflow.operators.links import INBOUND, mirror_links
+from dumpflow.operators.records import message_rows, typed_partition_key
 from dumpflow.plans import adapters
 from dumpflow.plans.check_sql import CS, PG, PL, PV, RV, page_hash, with_
 from dumpflow.plans.registry import query
@@ -133,19 +133,23 @@ _VALID_STAMP = "i <> 3 AND NOT (i = 2 AND o_orderkey % 19 = 0)"
 def message_keys(spark: SparkSession, folder: str) -> DataFrame:
     """Messages of all seven record types by topic and key."""
     links = mirror_links(parse_dump(adapters.pagelink_statements(spark, folder), PAGELINKS))
-    export = rev.pages_from_text(adapters.revision_pages(spark, folder))
+    inbound = F.col("direction") == INBOUND
+    link_topic = F.when(inbound, "inbound_pagelinks_topic").otherwise("outbound_pagelinks_topic")
+    link_key = F.when(inbound, typed_partition_key("InboundPageLinks")).otherwise(typed_partition_key("OutboundPageLinks"))
+    # Read for the revisions and for the documents, so the export is parsed once and kept.
+    export = cut_lineage(rev.pages_from_text(rev.main_text(adapters.revision_pages(spark, folder))))
     frames = [
-        (pageview_records(parse_pageviews(adapters.pageview_lines(spark, folder))), "pageview_topic", "PageView"),
-        (clickstream_records(parse_clickstream(adapters.clickstream_lines(spark, folder))), "clickstream_topic", "ClickStream"),
-        (link_records(links.where("direction = 'outbound'")), "outbound_pagelinks_topic", "OutboundPageLinks"),
-        (link_records(links.where("direction = 'inbound'")), "inbound_pagelinks_topic", "InboundPageLinks"),
-        (rev.revision_records(rev.parse_revisions(export)), "revision_data_topic", "RevisionData"),
-        (rev.document_records(export), "wikidocument_topic", "WikiDocument"),
-        (page_info_records(parse_dump(adapters.page_statements(spark, folder), PAGE)), "pageinfo_topic", "PageInfo"),
+        (pageview_records(parse_pageviews(adapters.pageview_lines(spark, folder))), "pageview_topic", "PageView", None),
+        (clickstream_records(parse_clickstream(adapters.clickstream_lines(spark, folder))), "clickstream_topic", "ClickStream", None),
+        # Links of both directions in one pass over the dump.
+        (link_records(links), link_topic, "", link_key),
+        (rev.revision_records(rev.parse_revisions(export)), "revision_data_topic", "RevisionData", None),
+        (rev.document_records(export), "wikidocument_topic", "WikiDocument", None),
+        (page_info_records(parse_dump(adapters.page_statements(spark, folder), PAGE)), "pageinfo_topic", "PageInfo", None),
     ]
     rows = None
-    for records, topic, schema in frames:
-        one = message_rows(records, topic, schema)
+    for records, topic, schema, key in frames:
+        one = message_rows(records, topic, schema, key)
         rows = one if rows is None else rows.unionByName(one)
     return rows.groupBy("topic", "key").agg(F.count("*").alias("n"))
 

@@ -31,10 +31,19 @@ def read_pages(
     # What stands before the element, as the head of the file, is no part of it; the tail of a file has none.
     whole = text.select(F.concat(F.regexp_extract("value", r"(?s)<page(?:\s[^>]*)?>.*", 0), F.lit("</page>")).alias("value"), "file_name", "file_path").where(F.length("value") > 7)
     if main_only:
-        whole = whole.where(F.coalesce(F.trim(F.nullif(F.regexp_extract("value", r"<ns>([^<]*)</ns>", 1), F.lit(""))), F.lit("0")) == "0")
+        whole = main_text(whole)
     return pages_from_text(whole).select("page", "file_name", "file_path")
 
 
+def main_text(rows: DataFrame) -> DataFrame:
+    """Drop `<page>` elements that say they are of another namespace, by a test on the text.
+
+    What is in doubt stays: parsing decides.
+    """
+    said = F.trim(F.regexp_extract("value", r"<ns>([^<]*)</ns>", 1))
+    return rows.where((said == "") | (said.try_cast("int") == 0))
+
+
 def pages_from_text(rows: DataFrame) -> DataFrame:
     """Same rows out of a `value` column that holds one `<page>` element each."""
     options = {"rowTag": "page", "attributePrefix": "_"}

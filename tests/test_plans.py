@@ -78,3 +78,9 @@ def test_a_scan_is_dealt_out_by_its_size(spark, monkeypatch):
     monkeypatch.setattr(lines, "BYTES_PER_TASK", 1_000)
     more = adapters.rows_to_render(spark, FOLDER, "lineitem", "l_orderkey", "l_partkey")
     assert more.rdd.getNumPartitions() > 2 * spark.sparkContext.defaultParallelism and more.count() == rows.count()
+
+
+def test_messages_parse_each_dump_once(spark):
+    plan = plan_of(spark, "message_keys").split("Initial Plan")[-1]
+    assert "from_xml" not in plan.lower()  # the parsed export is kept
+    assert plan.count("pagelinks.sql.gz") == 1
