@@ -23,7 +23,9 @@ def lookup_join(
     Beyond it, batch joins rely on adaptive skew splitting for hot keys.
     Streaming plans are not adaptive, so for them `salts` > 1 deals each key's
     facts out to that many tasks, by a hash of `spread_by`, against as many copies
-    of the lookup row. Facts without a key match nothing; they are dealt out to all
+    of the lookup row. The copies are many times what file statistics say, so they
+    are sorted and merged, which spills, and never held whole by a task as a broadcast.
+    Facts without a key match nothing; they are dealt out to all
     tasks. Results do not depend on `salts`.
     """
     keys = [on] if isinstance(on, str) else list(on)
@@ -34,7 +36,7 @@ def lookup_join(
     salt = F.xxhash64(*spread)
     dealt = facts.withColumn("_salt", F.when(no_key, salt).otherwise(F.pmod(salt, F.lit(salts))))
     copies = lookup.select("*", F.explode(F.sequence(*(F.lit(n).cast("bigint") for n in (0, salts - 1)))).alias("_salt"))
-    return dealt.join(copies, [*keys, "_salt"], how).drop("_salt")
+    return dealt.join(copies.hint("merge"), [*keys, "_salt"], how).drop("_salt")
 
 
 def lookup_flag(facts: DataFrame, lookup: DataFrame, on: str, flag: str = "found", **options) -> DataFrame:

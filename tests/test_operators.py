@@ -371,3 +371,10 @@ def test_sizes_by_title_equal_the_fold_of_facts_by_title(spark):
     want = by_title(facts.unionByName(link_facts(edges)), keys).groupBy(*pages.PAGE_KEY, "kind", "element").agg(
         F.max("is_known").alias("is_known")).groupBy(*pages.PAGE_KEY).agg(*pages.element_counts(), F.max("is_known").alias("is_known"))
     assert rows(got, *want.columns) == rows(want, *want.columns) and got.count() > 15
+
+
+def test_salted_copies_are_not_broadcast(spark):
+    facts = spark.range(1000).select("id", (F.col("id") % 20).alias("k"))
+    table = spark.range(15).select(F.col("id").alias("k"), F.lit("n").alias("name"))
+    plan = lookups.lookup_join(facts, table, "k", salts=7)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
