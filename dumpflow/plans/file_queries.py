@@ -109,7 +109,8 @@ def file_pagelinks(spark: SparkSession, folder: str) -> DataFrame:
       strftime(stamp, '%Y-%m-%d %H:%M:%S') AS stamp, contributor_id FROM rv WHERE reason IS NULL"""
 )
 def file_revisions(spark: SparkSession, folder: str) -> DataFrame:
-    path = stored(adapters.revision_pages(spark, folder), "revision-files", "bzip2")
+    """Exports under their names' own codec, gzip: a dump of many pages lies in several parts, a task each."""
+    path = stored(adapters.revision_pages(spark, folder), "revision-files", "gzip")
     parsed = rev.parse_revisions(named(rev.read_pages(spark, path, recursive=True, main_only=True)))
     return parsed.select("wiki_code", "page_id", "rev_id", stamp_text(F.col("timestamp")).alias("stamp"), "contributor_id")
 

@@ -84,3 +84,8 @@ def test_messages_parse_each_dump_once(spark):
     plan = plan_of(spark, "message_keys").split("Initial Plan")[-1]
     assert "from_xml" not in plan.lower()  # the parsed export is kept
     assert plan.count("pagelinks.sql.gz") == 1
+
+
+def test_stored_exports_have_the_codec_of_their_names(spark):
+    files = catalogue.QUERIES["file_revisions"](spark, FOLDER).inputFiles()
+    assert files and all(".xml.gz/" in f and f.endswith(".gz") for f in files)
