@@ -10,7 +10,7 @@ from dumpflow.operators.pages import FACT_COLUMNS
 from dumpflow.plans import adapters
 from dumpflow.plans.page_queries import event_page_facts
 from dumpflow.plans.registry import CHECKS, query
-from dumpflow.session import fresh_folder
+from dumpflow.session import cut_lineage, fresh_folder
 from dumpflow.sinks.messages import send_batch, send_stream
 from dumpflow.sources.topic_log import use_topic_log
 from dumpflow.sources.topics import decode_json, of_topics, read_topic, union_topics
@@ -71,7 +71,8 @@ def stream_kept_fold(spark: SparkSession, folder: str) -> DataFrame:
     """
     root = fresh_folder(spark, "kept-fold")
     incoming, kept = f"{root}/incoming", f"{root}/kept"
-    facts = event_page_facts(spark, folder).select(*FACT_COLUMNS)
+    # Read by both deliveries, so the events are rendered and parsed once and kept.
+    facts = cut_lineage(event_page_facts(spark, folder).select(*FACT_COLUMNS))
     create_kept(spark, kept, buckets=16)
     for part in (F.col("seen_at") < "2024-01-16", F.col("seen_at") >= "2024-01-14"):
         facts.where(part | (F.col("kind") == "clickstreams_in")).write.mode("append").parquet(incoming)

@@ -89,8 +89,10 @@ def merge_batch(facts: DataFrame, path: str, name: str) -> list[int]:
     touched = [r.bucket for r in new.select("bucket").distinct().collect()]  # as many as buckets at most
     if touched:
         old = _read(spark, path, "elements", ELEMENT, {b: versions[b] for b in touched}).drop("version")
-        merged = old.unionByName(new).groupBy("bucket", *PAGE_KEY, "kind", "element").agg(
-            F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"))
+        merged = new  # distinct already, so buckets without a version are written as they are
+        if any(versions[b] is not None for b in touched):
+            merged = old.unionByName(new).groupBy("bucket", *PAGE_KEY, "kind", "element").agg(
+                F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"))
         _write(merged, f"{path}/elements/version={name}")
         written = _read(spark, path, "elements", ELEMENT, dict.fromkeys(touched, name)).drop("version")
         _write(fold_elements(written, "bucket"), f"{path}/pages/version={name}")
@@ -155,11 +157,13 @@ def keep_stream(facts: DataFrame, path: str, checkpoint: str, on_bad: BadRows |
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         has_page = F.col("page_hash").isNotNull()
+        if on_bad is None:
+            merge_batch(batch.where(has_page), path, batch_name(batch, batch_id))  # one read of the source
+            return
         batch.persist()  # two reads, one of the source
         try:
             merge_batch(batch.where(has_page), path, batch_name(batch, batch_id))
-            if on_bad is not None:
-                on_bad(batch.where(~has_page), batch_id)
+            on_bad(batch.where(~has_page), batch_id)
         finally:
             batch.unpersist()
 

@@ -96,3 +96,16 @@ def test_stream_goes_on_from_its_checkpoint(spark, tmp_path):
         kept.keep_stream(stream, path, str(tmp_path / "c"), on_bad=lambda rows, _: bad.append(rows.count())).awaitTermination()
     assert kept.current_versions(spark, path)[0] == 2 and bad == [2, 0]
     assert rows(kept.read_kept(spark, path), *FOLD_COLUMNS) == fold(parts[0].unionByName(parts[1]))
+
+
+def test_a_batch_without_a_handler_is_read_once_and_not_kept(spark, tmp_path, monkeypatch):
+    path, source, facts = str(tmp_path / "t"), str(tmp_path / "in"), random_facts(spark, 29)
+    kept.create_kept(spark, path, buckets=8)
+    facts.write.parquet(source)
+
+    def persist(*_):
+        raise AssertionError("kept in memory")
+
+    monkeypatch.setattr(type(facts), "persist", persist)
+    kept.keep_stream(spark.readStream.schema(facts.schema).parquet(source), path, str(tmp_path / "c")).awaitTermination()
+    assert rows(kept.read_kept(spark, path), *FOLD_COLUMNS) == fold(facts)
