@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dumpflow.functions.ids import content_hash, page_identifier
+from dumpflow.sources.lines import tasks_for
 
 OUTBOUND = "outbound"
 INBOUND = "inbound"
@@ -26,13 +27,19 @@ def mirror_links(links: DataFrame) -> DataFrame:
     return links.select(*carried, F.inline(both))
 
 
+def distinct_edges(links: DataFrame) -> DataFrame:
+    """Each edge once. The number of tasks follows the input's size, so the edges that one task holds do not grow."""
+    edges = links.select("wiki_code", "pl_from", "pl_from_namespace", "pl_target_id", "timestamp")
+    return edges.repartition(tasks_for(edges, 1_000_000), *edges.columns).distinct()
+
+
 def link_degrees(links: DataFrame) -> DataFrame:
     """Distinct links per wiki, page and direction.
 
     Equal edges are dropped before they are mirrored, so the wide shuffle carries
     each edge once. The counts are then summed map-side, whatever a hub's degree.
     """
-    edges = links.select("wiki_code", "pl_from", "pl_from_namespace", "pl_target_id", "timestamp").distinct()
+    edges = distinct_edges(links)
     return (
         mirror_links(edges)
         .groupBy("wiki_code", F.col("pl_from").alias("page_id"), "direction")
@@ -42,7 +49,7 @@ def link_degrees(links: DataFrame) -> DataFrame:
 
 def link_counts(links: DataFrame) -> DataFrame:
     """Distinct inbound and outbound links per page, in one aggregation over mirrored edges."""
-    edges = links.select("wiki_code", "pl_from", "pl_from_namespace", "pl_target_id", "timestamp").distinct()
+    edges = distinct_edges(links)
     return mirror_links(edges).groupBy("wiki_code", F.col("pl_from").alias("page_id")).agg(
         F.count_if(F.col("direction") == INBOUND).alias("n_in"), F.count_if(F.col("direction") == OUTBOUND).alias("n_out"))
 

@@ -46,10 +46,12 @@ def read_lines(
 BYTES_PER_TASK = 4_000_000
 
 
-def tasks_for(rows: DataFrame) -> int:
+def tasks_for(rows: DataFrame, bytes_per_task: int | None = None) -> int:
     """A task per core, and more where the columns of a scan are large, so that no task grows with the input."""
     stored = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())  # from file sizes
-    return max(rows.sparkSession.sparkContext.defaultParallelism, -(-stored // BYTES_PER_TASK))
+    if stored >= 2**50:  # rows of no file: Spark takes an unknown size for the greatest
+        return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(rows.sparkSession.sparkContext.defaultParallelism, -(-stored // (bytes_per_task or BYTES_PER_TASK)))
 
 
 def spread_out(rows: DataFrame, tasks: int | None = None) -> DataFrame:

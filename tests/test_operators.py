@@ -378,3 +378,11 @@ def test_salted_copies_are_not_broadcast(spark):
     table = spark.range(15).select(F.col("id").alias("k"), F.lit("n").alias("name"))
     plan = lookups.lookup_join(facts, table, "k", salts=7)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_tasks_for_edges_follow_the_input(spark, edges):
+    small, large = (links.distinct_edges(spark.range(n).selectExpr(
+        "'enwiki' wiki_code", "id pl_from", "0 pl_from_namespace", "id pl_target_id", "timestamp'2024-01-01' timestamp")) for n in (10, 10_000_000))
+    sizes = [int(s) for f in (small, large) for s in re.findall(r"REPARTITION_BY_NUM|, (\d+)\), REPARTITION", f._jdf.queryExecution().executedPlan().toString()) if s]
+    assert len(sizes) == 2 and sizes[0] == spark.sparkContext.defaultParallelism and sizes[1] > 10 * sizes[0]
+    assert rows(links.distinct_edges(edges), "pl_from", "pl_target_id") == rows(edges.distinct(), "pl_from", "pl_target_id")
