@@ -12,40 +12,52 @@ filter, a positional filter and one over a parity map of the words, in two halve
 on the words themselves.
 
 Equal sets are one line first. A line needs one earlier match, not all of them.
-So lines first meet, in rounds, a few others with the same least word hash of
-their prefix, for two orders of hashes, of which alike lines mostly share one
-(over all words the least hash is that of some frequent word, and groups are of
-unlike lines). A group is dealt into parcels of about `PARCEL` lines, in each
-round anew, and only lines without a match yet look for one; in the first round
-each line also meets the first of its group. That costs as many comparisons as
-there are lines, times a constant. What is left looks for a match among all lines
-in the prefix join, which is exact and takes no notice of parcels. Sets of one to
-three words are like equal sets only and are in no join.
+So lines first meet, in rounds, a few earlier ones with the same least word hash of
+their prefix, in each round by another order of hashes (over all words the least hash
+is that of some frequent word, and groups are of unlike lines). A group is dealt into
+`PARCEL` parcels, and each of its lines without a match yet meets the first line of
+every parcel, found by an aggregate. That costs as many comparisons as there are lines,
+times a constant. What is left looks for a match among all lines in the prefix join,
+which is exact and takes no notice of parcels. Sets of one to three words are like
+equal sets only and are in no join.
+
+The words of a line are found once for their rarity and once for its keys, prefix and
+maps, which are written; a later step reads lines again only where it verifies a pair.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dumpflow.functions.text import once
 from dumpflow.llm.stages import written
-from dumpflow.llm.text import let, lower_ascii, words_of
+from dumpflow.llm.text import LOWER, UPPER, let
 
 #: Jaccard likeness as a fraction.
 PART, WHOLE = 4, 5
-#: Lines that meet in a round, about, and rounds in front of the prefix join. They decide the cost, not the result.
-PARCEL, ROUNDS = 16, 2
-#: Parts in which one least hash is told its number of parcels.
-SALTS = 16
+#: Lines that each line meets in a round, at most, and rounds in front of the prefix join. They decide the cost, not the result.
+PARCEL, ROUNDS = 32, 3
 #: Cells of the tables that the driver hands to tasks, whatever the size of the corpus.
 CELLS = 1 << 20
-ORDERS = (0, 0x5DEECE66)
+ORDERS = (0, 0x5DEECE66, 0x2545F491)
+#: White space inside a line, but the space.
+ODD_BLANKS = "\t\x0b\x0c\r"
+
+
+def _plain_words(line: Column) -> Column:
+    """The words of a line, A-Z lower-cased. Text in ASCII without odd white space, which is most, takes the fast way."""
+    odd = [F.contains(line, F.lit(c)) for c in ODD_BLANKS]
+    plain = (F.octet_length(line) == F.length(line)) & ~reduce(Column.__or__, odd)
+    spaced = F.when(plain, F.lower(line)).otherwise(F.translate(line, UPPER + ODD_BLANKS, LOWER + " " * len(ODD_BLANKS)))
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def tokens_of(line: Column) -> Column:
     """Hashes of the different words, A-Z lower-cased."""
-    return F.transform(F.array_distinct(words_of(lower_ascii(line))), lambda w: F.xxhash64(w))
+    return F.array_distinct(F.transform(_plain_words(line), lambda w: F.xxhash64(w)))
 
 
 def _keys(rows: DataFrame) -> list[str]:
@@ -78,12 +90,12 @@ def _table(cells: DataFrame, cell: str, value: Column, kind: str) -> Column:
 
 
 def _cell(key: Column) -> Column:
-    return F.pmod(key, F.lit(CELLS))
+    return key.bitwiseAND(F.lit(CELLS - 1))
 
 
 def rarity(docs: DataFrame) -> Column:
     """Table of word counts over all texts, in eighths of a power of two. Words share a cell by hash."""
-    words = docs.select(F.explode(words_of(lower_ascii(F.col("text")))).alias("w"))
+    words = _lines(docs).select(F.explode(_plain_words(F.col("line"))).alias("w"))
     return _table(words.select(_cell(F.xxhash64("w")).alias("cell")), "cell", F.least(F.lit(127), F.round(4 * F.log2(1 + F.count("*")))), "tinyint")
 
 
@@ -103,31 +115,62 @@ def _prefix(t: Column, ranks: Column) -> Column:
     return F.transform(prefix, lambda x: F.shiftright(F.shiftleft(x, 32), 32).cast("int"))
 
 
+def described(lines: DataFrame, table: Column) -> DataFrame:
+    """`lines` with size, parity maps and prefix by `rarity` in place of their words."""
+    long = lambda x: F.lit(x).cast("bigint")
+    at = lambda x: x.bitwiseAND(long(63)).cast("int")
+    shifted = lambda bit, x: F.call_function("shiftleft", bit, at(x))
+    parity = lambda bit: F.aggregate("t", long(0), lambda a, x: a.bitwiseXOR(shifted(bit(x), x)))
+    rows = lines.withColumn("ranks", F.array(table)).select(
+        *(c for c in lines.columns if c != "t"), F.size("t").alias("n"), parity(lambda x: long(1)).alias("bits"),
+        parity(lambda x: F.shiftright(x, 6).bitwiseAND(long(1))).alias("more"), _prefix(F.col("t"), F.col("ranks")[0]).alias("prefix"))
+    return rows.withColumn("bits", F.col("bits").bitwiseXOR(F.col("more")))
+
+
+def distinct_sets(rows: DataFrame) -> DataFrame:
+    """A row per different set of `described` lines: its first line (doc, row if numbered, no) and whether there are more."""
+    facts = [c for c in ("n", "bits", "more", "prefix", "line") if c in rows.columns]
+    grouped = rows.groupBy("k", "k2").agg(F.min(_place(rows)).alias("first"), (F.count("*") > 1).alias("again"), F.first(F.struct(*facts)).alias("facts"))
+    return grouped.select("k", "k2", "first", "again", "facts.*")
+
+
 def sets_of(lines: DataFrame, table: Column) -> DataFrame:
-    """A row per different set: its first line (doc, row if numbered, no), text, size, parity maps and prefix by `rarity`."""
-    one = lambda x: F.call_function("shiftleft", F.lit(1).cast("bigint"), x.bitwiseAND(F.lit(63).cast("bigint")).cast("int"))
-    half = lambda number: F.filter("t", lambda x: F.shiftright(x, 6).bitwiseAND(F.lit(1).cast("bigint")) == number)
-    parity = lambda number: F.aggregate(half(number), F.lit(0).cast("bigint"), lambda a, x: a.bitwiseXOR(one(x)))
-    rows = lines.withColumn("ranks", F.array(table)).select("k", "k2", _place(lines).alias("first"), F.struct(
-        F.size("t").alias("n"), parity(0).alias("bits"), parity(1).alias("more"), _prefix(F.col("t"), F.col("ranks")[0]).alias("prefix"), F.col("line")).alias("facts"))
-    return rows.groupBy("k", "k2").agg(F.min("first").alias("first"), F.first("facts").alias("facts")).select("k", "k2", "first", "facts.*")
+    """A row per different set with its text: first line, size, parity maps and prefix by `rarity`."""
+    return distinct_sets(described(lines, table))
+
+
+def _differing(a: str, b: str) -> Column:
+    """Bits in which the parity maps differ."""
+    return sum((F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in ("bits", "more")), F.lit(0))
 
 
 def _alike_maps(a: str, b: str, n: Column | None = None, m: Column | None = None) -> Column:
     """Length filter and parity filter: both may still be alike."""
     n, m = (F.col(f"{a}.n") if n is None else n), (F.col(f"{b}.n") if m is None else m)
-    differing = sum((F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in ("bits", "more")), F.lit(0))
-    return (PART * F.greatest(n, m) <= WHOLE * F.least(n, m)) & (differing <= n + m - 2 * _shared(n, m))
+    return (PART * F.greatest(n, m) <= WHOLE * F.least(n, m)) & (_differing(a, b) <= n + m - 2 * _shared(n, m))
+
 
+def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame | None = None) -> DataFrame:
+    """Of pairs (a, b) of set keys those that are alike, as the later set and its earlier line.
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of pairs (a, b) of set keys those that are alike, as the later set and its earlier line."""
+    Words come from the `line` of `sets`, or, where sets have none, from the first line of each in `docs`.
+    """
     pairs = written(pairs.distinct(), "line-pairs")
     keys = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
-    wanted = _table(keys.select(_cell(F.col("k")).alias("cell")), "cell", F.lit(1), "tinyint")
-    # Most sets are in no pair; the table drops these before the join, which is exact.
-    texts = sets.where(F.get(wanted, _cell(F.col("k")).cast("int")) > 0).join(keys, "k", "left_semi").select(
-        "k", F.struct("k2", "first", tokens_of(F.col("line")).alias("t")).alias("s"))
+    some = sets.join(keys, "k", "left_semi")
+    if docs is None:
+        texts = some.select("k", "k2", "first", tokens_of(F.col("line")).alias("t"))
+    else:
+        some = written(some.select("k", "k2", "first"), "line-wanted")
+        cell = lambda place: _cell(F.xxhash64(place)).cast("int")
+        # Most lines are in no pair; the table drops these before the join, which is exact.
+        there = _table(some.select(cell(F.col("first")).cast("bigint").alias("cell")), "cell", F.lit(1), "tinyint")
+        lines = _lines(docs)
+        lines = lines.select(_place(lines).alias("at"), "line").where(F.get(there, cell(F.col("at"))) > 0)
+        read = lines.join(some, F.col("at") == F.col("first")).withColumn("t", F.sort_array(tokens_of(F.col("line"))))
+        # Rows that share an id share places; the keys tell whose line it is.
+        texts = read.where((F.xxhash64("t") == F.col("k")) & (F.xxhash64(F.lit(1), "t") == F.col("k2"))).dropDuplicates(["k", "k2"])
+    texts = texts.select("k", F.struct("k2", "first", "t").alias("s"))
     both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
     common = F.size(F.array_intersect("x.t", "y.t"))
     alike = both.where((common * (PART + WHOLE) >= PART * (F.size("x.t") + F.size("y.t"))) & (F.col("x.first") != F.col("y.first")))
@@ -139,23 +182,14 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _round(rows: DataFrame, groups: DataFrame, matched: DataFrame | None, number: int) -> DataFrame:
-    """Pairs of sets that share a least hash and a parcel of this round, one of them without a match."""
-    parcel = F.pmod(F.xxhash64(F.lit(number), "k"), F.col("parcels"))
-    salted = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    dealt = rows.withColumn("salt", F.pmod("k", F.lit(SALTS)).cast("int")).join(salted, ["nr", "hash", "salt"]).withColumn("parcel", parcel)
-    if matched is None:
-        dealt = dealt.withColumn("open", F.lit(True))
-    else:
-        dealt = dealt.join(matched.select("k", F.lit(False).alias("found")), "k", "left").withColumn("open", F.coalesce("found", F.lit(True)))
-    same = (F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("nr", "hash", "parcel"))
-    near = next(same) & next(same) & next(same) & (F.col("x.k") < F.col("y.k")) & _alike_maps("x", "y")
-    # The later one of the two is the one that looks for a match.
-    near &= F.when(F.col("x.first") > F.col("y.first"), F.col("x.open")).otherwise(F.col("y.open"))
-    pairs = dealt.alias("x").join(dealt.alias("y"), near).select(F.col("x.k").alias("a"), F.col("y.k").alias("b"))
+    """Pairs of a set without a match and an earlier one, of the first in the parcels of its group the one nearest by its maps."""
+    rows = rows.where(F.col("nr") == number)
     if matched is not None:
-        return pairs
-    to_head = dealt.alias("x").where((F.col("x.head.k") != F.col("x.k")) & _alike_maps("x", "x.head"))
-    return pairs.unionByName(to_head.select(F.least("x.k", "x.head.k").alias("a"), F.greatest("x.k", "x.head.k").alias("b")))
+        rows = rows.join(matched.select("k"), "k", "left_anti")
+    near = rows.join(groups, ["nr", "hash"]).select("k", "first", "n", "bits", "more", F.explode("heads").alias("y")).alias("x")
+    near = near.where((F.col("x.first") > F.col("y.first")) & _alike_maps("x", "y"))
+    nearest = near.groupBy(F.col("x.k").alias("a")).agg(F.min(F.struct(_differing("x", "y"), F.col("y.first"), F.col("y.k").alias("b"))).alias("y"))
+    return nearest.select("a", "y.b")
 
 
 def _met(sets: DataFrame) -> DataFrame:
@@ -164,26 +198,25 @@ def _met(sets: DataFrame) -> DataFrame:
         # One argument: a second one, even with a default, would be the element's index.
         return F.array_min(F.transform("prefix", lambda x: x.bitwiseXOR(F.lit(order))))
 
-    return sets.select("k", "first", "n", "bits", "more", F.posexplode(F.array(*map(least, ORDERS))).alias("nr", "hash"))
+    return sets.select("k", "first", "n", "bits", "more", F.posexplode(F.array(*map(least, ORDERS[:ROUNDS]))).alias("nr", "hash"))
 
 
 def _groups(rows: DataFrame, parcel: int = PARCEL) -> DataFrame:
-    """Groups of two or more that share a least hash: number of parcels and the first set."""
-    groups = rows.groupBy("nr", "hash").agg(F.count("*").alias("size"), F.min(F.struct("first", "k", "n", "bits", "more")).alias("head"))
-    return groups.where(F.col("size") > 1).select("nr", "hash", F.ceil(F.col("size") / parcel).alias("parcels"), "head")
+    """Groups that share a least hash, of two parcels or more: the first set of each parcel."""
+    first = F.min(F.struct("first", "k", "n", "bits", "more")).alias("head")
+    heads = rows.groupBy("nr", "hash", F.pmod("k", F.lit(parcel)).alias("parcel")).agg(first)
+    return heads.groupBy("nr", "hash").agg(F.collect_list("head").alias("heads")).where(F.size("heads") > 1)
 
 
-def _first_matches(sets: DataFrame, rounds: int = ROUNDS, parcel: int = PARCEL) -> DataFrame:
+def _first_matches(sets: DataFrame, rounds: int = ROUNDS, parcel: int = PARCEL, docs: DataFrame | None = None) -> DataFrame:
     """Sets that are like an earlier one met in one of the rounds, with the earliest of these."""
     rows = _met(sets)
     groups = written(_groups(rows, parcel), "line-groups")
     matched = None
     for number in range(rounds):
-        # After the first round small groups are done: all their pairs have met.
-        left = groups if matched is None else groups.where(F.col("parcels") > 1)
-        found = _verified(_round(rows, left, matched, number), sets)
-        matched = found if matched is None else matched.unionByName(found).groupBy("k", "k2").agg(F.min("earlier").alias("earlier"))
-    return written(matched, "line-first")
+        found = _verified(_round(rows, groups, matched, number), sets, docs)
+        matched = found if matched is None else written(matched.unionByName(found), "line-first")
+    return matched
 
 
 def postings(sets: DataFrame, matched: DataFrame) -> DataFrame:
@@ -226,22 +259,23 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     """
     keys = _keys(docs)
     docs = docs.select(*keys, "text")
-    sets = written(sets_of(keyed_lines(docs), rarity(docs)), "line-sets", "zstd")
+    # The one pass over the words of all lines, besides that of their rarity.
+    lines = written(described(keyed_lines(docs).drop("line"), rarity(docs)), "line-keys")
+    sets = written(distinct_sets(lines), "line-sets")
     # A set of n words is like another one only if one word more is within the likeness: 4 (n + 1) <= 5 n.
     joined = sets.where(F.col("n") >= PART)
-    matched = _first_matches(joined)
-    found = _verified(_candidates(postings(joined, matched)), joined)
+    matched = _first_matches(joined, docs=docs)
+    found = _verified(_candidates(postings(joined, matched)), joined, docs)
     matches = matched.unionByName(found).groupBy("k", "k2").agg(F.min("earlier").alias("earlier"))
-    verdicts = sets.select("k", "k2", "first").join(matches, ["k", "k2"], "left")
-    lines = keyed_lines(docs)
-    lines = lines.select(*keys, "line_no", "k", "k2", _place(lines).alias("own"))
-    gone = lines.join(verdicts, ["k", "k2"]).where((F.col("own") != F.col("first")) | F.col("earlier").isNotNull())
+    losing = sets.select("k", "k2", "first", "again").join(matches, ["k", "k2"], "left").where(F.col("again") | F.col("earlier").isNotNull())
+    own = lines.select(*keys, "line_no", "k", "k2", _place(lines).alias("own"))
+    gone = own.join(losing, ["k", "k2"]).where((F.col("own") != F.col("first")) | F.col("earlier").isNotNull())
     earlier = F.least("earlier", "first")
     return gone.select(*keys, "line_no", earlier["doc"].alias("earlier_doc"), earlier["no"].alias("earlier_no"))
 
 
 def _gone_by_document(docs: DataFrame) -> DataFrame:
-    return repeated_lines(docs).distinct().groupBy(*_keys(docs)).agg(F.sort_array(F.collect_set("line_no")).alias("gone"))
+    return repeated_lines(docs).groupBy(*_keys(docs)).agg(F.sort_array(F.collect_set("line_no")).alias("gone"))
 
 
 def removed_by_document(docs: DataFrame) -> DataFrame:

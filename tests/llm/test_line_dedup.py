@@ -125,3 +125,23 @@ def test_short_lines_are_joined_too(documents):
             seen += [t] if t else []
         want[i] = "\n".join(kept)
     assert {r.doc_id: r.text for r in line_dedup.without_repeats(documents(rows)).collect()} == want
+
+
+def test_a_set_meets_one_line_a_round(documents):
+    """In a group of near copies a round gives each set without a match one pair, and a set with one none."""
+    base = [f"w{i}" for i in range(40)]
+    docs = documents([(i, " ".join([*base[:-1], f"x{i}"]), None, None, None) for i in range(200)])
+    sets = line_dedup.written(line_dedup.sets_of(line_dedup.keyed_lines(docs), line_dedup.rarity(docs)), "line-sets")
+    rows = line_dedup._met(sets.selectExpr("k", "first", "n", "bits", "more", "array(1) AS prefix"))
+    pairs = line_dedup._round(rows, line_dedup._groups(rows), None, 0)
+    assert 150 < pairs.count() == pairs.select("a").distinct().count() < 200
+    matched = sets.where("first.doc % 2 = 0").select("k", "k2")
+    later = line_dedup._round(rows, line_dedup._groups(rows), matched, 1)
+    assert 75 < later.count() <= 100 and later.join(matched, later.a == matched.k).count() == 0
+
+
+def test_words_of_odd_lines(documents, spark):
+    """Lines that take the fast way and others: white space of all kinds, letters beyond ASCII, empty lines."""
+    lines = ["A b  C", " a\tB\x0bc\x0cD\re ", "É e\tÀ a", "İ Σ ſ A", " a B", "", "\t \r", "a" * 9 + "\x1cB"]
+    got = [r.w for r in spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, line string").orderBy("i").select(line_dedup._plain_words(line_dedup.F.col("line")).alias("w")).collect()]
+    assert got == [[w.decode() for w in x.encode().lower().split()] for x in lines]
