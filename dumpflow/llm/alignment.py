@@ -41,8 +41,8 @@ BLOCK_BYTES, SHARD_BYTES = 4 << 20, 8 << 20
 REMEMBERED, LONGEST, AT_ONCE = 200_000, 64, 4_096
 #: A segment goes to where a space or line end follows a character that is no white space.
 SEGMENT = re.compile(r"\s*\S+(?:[^\S\n ]\s*\S+)*(?:\s+\Z)?|\s+\Z")
-#: Where tokens of A, and of B, surely end: B's pieces may hold other white space inside.
-A_CUT, B_CUT = re.compile(r"(?<=\S)(?=\s)"), re.compile(r"(?<=\S)(?=[ \n]\S)")
+#: Where tokens of A, and of B, surely end: B's pieces may hold other white space inside, and a mark in the text is a space to B.
+A_CUT, B_CUT = re.compile(r"(?<=\S)(?=\s)"), re.compile(rf"(?<=[^\s{MARK}])(?=[ \n]\S)")
 SCHEMA = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups string"
 
 Tokens = tuple[list[int], list[int]]
@@ -165,8 +165,8 @@ class Aligner:
         self.known: dict[str, Closed | None] = {}
 
     def segments(self, text: str) -> list[str]:
-        """The parts of space + text that both tokenizers encode on their own."""
-        return SEGMENT.findall(" " + text) if self.cuts else [" " + text]
+        """The parts of space + text that both tokenizers encode on their own. A text with a mark, a space to B, is one part."""
+        return SEGMENT.findall(" " + text) if self.cuts and MARK not in text else [" " + text]
 
     def tokens_a(self, texts: list[str]) -> list[list[int]]:
         """A's ids of whole texts, or of parts that start at a cut."""

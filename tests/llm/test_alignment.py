@@ -92,6 +92,16 @@ def test_ranges_give_the_libraries_ids(text, size):
         assert sum(aligner.tokens_b([p[3] for p in parts if p[3]]), []) == aligner.b.encode(text)
 
 
+@pytest.mark.parametrize("text", ["▁ 9", "a▁ b c", "▁\n9 ▁ ▁", "x ▁"])
+def test_marks_in_texts_are_spaces_to_b(aligner, text):
+    want = aligner.b.encode(text)
+    assert sum(aligner.tokens_b(aligner.segments(text)), []) == want
+    for size in range(1, len(text) + 2):
+        parts = [p[3] for p in alignment.ranges_of(text, size, True)]
+        assert "".join(parts) == " " + text
+        assert sum(aligner.tokens_b([p for p in parts if p]), []) == want
+
+
 def random_fragments(rng):
     """Neighbouring fragments of two random rulers, cut at places of their own, and the fragment of all."""
     n = rng.randint(1, 40)
